@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from . import exact_dedup, mixing
+from .exact_dedup import op4_exact_dedup
+from .mixing import op6_mixing
 from .near_dedup import op1_near_dedup
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op6_mixing": op6_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op4_exact_dedup": exact_dedup.ORACLE,
+    "op6_mixing": mixing.ORACLE,
+}
