@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import exact_dedup, mixing
 from .exact_dedup import op4_exact_dedup
+from .lm_score import op9_lm_score
 from .mixing import op6_mixing
 from .near_dedup import op1_near_dedup
 
@@ -11,6 +12,7 @@ QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op9_lm_score": op9_lm_score,
 }
 
 ORACLES = {
