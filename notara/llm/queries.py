@@ -7,11 +7,13 @@ from .exact_dedup import op4_exact_dedup
 from .lm_score import op9_lm_score
 from .mixing import op6_mixing
 from .near_dedup import op1_near_dedup
+from .quality import op8_quality
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op8_quality": op8_quality,
     "op9_lm_score": op9_lm_score,
 }
 
