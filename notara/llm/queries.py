@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, substring_dedup
 from .exact_dedup import op4_exact_dedup
 from .lm_score import op9_lm_score
 from .mixing import op6_mixing
 from .near_dedup import op1_near_dedup
 from .quality import op8_quality
+from .substring_dedup import op5_substring_dedup
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_mixing": op6_mixing,
     "op8_quality": op8_quality,
     "op9_lm_score": op9_lm_score,
@@ -19,5 +21,6 @@ QUERIES = {
 
 ORACLES = {
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op5_substring_dedup": substring_dedup.ORACLE,
     "op6_mixing": mixing.ORACLE,
 }
