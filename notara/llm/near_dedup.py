@@ -25,7 +25,7 @@ from ._text import mix, pieces
 from .components import connected_components
 
 BANDS, ROWS = 16, 3  # a pair at similarity 0.75 shares no bucket with probability 0.00016
-WIDE = 256
+WIDE = 1024
 BLOCK = 128
 _U = np.uint64
 
