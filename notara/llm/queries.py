@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from . import exact_dedup, mixing, substring_dedup
+from .bpe import op2_bpe
 from .exact_dedup import op4_exact_dedup
+from .language_id import op7_language_id
 from .lm_score import op9_lm_score
 from .mixing import op6_mixing
 from .near_dedup import op1_near_dedup
@@ -12,9 +14,11 @@ from .substring_dedup import op5_substring_dedup
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_bpe": op2_bpe,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_mixing": op6_mixing,
+    "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
     "op9_lm_score": op9_lm_score,
 }
