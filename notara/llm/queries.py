@@ -11,10 +11,12 @@ from .mixing import op6_mixing
 from .near_dedup import op1_near_dedup
 from .quality import op8_quality
 from .substring_dedup import op5_substring_dedup
+from .toxicity import op3_toxicity
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_bpe": op2_bpe,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_mixing": op6_mixing,
