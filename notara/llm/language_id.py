@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -297,6 +298,18 @@ def predict(docs: DataFrame, model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_predict(model), _SCHEMA)
 
 
+def keep_known(docs: DataFrame, model) -> DataFrame:
+    """The rows of docs that are not rejected, with all their columns; one pass, no shuffle."""
+    judge = _predict(model)
+
+    def keep(batches):
+        for batch in batches:
+            rejected = pa.concat_arrays([x.column("rejected") for x in judge([batch.select(["doc_id", "text"])])]) if batch.num_rows else pa.array([], pa.bool_())
+            yield batch.filter(pc.invert(rejected))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op7_language_id(spark, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = fold("doc_id", 4) == 2

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import exact_dedup, mixing, substring_dedup
 from .bpe import op2_bpe
 from .exact_dedup import op4_exact_dedup
@@ -11,6 +13,7 @@ from .mixing import op6_mixing
 from .near_dedup import op1_near_dedup
 from .quality import op8_quality
 from .substring_dedup import op5_substring_dedup
+from .token_counts import op10_token_counts
 from .toxicity import op3_toxicity
 
 QUERIES = {
@@ -23,6 +26,8 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
     "op9_lm_score": op9_lm_score,
+    "op10_token_counts": op10_token_counts,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
