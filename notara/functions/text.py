@@ -13,8 +13,11 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from ..schemas import INT, STRING, TEXT_SPAN, struct
+
 WORD = "[\\p{L}\\p{N}_]"
 
 # The replacement table of punctuation variants.
@@ -154,7 +157,7 @@ def normalize_with_map(text: str, *, collapse: bool = True, punctuation: bool =
     return text, at
 
 
-@pandas_udf("struct<text:string,map:array<int>>")
+@pandas_udf(struct(text=STRING, map=T.ArrayType(INT)))
 def normalized(texts: pd.Series) -> pd.DataFrame:
     """Arrow UDF of normalize_with_map with its defaults; null counts as empty."""
     got = [normalize_with_map(t or "") for t in texts]
@@ -200,7 +203,7 @@ def mention_key_py(text: str) -> str:
     return " ".join(re.findall(r"\w+", bare))
 
 
-@pandas_udf("string")
+@pandas_udf(STRING)
 def mention_key_udf(texts: pd.Series) -> pd.Series:
     return texts.map(mention_key_py, na_action="ignore")
 
@@ -229,7 +232,7 @@ def model_tokens(c: str | Column) -> Column:
 _MODEL_TOKEN = re.compile(r"\w+|[^\w\s]")
 
 
-@pandas_udf("array<struct<text:string,start:int,end:int>>")
+@pandas_udf(T.ArrayType(TEXT_SPAN))
 def token_spans(texts: pd.Series) -> pd.Series:
     """Tokens of the model tokenizer with their code point offsets."""
     return texts.map(lambda t: [{"text": m[0], "start": m.start(), "end": m.end()} for m in _MODEL_TOKEN.finditer(t or "")])

@@ -7,12 +7,15 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from ..schemas import SPAN
+
 _WORD = re.compile(r"\S+")
 
 
-@pandas_udf("array<struct<start:int,end:int>>")
+@pandas_udf(T.ArrayType(SPAN))
 def word_spans(texts: pd.Series) -> pd.Series:
     """Code point spans of the words of each text."""
     return texts.map(lambda t: [{"start": m.start(), "end": m.end()} for m in _WORD.finditer(t or "")])

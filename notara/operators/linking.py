@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..functions.text import confidence, mention_key, mention_key_py, tokens
+from ..schemas import DOUBLE
 
 # Retrieval, fusion and decision parameters.
 K1, B, RETRIEVE, RRF_K, FUSED, RERANKED = 1.5, 0.75, 20, 60, 30, 5
@@ -116,7 +117,7 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, 0.0).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
-@pandas_udf("double")
+@pandas_udf(DOUBLE)
 def best_ratio(mention: pd.Series, names: pd.Series) -> pd.Series:
     """Greatest sequence similarity of the mention's key with the keys of the names."""
     out = []

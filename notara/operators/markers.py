@@ -8,9 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from ..functions.text import WORD, join_and
+from ..schemas import INT, STRING, struct
 
 MARKER = "\\[\\[([EN]\\d+)\\]\\](?s)(.*?)\\[\\[/\\1\\]\\]"
 PLACEHOLDER = "<<([EN]\\d+)>>"
@@ -75,7 +77,7 @@ def strip_markers_py(marked: str) -> tuple[str, list[dict]]:
     return "".join(out) + marked[done:], spans
 
 
-@pandas_udf("struct<text:string,spans:array<struct<marker_id:string,start:int,end:int>>>")
+@pandas_udf(struct(text=STRING, spans=T.ArrayType(struct(marker_id=STRING, start=INT, end=INT))))
 def strip_markers(texts: pd.Series) -> pd.DataFrame:
     got = [strip_markers_py(t or "") for t in texts]
     return pd.DataFrame({"text": [t for t, _ in got], "spans": [s for _, s in got]})

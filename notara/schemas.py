@@ -22,5 +22,12 @@ ONTOLOGY = "code string, name string, aliases array<string>, description string,
 SAMPLE = "array<struct<tokenized_text:array<string>,ner:array<struct<start:int,end:int,label:string>>>>"
 
 
-def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def struct(**fields: T.DataType) -> T.StructType:
+    """A struct type that needs no session, as DDL strings do."""
+    return T.StructType([T.StructField(k, v) for k, v in fields.items()])
+
+
+STRING, INT, DOUBLE = T.StringType(), T.IntegerType(), T.DoubleType()
+SPAN = struct(start=INT, end=INT)
+TEXT_SPAN = struct(text=STRING, start=INT, end=INT)
