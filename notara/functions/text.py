@@ -57,7 +57,7 @@ def trim_lines(c: Column) -> Column:
 
 
 def cap_newlines(c: Column, most: int) -> Column:
-    return F.regexp_replace(c, f"\\n{{{most + 1},}}", "\\n" * most)
+    return F.regexp_replace(c, f"\\n{{{most + 1},}}", "\n" * most)
 
 
 def close_up(c: Column) -> Column:
@@ -168,7 +168,7 @@ def valid_map(text: str | Column, at: str | Column, raw_length: str | Column) ->
     """Whether an offset map has the text's length, stays in range and never decreases."""
     a = col(at)
     steps = F.zip_with(F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0))), F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0))), lambda x, y: x <= y)
-    return (F.size(a) == F.length(col(text))) & F.forall(a, lambda x: (x >= 0) & (x < col(raw_length))) & ((F.size(a) < 2) | F.forall(steps, lambda x: x))
+    return (F.size(a) == F.length(col(text))) & F.coalesce((F.array_min(a) >= 0) & (F.array_max(a) < col(raw_length)), F.lit(True)) & ((F.size(a) < 2) | F.forall(steps, lambda x: x))
 
 
 def span_to_raw(at: str | Column, start: str | Column, end: str | Column) -> Column:

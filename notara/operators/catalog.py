@@ -124,7 +124,8 @@ def drug_surfaces(concepts: DataFrame) -> DataFrame:
         "full_medication_order": F.when(product & simple & form.isNotNull(), F.concat(orders, daily)).otherwise(none),
         "brand_strength": by_brand,
     }
-    every = F.flatten(F.array(*[F.transform(v, lambda t, k=k: F.struct(t.alias("text"), F.lit(k).alias("profile"))) for k, v in kinds.items()]))
+    named = lambda texts, kind: F.transform(texts, lambda x: F.struct(x.alias("text"), F.lit(kind).alias("profile")))
+    every = F.flatten(F.array(*[named(v, k) for k, v in kinds.items()]))
     return concepts.select("concept_id", "tty", F.posexplode(every).alias("ordinal", "s")).select("concept_id", "tty", "ordinal", clean_text("s.text").alias("text"), "s.profile").where("text IS NOT NULL")
 
 
