@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import catalog, export, markers, validation
+from ..operators import catalog, export, markers, synth, validation
 from ._base import HITS, lexicon_hits, notes, query
 
 
@@ -285,3 +285,43 @@ def _(read):
 def _(read):
     s = lexicon_hits(read).groupBy("document_id").agg(F.count("*").alias("n"))
     return s.agg(F.count("*").alias("samples"), F.max("n").alias("most"), F.sum("n").alias("entities"))
+
+
+_SPEC = """sp AS (SELECT p_partkey AS case_id, 'E' || (p_size % 3) AS entity_id, CASE p_partkey % 4 WHEN 0 THEN '[[x' WHEN 1 THEN ' ' ELSE p_name END AS surface_text, CASE p_partkey % 3 WHEN 0 THEN 'THUỐC' WHEN 1 THEN 'CHẨN_ĐOÁN' ELSE 'TRIỆU_CHỨNG' END AS kind,
+CASE p_partkey % 5 WHEN 0 THEN ['isNegated'] WHEN 1 THEN ['odd'] ELSE [] END AS a, CASE p_partkey % 2 WHEN 0 THEN ['J18'] ELSE [] END AS c FROM part)"""
+
+
+@query("q9_spec_check", f"""
+WITH {_SPEC}, f AS (SELECT case_id, entity_id, unnest(list_filter([CASE WHEN trim(surface_text) = '' THEN 'empty_surface' WHEN contains(surface_text, '[[') THEN 'marker_in_surface' END, CASE WHEN list_contains(a, 'odd') THEN 'unknown_assertion' END,
+CASE WHEN kind IN ('THUỐC', 'CHẨN_ĐOÁN') AND len(c) = 0 THEN 'candidate_missing' END, CASE WHEN kind = 'TRIỆU_CHỨNG' AND len(c) > 0 THEN 'candidate_not_allowed' END, CASE WHEN kind = 'THUỐC' AND len(c) > 0 THEN 'rxnorm_format' END,
+CASE WHEN a <> ['isNegated'] THEN 'scenario_assertions' END], lambda x: x IS NOT NULL)) AS error FROM sp) SELECT case_id, entity_id AS marker_id, error FROM f""")
+def _(read):
+    k = F.col("p_partkey")
+    none = F.array().cast("array<string>")
+    rows = read("part").select(
+        k.alias("case_id"), F.concat(F.lit("E"), (F.col("p_size") % 3).cast("string")).alias("entity_id"), F.when(k % 4 == 0, "[[x").when(k % 4 == 1, " ").otherwise(F.col("p_name")).alias("surface_text"),
+        F.when(k % 3 == 0, "THUỐC").when(k % 3 == 1, "CHẨN_ĐOÁN").otherwise("TRIỆU_CHỨNG").alias("entity_type"), F.when(k % 5 == 0, F.array(F.lit("isNegated"))).when(k % 5 == 1, F.array(F.lit("odd"))).otherwise(none).alias("assertions"),
+        F.when(k % 2 == 0, F.array(F.lit("J18"))).otherwise(none).alias("candidates"), F.lit("current").alias("temporal_scope"), F.lit("patient").alias("subject_scope"), F.lit("patient_current_negated").alias("scenario_id"),
+        *[F.lit(0).alias(c) for c in ("section_index", "block_index", "entity_index")],
+    )
+    return synth.entity_spec_errors(rows)
+
+
+def _pool(read):
+    kind = F.when(F.col("p_partkey") % 3 == 0, "THUỐC").when(F.col("p_partkey") % 3 == 1, "CHẨN_ĐOÁN").otherwise("TRIỆU_CHỨNG")
+    code = F.when(kind == "CHẨN_ĐOÁN", "J18").otherwise(F.col("p_partkey").cast("string"))
+    return read("part").select(F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string")).alias("text"), kind.alias("entity_type"), F.array(code).alias("candidates"))
+
+
+@query("g6_generate_cases", None)
+def _(read):
+    pool = _pool(read)
+    return synth.generate_cases(pool.sparkSession, 200, 42, pool, ["biopsy", "surgery"]).select("case_id", "profile", F.size("sections").alias("n_sections"))
+
+
+@query("g9_render_and_check", "SELECT 'case_' || lpad(i::VARCHAR, 6, '0') AS case_id, '' AS errors FROM range(200) AS t(i)")
+def _(read):
+    """Rendered cases pass every check."""
+    pool = _pool(read)
+    specs = synth.generate_cases(pool.sparkSession, 200, 42, pool, ["biopsy", "surgery"])
+    return synth.validate_cases(specs, synth.render_cases(specs)).select("case_id", F.array_join("errors", "; ").alias("errors"))

@@ -65,13 +65,24 @@ def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = True)
     return parsed.where(~bad).select("path", "line", "r.*"), parsed.where(bad).select("path", "line", "value")
 
 
+def _raw_entities(records: DataFrame, name: str | None) -> Column:
+    """The entities of a record by field name, whatever their order and integer type; null or absent: none."""
+    none = F.array().cast(RAW_ENTITIES)
+    kind = records.schema[name].dataType.elementType if name and hasattr(records.schema[name].dataType, "elementType") else None
+    if not hasattr(kind, "names"):
+        return none
+    wanted = {"text": "string", "type": "string", "position": "array<int>", "assertions": "array<string>", "candidates": "array<string>"}
+    one = lambda e: F.struct(*[(e[k] if k in kind.names else F.lit(None)).cast(v).alias(k) for k, v in wanted.items()])
+    return F.coalesce(F.transform(name, one), none)
+
+
 def to_documents(records: DataFrame, number: Column | str = "line", path: Column | str = "path") -> DataFrame:
     """document_id, raw_text, entities_raw, metadata (all other fields as JSON), has_labels, error of records with any of the field names."""
     own = records.columns
     text, id_, ents = first_present(own, TEXT_FIELDS), first_present(own, ID_FIELDS), first_present(own, ENTITY_FIELDS)
     c = lambda x: F.col(x) if isinstance(x, str) else x
     name = default_id(stem(c(path)), c(number))
-    entities = F.coalesce(F.col(ents), F.array().cast(RAW_ENTITIES)) if ents else F.array().cast(RAW_ENTITIES)
+    entities = _raw_entities(records, ents)
     rest = [x for x in own if x not in (text, id_, ents, "path", "line", "_corrupt_record")]
     raw = F.col(text) if text else F.lit(None).cast("string")
     return records.select(
