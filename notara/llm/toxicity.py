@@ -103,29 +103,40 @@ class BlockMaxIndex:
                 self.most[t, row // BLOCK] = max(self.most[t, row // BLOCK], w)
         self.rows = [np.array([r for r, _ in x], np.int64) for x in lists]
         self.weights = [np.array([w for _, w in x]) for x in lists]
-        self.cuts = [np.searchsorted(r, np.arange(blocks + 1) * BLOCK) for r in self.rows]
+        self.blocks = [r // BLOCK for r in self.rows]
         self.size = len(order)
 
+    def _sums(self, at: np.ndarray, weights: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the wanted blocks (a mask) that have a term, and their cosines."""
+        rows, parts = [], []
+        for t, w in zip(at.tolist(), weights.tolist(), strict=True):
+            keep = wanted[self.blocks[t]]
+            rows.append(self.rows[t][keep])
+            parts.append(w * self.weights[t][keep])
+        sums = np.bincount(np.concatenate(rows), np.concatenate(parts), self.size)
+        found = np.flatnonzero(sums > 1e-12)
+        return found, sums[found]
+
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the greatest positive cosine (ties: index order) and their cosines; `leave` is left out."""
         if not len(at) or not self.size:
             return np.empty(0, np.int64), np.empty(0)
         bound = weights @ self.most[at]
-        rows, sims, least = np.empty(0, np.int64), np.empty(0), 0.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(rows) >= k and bound[b] < least - 1e-12:
-                break
-            acc = np.zeros(BLOCK)
-            for t, w in zip(at.tolist(), weights.tolist(), strict=True):
-                lo, hi = self.cuts[t][b], self.cuts[t][b + 1]
-                if hi > lo:
-                    acc[self.rows[t][lo:hi] - b * BLOCK] += w * self.weights[t][lo:hi]
-            hit = np.flatnonzero(acc > 1e-12)
-            found = hit + b * BLOCK
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        rows, sims, least, done, batch = np.empty(0, np.int64), np.empty(0), 0.0, 0, 4
+        while done < len(order) and (len(rows) < k or bound[order[done]] >= least - 1e-12):
+            some = order[done : done + batch]
+            if len(rows) >= k:  # no block that cannot beat the k-th neighbour
+                some = some[bound[some] >= least - 1e-12]
+            wanted = np.zeros(len(bound), bool)
+            wanted[some] = True
+            done, batch = done + batch, batch * 8
+            found, cosines = self._sums(at, weights, wanted)
             if leave >= 0:
                 keep = self.order[found] != leave
-                hit, found = hit[keep], found[keep]
-            rows, sims = np.concatenate((rows, found)), np.concatenate((sims, acc[hit]))
+                found, cosines = found[keep], cosines[keep]
+            rows, sims = np.concatenate((rows, found)), np.concatenate((sims, cosines))
             if len(rows) > k:
                 best = np.lexsort((rows, -sims))[:k]
                 rows, sims = rows[best], sims[best]
@@ -158,6 +169,7 @@ class Model:
         self.knots, self.values = isotonic(votes, labels.astype(float), weights) if len(votes) else (np.array([0.0, 1.0]), np.array([prior, prior]))
         self.votes = votes
         self.none = prior  # of texts without any term; set by fit()
+        self._seen: dict[bytes, tuple[float, np.ndarray]] = {}
 
     def vote(self, near: np.ndarray, sims: np.ndarray) -> float:
         """Share of toxic weight among the neighbours; a near neighbour counts more."""
@@ -165,13 +177,20 @@ class Model:
         return float((w @ self.labels[near] + 0.02 * self.prior) / (w.sum() + 0.02)) if len(near) else self.prior
 
     def score(self, text: str | None) -> tuple[float, np.ndarray]:
-        vector = self.vectors(text)
-        near, sims = self.index.nearest(*vector, NEIGHBOURS)
-        if not len(near):
-            return self.none, near
-        # the vote itself breaks ties between equal calibrated values
-        v = self.vote(near, sims)
-        return float(min(1.0, max(0.0, 0.999 * np.interp(v, self.knots, self.values) + 0.001 * v))), self.ids[near]
+        at, weights = self.vectors(text)
+        if not len(at):
+            return self.none, at
+        key = at.tobytes() + weights.tobytes()  # texts with the same terms have the same neighbours
+        got = self._seen.get(key)
+        if got is None:
+            if len(self._seen) > 50_000:
+                self._seen.clear()
+            near, sims = self.index.nearest(at, weights, NEIGHBOURS)
+            # the vote itself breaks ties between equal calibrated values
+            v = self.vote(near, sims)
+            got = float(min(1.0, max(0.0, 0.999 * np.interp(v, self.knots, self.values) + 0.001 * v))) if len(near) else self.none, self.ids[near]
+            self._seen[key] = got
+        return got
 
 
 def _df(shared):
