@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 #: Broadcast at most this many keys of a table whose size has been counted.
 BROADCAST_KEYS = 1_000_000
-#: Most bytes of text that one Arrow batch of usual documents should carry.
+#: Rows of an Arrow batch where the session has Spark's default of 10,000: a worker holds a batch of whole texts.
 BATCH_ROWS = 2_000
 
 
@@ -45,7 +45,27 @@ def small(spark: SparkSession, df: DataFrame, most: int = BROADCAST_KEYS) -> Dat
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """rows inner-joined with groups on keys, where groups has each key once and its number of rows in `size`.
+
+    `total` rows hold at most total / limit groups of more than `limit` rows, so the large groups are
+    100,000 at most and are broadcast; a key of the shuffled rest has few rows.  rows is read twice.
+    """
+    limit = max(64, total // 100_000)
+    large = groups.where(F.col(size) > limit)
+    rest = rows.join(F.broadcast(large.select(*keys)), keys, "left_anti").join(groups.where(F.col(size) <= limit), keys)
+    return rows.join(F.broadcast(large), keys).unionByName(rest)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches, unless the session sets its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

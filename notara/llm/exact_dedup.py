@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import read, save
+from ._shared import attach, read, save
 
 PAGE_BITS, MOST_PAGES, BITS_PER_ROW = 32_768, 8_192, 16
 
@@ -59,11 +59,12 @@ def text_groups(docs: DataFrame) -> DataFrame:
     """
     norm = normalised()
     rows = save(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.sha2(norm.cast("binary"), 256).alias("text_sha256"), F.xxhash64(norm).alias("h")), "texts")
-    tested = possibly_repeated(rows, *repeated_filter(rows, rows.count()))
-    maybe = tested.where("maybe").drop("maybe", "h")
+    total = rows.count()
+    tested = possibly_repeated(rows, *repeated_filter(rows, total))
+    maybe = save(tested.where("maybe").drop("maybe", "h"), "maybe")
     once = tested.where("NOT maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     best = maybe.groupBy("text_sha256").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
-    again = maybe.join(best, "text_sha256").select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256")
+    again = attach(maybe, save(best, "groups"), ["text_sha256"], "group_size", total).select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256")
     return once.unionByName(again)
 
 
@@ -73,11 +74,12 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     Rows that occur once keep their place and are not shuffled.
     """
     rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text", F.xxhash64(normalised()).alias("h"))
-    tested = possibly_repeated(rows, *repeated_filter(rows.select("h"), docs.count()))
+    total = docs.count()
+    tested = possibly_repeated(rows, *repeated_filter(rows.select("h"), total))
     maybe = tested.where("maybe").drop("maybe").withColumn("_sha", F.sha2(normalised().cast("binary"), 256))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")
-    best = maybe.groupBy("_sha").agg(F.min(order).alias("_best"))
-    first = maybe.join(best, "_sha").where(order == F.col("_best")).dropDuplicates(["_sha"])
+    best = maybe.groupBy("_sha").agg(F.min(order).alias("_best"), F.count("*").alias("_n"))
+    first = attach(maybe, save(best, "groups"), ["_sha"], "_n", total).where(order == F.col("_best")).dropDuplicates(["_sha"])
     return tested.where("NOT maybe").select("doc.*").union(first.select("doc.*"))
 
 

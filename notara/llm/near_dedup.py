@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._minhash import band_keys, overlap, shingle_sets, signatures
-from ._shared import read, save, small
+from ._shared import attach, read, save, small
 from ._text import mix, pieces
 from .components import connected_components
 
@@ -134,18 +134,19 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 75) -> Dat
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = save(texts.mapInArrow(_scan(n_words), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "signatures")
-    classes = save(sig.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")), "classes")
+    classes = save(sig.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.count("*").alias("size")), "classes")
+    total = sig.count()
     member = classes.select("rep", F.posexplode("bands").alias("band", "key"))
-    hubs = member.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("m")).where("m > 1")
-    buckets = save(member.join(hubs, "key"), "buckets")
+    hubs = save(member.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("m")).where("m > 1"), "hubs")
+    buckets = save(attach(member, hubs, ["key"], "m", total * BANDS), "buckets")
     pairs = save(buckets.where("hub != rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     links = _links(texts, pairs, n_words, percent)
     first = save(connected_components(links), "components")
     # buckets of several components
-    labelled = buckets.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    labelled = save(buckets.drop("m", "hub").join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "labelled")
     per = labelled.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
     mixed = per.groupBy("band", "key").agg(F.sum("n").alias("m"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("k")).where("k > 1")
-    left = save(labelled.select("band", "key", "rep", "component").join(mixed.drop("k"), ["band", "key"]), "mixed")
+    left = save(attach(labelled, save(mixed.drop("k"), "mixed"), ["band", "key"], "m", total * BANDS), "left")
     ids = save(left.select(F.col("rep").alias("doc_id")).distinct(), "ids")
     wide = texts.join(small(spark, ids), "doc_id", "left_semi").mapInArrow(_wide(n_words), "rep long, wide binary").dropDuplicates(["rep"])
     about = save(wide.join(classes.groupBy("rep").agg(F.min("bands").alias("bands")), "rep"), "wide")
@@ -158,10 +159,23 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 75) -> Dat
     more = save(blocks.groupBy("band", "key", "i", "j").applyInArrow(_block(percent), "a long, b long").distinct(), "pairs")
     links2 = _links(texts, more, n_words, percent)
     nodes = save(connected_components(links.union(links2)), "components")
-    final = classes.select("k1", "k2", "rep").join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component_id"))
-    out = sig.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("k1")).alias("k1"), "k2").join(final, ["k1", "k2"], "left")
+    final = classes.select("k1", "k2", "rep", "size").join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "size", F.coalesce("component", "rep").alias("component_id"))
+    linked = "n_shingles > 0 AND doc_id IS NOT NULL"
+    rows = sig.drop("bands")
+    alone = rows.where(f"NOT ({linked})").withColumn("component_id", F.col("doc_id"))
+    out = attach(rows.where(linked), save(final, "final"), ["k1", "k2"], "size", total).drop("size").unionByName(alone)
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), (F.col("doc_id").isNull() | (F.coalesce("component_id", "doc_id") == F.col("doc_id"))).alias("kept"))
 
 
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [len(w) || ' words ' || array_to_string(w, ' ')] ELSE [] END AS g FROM d),
+s AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM l),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.root)
+SELECT l.doc_id, len(g)::BIGINT AS n_shingles, min(r.root) AS component_id, min(r.root) = l.doc_id AS kept FROM l JOIN r USING (doc_id) GROUP BY l.doc_id, g
+"""
