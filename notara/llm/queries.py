@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import exact_dedup, mixing, substring_dedup
+from . import exact_dedup, mixing, near_dedup, substring_dedup
 from .bpe import op2_bpe
 from .exact_dedup import op4_exact_dedup
 from .language_id import op7_language_id
@@ -31,6 +31,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_near_dedup": near_dedup.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op5_substring_dedup": substring_dedup.ORACLE,
     "op6_mixing": mixing.ORACLE,
