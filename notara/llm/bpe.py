@@ -22,7 +22,8 @@ from ._shared import read
 
 #: The pattern that cuts a text into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
-CACHE = 150_000  # pieces in each of two generations
+CACHE = 100_000  # pieces in each of two generations; a worker forgets them after a partition
+FITS = 300_000  # answers about pairs of tokens
 _NEVER = 1 << 60
 
 
@@ -65,7 +66,7 @@ class Encoder:
         self._split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self._pieces = regex.compile(PATTERN).findall
         self._edges: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
         self._young: dict[str, tuple[str, int, bytes]] = {}
         self._old: dict[str, tuple[str, int, bytes]] = {}
 
@@ -83,7 +84,8 @@ class Encoder:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether the bytes of tokens a and b together are encoded as a, b."""
-        got = self._fits.get((a, b))
+        pair = a << 32 | b
+        got = self._fits.get(pair)
         if got is None:
             (left, left_ends), (right, right_ends) = self._edge(a, 2), self._edge(b, 1)
             i = j = 0
@@ -99,9 +101,9 @@ class Encoder:
                     i += 1
                 else:
                     j += 1
-            if len(self._fits) > 2_000_000:
+            if len(self._fits) >= FITS:
                 self._fits.clear()
-            self._fits[a, b] = got
+            self._fits[pair] = got
         return got
 
     def _encode_bytes(self, text: str) -> list[int]:
@@ -133,6 +135,10 @@ class Encoder:
             self._young[piece] = got
         return got
 
+    def forget(self) -> None:
+        """Empty the cache of pieces: the worker's memory is for the next stage."""
+        self._young, self._old = {}, {}
+
     def parts(self, text: str) -> list[tuple[str, int, bytes]]:
         """(ids as text, number, decoded bytes) of each piece of the text, in order."""
         out: list[tuple[str, int, bytes]] = []
@@ -168,6 +174,7 @@ def _encode(path: str):
                 part = batch.slice(lo, 500)
                 ids = [code.encode(t or "") for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        code.forget()
 
     return encode
 
@@ -196,6 +203,7 @@ def _digest(path: str):
                     one.append(hashlib.sha256(",".join([x[0] for x in parts]).encode()).hexdigest())
                     two.append(hashlib.sha256(b"".join([x[2] for x in parts]).decode("utf-8", "replace").encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, 500), pa.array(n, pa.int64()), pa.array(one), pa.array(two)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        code.forget()
 
     return digest
 
