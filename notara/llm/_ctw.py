@@ -9,6 +9,8 @@ A gram is an integer: `depth` context bytes (0 before the text's start), then th
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 
 _U = np.uint64
@@ -48,54 +50,53 @@ def _log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1.0) - np.log(np.pi)
 
 
+def _sums(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    node, inverse = np.unique(keys, return_inverse=True)
+    return node, *(np.bincount(inverse, c, len(node)) for c in columns)
+
+
+def leaves(gram: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes of the grams' whole contexts, and how often each saw a 0 and a 1."""
+    gram, n = gram.astype(_U), np.tile(count.astype(np.float64), 8)
+    byte, context = gram & _U(255), (gram >> _U(8)) << _U(8)
+    keys = np.concatenate([context | (_U(1 << k) | (byte >> _U(8 - k))) for k in range(8)])
+    ones = np.concatenate([(byte >> _U(7 - k)) & _U(1) for k in range(8)]).astype(bool)
+    return _sums(keys, n * ~ones, n * ones)
+
+
+def climb(node: np.ndarray, a: np.ndarray, b: np.ndarray, longer: np.ndarray | None, deep: int, low: int):
+    """Levels (node, estimate, share) of contexts of `low` to `deep` bytes, shortest first, from the nodes of `deep` bytes.
+
+    longer: log probability of each node's longer contexts, or None where there are none.  Also gives
+    (node, a, b, longer) of the contexts one byte shorter than `low`; these are sums, so that parts
+    of the tree that share no context of `low` bytes can be added up.
+    """
+    levels = []
+    for d in range(deep, low - 1, -1):
+        own = _log_kt(a, b)
+        if longer is None:
+            weighted, share = own, np.ones(len(node))
+        else:
+            weighted = np.logaddexp(own, longer) - np.log(2)
+            share = 1 / (1 + np.exp(np.clip(longer - own, -700, 700)))
+        levels.append((node, (b + 0.5) / (a + b + 1), share))
+        # a longer context's key without its first byte is its parent's key
+        node, a, b, longer = _sums(node & _U((1 << (8 * d)) - 1), a, b, weighted)
+    return levels[::-1], (node, a, b, longer)
+
+
 class Tree:
-    """Frozen weighted tree; score() gives log2 of the probability of each gram's byte."""
+    """Frozen weighted tree; score() gives log2 of the probability of each gram's byte.
 
-    def __init__(self, gram: np.ndarray, count: np.ndarray, depth: int):
-        self.depth = depth
-        order = np.argsort(gram)
-        gram, count = gram[order].astype(_U), count[order].astype(np.float64)
-        self.nodes: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        below: tuple[np.ndarray, np.ndarray] | None = None  # keys and weighted log probability one context longer
-        for d in range(depth, -1, -1):
-            short = gram & _U((1 << (8 * d + 8)) - 1)
-            byte, context = short & _U(255), (short >> _U(8)) << _U(8)
-            keys = np.concatenate([context | (_U(1 << k) | (byte >> _U(8 - k))) for k in range(8)])
-            ones = np.concatenate([(byte >> _U(7 - k)) & _U(1) for k in range(8)]).astype(bool)
-            node, inverse = np.unique(keys, return_inverse=True)
-            n = np.tile(count, 8)
-            b = np.bincount(inverse, n * ones, len(node))
-            a = np.bincount(inverse, n * ~ones, len(node))
-            own = _log_kt(a, b)
-            if below is None:
-                weighted, share = own, np.ones(len(node))
-            else:
-                # a longer context's key without its first byte is its parent's key
-                parent = np.searchsorted(node, below[0] & _U((1 << (8 * d + 8)) - 1))
-                longer = np.bincount(parent, below[1], len(node))
-                weighted = np.logaddexp(own, longer) - np.log(2)
-                share = 1 / (1 + np.exp(np.clip(longer - own, -700, 700)))
-            self.nodes.append((node, (b + 0.5) / (a + b + 1), share))
-            below = node, weighted
-        self.nodes.reverse()
-        values = self._walk(gram)
-        bits = max(10, int(np.ceil(np.log2(max(1, len(gram)) * 4))))
-        self._shift = _U(64 - bits)
-        self._keys = np.full(1 << bits, np.iinfo(np.uint64).max, _U)
-        self._values = np.zeros(1 << bits, np.float32)
-        left, at = np.arange(len(gram)), self._slot(gram)
-        while len(left):  # open addressing, all grams at once
-            free = self._keys[at] == np.iinfo(np.uint64).max
-            self._keys[at[free]] = gram[left[free]]
-            won = self._keys[at] == gram[left]
-            self._values[at[won]] = values[left[won]]
-            left, at = left[~won], (at[~won] + 1) & (len(self._keys) - 1)
+    top: the levels of the shortest contexts, where the grams are only a part of all; a part has all
+    grams of its contexts of len(top) bytes.
+    """
 
-    def _slot(self, gram: np.ndarray) -> np.ndarray:
-        return ((gram * _U(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
+    def __init__(self, gram: np.ndarray, count: np.ndarray, depth: int, top: Sequence = ()):
+        self.depth = depth
+        self.nodes = [*top, *climb(*leaves(gram, count), None, depth, len(top))[0]]
 
-    def _walk(self, gram: np.ndarray) -> np.ndarray:
-        """log2 of the byte's probability, from the nodes."""
+    def score(self, gram: np.ndarray) -> np.ndarray:
         total = np.zeros(len(gram))
         byte = gram & _U(255)
         for k in range(8):
@@ -114,12 +115,34 @@ class Tree:
             total += np.log2(np.where(bit, p, 1 - p))
         return total
 
-    def score(self, gram: np.ndarray) -> np.ndarray:
+
+class Values:
+    """Values of distinct grams in an open-addressed table."""
+
+    def __init__(self, gram: np.ndarray, values: np.ndarray):
+        bits = max(10, int(np.ceil(np.log2(max(1, len(gram)) * 4))))
+        self._shift = _U(64 - bits)
+        self._keys = np.full(1 << bits, np.iinfo(np.uint64).max, _U)
+        self._values = np.zeros(1 << bits, np.float32)
+        left, at = np.arange(len(gram)), self._slot(gram)
+        while len(left):  # all grams at once
+            free = self._keys[at] == np.iinfo(np.uint64).max
+            self._keys[at[free]] = gram[left[free]]
+            won = self._keys[at] == gram[left]
+            self._values[at[won]] = values[left[won]]
+            left, at = left[~won], (at[~won] + 1) & (len(self._keys) - 1)
+
+    def _slot(self, gram: np.ndarray) -> np.ndarray:
+        return ((gram * _U(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
+
+    def find(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each gram's value (0 if it is not there), and the places of those that are not there."""
         at = self._slot(gram)
         found = self._keys[at]
         out = self._values[at].astype(np.float64)
         left = np.flatnonzero(found != gram)
         at, found = at[left], found[left]
+        out[left] = 0.0
         new: list[np.ndarray] = []
         while len(left):
             empty = found == np.iinfo(np.uint64).max
@@ -129,8 +152,4 @@ class Tree:
             hit = found == gram[left]
             out[left[hit]] = self._values[at[hit]]
             left, at, found = left[~hit], at[~hit], found[~hit]
-        unseen = np.concatenate(new) if new else np.empty(0, np.int64)
-        if len(unseen):
-            some, inverse = np.unique(gram[unseen], return_inverse=True)
-            out[unseen] = self._walk(some)[inverse]
-        return out
+        return out, np.sort(np.concatenate(new)) if new else np.empty(0, np.int64)

@@ -30,11 +30,11 @@ def shard_bits(keys: int) -> int:
     return max(3, int(np.ceil(np.log2(max(1, keys) / KEYS_PER_SHARD))))
 
 
-def rows(body: dict, keys: np.ndarray, bits: int) -> pa.RecordBatch:
-    """A parcel's rows; keys are sorted and distinct."""
+def rows(body: dict, keys: np.ndarray, bits: int, more: list[np.ndarray] | None = None) -> pa.RecordBatch:
+    """A parcel's rows; keys are sorted and distinct.  more: keys of another kind for each shard from 1 << bits on."""
     name = uuid.uuid4().hex
     cut = np.searchsorted(keys, np.arange(1 << bits, dtype=_U) << _U(64 - bits))
-    parts = np.split(keys, cut[1:])
+    parts = [*np.split(keys, cut[1:]), *(more or [])]
     shards = [-1, *(i for i, p in enumerate(parts) if len(p))]
     return pa.RecordBatch.from_arrays(
         [pa.array([name] * len(shards)), pa.array(shards, pa.int32()), pa.array([pickle.dumps(body, 5), *(p.tobytes() for p in parts if len(p))], pa.binary())],
@@ -48,18 +48,20 @@ def _no_annotations(f: Callable) -> Callable:
     return f
 
 
-def answer(sent: DataFrame, table: DataFrame | None, reply: Callable, finish: Callable[[dict, np.ndarray], pa.Table], kind: np.dtype, schema: str) -> DataFrame:
+def answer(sent: DataFrame, table: DataFrame | None, reply: Callable, finish: Callable[[dict, np.ndarray], pa.Table], kind: np.dtype, schema: str, other: tuple[int, Callable] | None = None) -> DataFrame:
     """Answers of the shards, brought back to the parcels.
 
     sent: a saved table of rows().  table: rows (shard, key, n) that the shards look up, or None.
     reply(keys: list of arrays, table) gives an array of `kind` for each of the key arrays;
     finish(body, answers of all its keys in order) gives the parcel's part of the result.
+    other: the first shard of the other kind of keys, and the reply to those.
     """
     kind = np.dtype(kind)
 
     def respond(parcels, known=None):
         keys = [np.frombuffer(x.as_py(), _U) for x in parcels.column("body")]
-        out = reply(keys, known)
+        own = other[1] if other and len(keys) and parcels.column("shard")[0].as_py() >= other[0] else reply
+        out = own(keys, known) if len(keys) else []
         return pa.table({"parcel": parcels.column("parcel"), "shard": parcels.column("shard"), "body": pa.array([x.astype(kind).tobytes() for x in out], pa.binary())})
 
     def respond_alone(parcels):

@@ -271,6 +271,57 @@ def test_lm_rare_words_go_through_shards(docs, monkeypatch):
     assert sorted((r["doc_id"] or -1, r["n_known"], round(r["base_score"], 9)) for r in lm_score.lm_scores(df, df).collect()) == want
 
 
+def test_lm_contexts_keep_their_length(spark, monkeypatch):
+    """Context-tree weighting over three bytes, gram by gram, however few grams may be broadcast."""
+    rng = random.Random(8)
+    train, other = [prose(rng, 40).lower() for _ in range(12)], [prose(rng, 30).lower() + " zq\u4e2d", "", "qqq"]
+    counts = collections.defaultdict(lambda: [0, 0])
+    contexts = collections.defaultdict(set)
+
+    def walk(text):
+        data = b"\0\0\0" + text.encode() + b"\0"
+        for i in range(3, len(data)):
+            for k in range(8):
+                yield [(data[i - d : i], (1 << k) | (data[i] >> (8 - k))) for d in range(4)], (data[i] >> (7 - k)) & 1
+
+    for t in train:
+        for path, bit in walk(t):
+            for node, child in zip(path, path[1:] + [None]):
+                counts[node][bit] += 1
+                if child:
+                    contexts[node].add(child)
+    kt = lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+    weighted, share = {}, {}
+    for node in sorted(counts, key=lambda x: -len(x[0])):
+        own = kt(*counts[node])
+        if len(node[0]) == 3:
+            weighted[node], share[node] = own, 1.0
+        else:
+            longer = sum(weighted[x] for x in contexts[node])
+            top = max(own, longer)
+            weighted[node] = top + math.log(math.exp(own - top) + math.exp(longer - top)) - math.log(2)
+            share[node] = 1 / (1 + math.exp(min(700, longer - own)))
+    want = []
+    for t in train + other:
+        total = 0.0
+        for path, bit in walk(t):
+            p, met = 0.5, False
+            for node in reversed(path):
+                if node in counts:
+                    a, b = counts[node]
+                    w = share[node] if met else 1.0
+                    p, met = w * (b + 0.5) / (a + b + 1) + (1 - w) * p, True
+            total += math.log10(p if bit else 1 - p)
+        want.append(total)
+    df = spark.createDataFrame([(i, t, False) for i, t in enumerate(train + other)], "doc_id long, text string, held_out boolean").repartition(3)
+    for most in (None, 3):
+        if most:  # nearly all grams are looked up; MOST_GRAMS was the bound that made contexts shorter
+            for name in ("MOST_GRAMS", "FREQUENT_GRAMS"):
+                monkeypatch.setattr(lm_score, name, most, raising=False)
+        got = by_id(lm_score.lm_scores(df, df.where(f"doc_id < {len(train)}")))
+        assert all(math.isclose(got[i]["score"], x, rel_tol=1e-5) for i, x in enumerate(want))
+
+
 def test_quality_counts(docs, rows, nothing):
     got = collections.defaultdict(list)
     for r in quality.quality(docs).collect():
