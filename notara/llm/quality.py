@@ -3,8 +3,9 @@
 Four smoothed statistics of a document form a vector.  For each language and source a minimum
 covariance determinant estimate (deterministic starts, concentration steps on the nearest three
 quarters of the rows) gives a centre and a covariance, and a document whose squared Mahalanobis
-distance passes a chi-square quantile is rejected.  Everything of a group is a map-side sum or a
-percentile; no row of a group is collected.
+distance passes a chi-square quantile is rejected.  A language and source with few rows is judged by
+the estimate of its whole language, and a language with few rows by that of the whole table.
+Everything of a group is a map-side sum or a percentile; no row of a group is collected.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from ._shared import read, save, small
 X = ("x1", "x2", "x3", "x4")
 PAIRS = [(a, b) for i, a in enumerate(X) for b in X[: i + 1]]
 SUBSET = 0.75
-LEAST_ROWS = 40  # smaller groups give no verdict
+LEAST_ROWS = 40  # smaller groups are judged by a wider one
 #: Added to each variance: statistics that are 0 in nearly all rows stay invertible, and a text with
 #: a few symbols or one repeated line is no outlier.
 RIDGE = {"x1": 0.02**2, "x2": 0.35**2, "x3": 0.35**2, "x4": 0.45**2}
@@ -81,21 +82,25 @@ def vector(counts: DataFrame) -> DataFrame:
 
 
 KEY = ["lang", "source"]
+LEVELS = [KEY, ["lang"], []]  # narrow to wide; the last is the whole table
 
 
-def _estimate(rows: DataFrame) -> DataFrame:
+def _estimate(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Mean and covariance (with the ridge) of each group of rows."""
-    return rows.groupBy(*KEY).agg(
+    return rows.groupBy(*keys).agg(
         *[F.avg(a).alias(f"m_{a}") for a in X],
         *[(F.covar_pop(a, b) * _consistency() + (RIDGE[a] if a == b else 0.0)).alias(f"c_{a}_{b}") for a, b in PAIRS],
     )
 
 
-def _with(rows: DataFrame, groups: DataFrame) -> DataFrame:
+def _with(rows: DataFrame, groups: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """rows with the columns of their group (null-safe)."""
-    renamed = groups.withColumnsRenamed({k: f"_{k}" for k in KEY})
-    joined = rows.join(small(rows.sparkSession, renamed, 100_000), F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
-    return joined.drop(*[f"_{k}" for k in KEY])
+    renamed = groups.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    joined = rows.join(small(rows.sparkSession, renamed, 100_000), same, "left")
+    return joined.drop(*[f"_{k}" for k in keys])
 
 
 def _factored(groups: DataFrame) -> DataFrame:
@@ -114,8 +119,8 @@ def _distances(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d", sum((F.col(f"y_{a}") * F.col(f"y_{a}") for a in X), F.lit(0.0)))
 
 
-def estimates(rows: DataFrame, steps: int = 3) -> DataFrame:
-    """Centre and covariance of each (lang, source) by minimum covariance determinant over rows(x1..x4).
+def estimates(rows: DataFrame, steps: int = 3, keys: list[str] = KEY) -> DataFrame:
+    """Centre and covariance of each group (by default lang, source) by minimum covariance determinant over rows(x1..x4).
 
     Starts: medians with squared median deviations, and the classical mean and covariance.  The
     start whose last subset has the smaller determinant wins.
@@ -123,36 +128,50 @@ def estimates(rows: DataFrame, steps: int = 3) -> DataFrame:
     ends = []
     for start in range(2):
         if start == 0:
-            middle = rows.groupBy(*KEY).agg(*[F.percentile_approx(a, 0.5, 1000).alias(f"m_{a}") for a in X])
-            spread = _with(rows, middle).groupBy(*KEY).agg(*[F.first(f"m_{a}").alias(f"m_{a}") for a in X], *[F.percentile_approx(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5, 1000).alias(f"s_{a}") for a in X])
-            now = spread.select(*KEY, *[f"m_{a}" for a in X], *[(F.pow(1.4826 * F.col(f"s_{a}"), 2) + RIDGE[a] if a == b else F.lit(0.0)).alias(f"c_{a}_{b}") for a, b in PAIRS])
+            middle = rows.groupBy(*keys).agg(*[F.percentile_approx(a, 0.5, 1000).alias(f"m_{a}") for a in X])
+            spread = _with(rows, middle, keys).groupBy(*keys).agg(*[F.first(f"m_{a}").alias(f"m_{a}") for a in X], *[F.percentile_approx(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5, 1000).alias(f"s_{a}") for a in X])
+            now = spread.select(*keys, *[f"m_{a}" for a in X], *[(F.pow(1.4826 * F.col(f"s_{a}"), 2) + RIDGE[a] if a == b else F.lit(0.0)).alias(f"c_{a}_{b}") for a, b in PAIRS])
         else:
-            now = _estimate(rows)
+            now = _estimate(rows, keys)
         for _ in range(steps):
             now = save(_factored(now), "estimates")
-            far = _distances(_with(rows, now)).select(*KEY, *X, "d")
-            cut = far.groupBy(*KEY).agg(F.percentile_approx("d", SUBSET, 1000).alias("cut"))
-            now = _estimate(_with(far, cut).where("d <= cut"))
+            far = _distances(_with(rows, now, keys)).select(*keys, *X, "d")
+            cut = far.groupBy(*keys).agg(F.percentile_approx("d", SUBSET, 1000).alias("cut"))
+            now = _estimate(_with(far, cut, keys).where("d <= cut"), keys)
         ends.append(save(_factored(now), "estimates"))
     both = ends[0].unionByName(ends[1])
-    rest = [c for c in both.columns if c not in KEY]
-    return both.groupBy(*KEY).agg(F.min_by(F.struct(*rest), "det").alias("e")).select(*KEY, "e.*")
+    rest = [c for c in both.columns if c not in keys]
+    return both.groupBy(*keys).agg(F.min_by(F.struct(*rest), "det").alias("e")).select(*keys, "e.*")
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept).
 
     docs(doc_id, text, lang, source).  Null texts count as empty; null languages and sources are
-    groups of their own; groups of fewer than LEAST_ROWS usable rows reject nothing beyond the base
-    rules (distance is null).  Repeated rows are judged each for itself; an empty table gives an
-    empty result.
+    groups of their own.  A (lang, source) of fewer than LEAST_ROWS usable rows is judged by its
+    language, and a language of fewer by the whole table.  Only where the whole table has fewer,
+    so that nothing can be estimated, the base rules stand alone and distance is null.  Repeated rows
+    are judged each for itself; an empty table gives an empty result.
     """
     table = save(vector(text_counts(docs.select("doc_id", "text", "lang", "source")).drop("text")), "counts")
-    rows = table.where("NOT base_failed").select(*KEY, *X)
-    enough = rows.groupBy(*KEY).agg(F.count("*").alias("rows")).where(F.col("rows") >= LEAST_ROWS)
-    usable = save(_with(rows, enough).where("rows IS NOT NULL").drop("rows"), "rows")
-    final = save(estimates(usable), "estimates")
-    judged = _distances(_with(table, final)).withColumnRenamed("d", "distance")
+    sizes = table.groupBy(*KEY).agg(F.count_if(~F.col("base_failed")).alias("rows"))
+    wider = _with(_with(sizes, sizes.groupBy("lang").agg(F.sum("rows").alias("lang_rows")), LEVELS[1]), sizes.agg(F.sum("rows").alias("all_rows")), LEVELS[2])
+    level = F.when(F.col("rows") >= LEAST_ROWS, 0).when(F.col("lang_rows") >= LEAST_ROWS, 1).when(F.col("all_rows") >= LEAST_ROWS, 2)
+    groups = save(wider.select(*KEY, level.alias("level")), "levels")
+    placed = save(_with(table, groups), "placed")
+    parts = [placed.where("level IS NULL").withColumn("distance", F.lit(None).cast("double")).select(*table.columns, "distance")]
+    for n in sorted(r["level"] for r in groups.where("level IS NOT NULL").select("level").distinct().collect()):
+        keys = LEVELS[n]
+        rows = placed.where("NOT base_failed")
+        if n < 2:  # all usable rows of the groups of this level that judge anything
+            wanted = groups.where(F.col("level") == n).select(*keys).distinct().withColumn("wanted", F.lit(True))
+            rows = _with(rows, wanted, keys).where("wanted")
+        usable = save(rows.select(*keys, *X), "rows")
+        final = save(estimates(usable, keys=keys), "estimates")
+        parts.append(_distances(_with(placed.where(F.col("level") == n), final, keys)).withColumnRenamed("d", "distance").select(*table.columns, "distance"))
+    judged = parts[0]
+    for part in parts[1:]:
+        judged = judged.unionByName(part)
     kept = ~F.col("base_failed") & (F.col("distance").isNull() | (F.col("distance") <= CUTOFF))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", kept.alias("kept"))
 

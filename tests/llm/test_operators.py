@@ -347,6 +347,17 @@ def test_quality_rejects_outliers(spark):
     assert not any(got[1000 + i]["kept"] for i in range(20)) and all(got[i]["kept"] for i in range(200))
 
 
+def test_quality_judges_small_groups(spark):
+    """A small source is judged by its language, a small language by the table."""
+    rng = random.Random(6)
+    texts = [("en", "a")] * 120 + [("en", "b")] * 6 + [("en", None)] * 6 + [("de", "a")] * 6 + [(None, None)] * 6
+    rows = [(i, prose(rng, 80), *group, 1) for i, group in enumerate(texts)]
+    rows += [(1000 + i, " ".join(x + "###$$$" for x in prose(rng, 80).split()), *group, 1) for i, group in enumerate([("en", "b"), ("en", None), ("de", "a"), (None, None), ("fr", "z")])]
+    got = by_id(quality.quality(spark.createDataFrame(rows, SCHEMA)))
+    assert len(got) == len(rows) and all(r["distance"] is not None for r in got.values())
+    assert not any(got[1000 + i]["kept"] for i in range(5)) and all(got[i]["kept"] for i in range(len(texts)))
+
+
 def test_robust_distance_matches_numpy(spark):
     """The distances are Mahalanobis distances of the table's own centre and covariance."""
     rng = np.random.default_rng(0)
