@@ -1,6 +1,7 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and word beginnings that toxic training texts have more often than others.  The
+Terms are words and word beginnings that toxic training texts have significantly more often than
+others: all of them, which the bounded sample bounds.  The
 examples' weights stand in an inverted index whose postings are cut into blocks of examples with the
 greatest weight of each term in each block.  A query visits blocks in the order of their upper
 bounds and stops when the next bound cannot beat its k-th neighbour, so neighbours are exact.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from ._shared import fold, read, save, small
 
 EXAMPLES = {1: 4_000, 0: 12_000}
-TERMS, LEAST_DOCS, LEAST_CHI2 = 600, 4, 20.0
+LEAST_DOCS, LEAST_CHI2 = 4, 20.0
 NEIGHBOURS, BLOCK = 15, 64
 THRESHOLD = 0.7
 BEGINNINGS = range(3, 8)
@@ -95,15 +96,17 @@ class BlockMaxIndex:
         order = sorted(range(len(vectors)), key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), vectors[i][0].tolist()))
         self.order = np.array(order, np.int64)
         blocks = max(1, -(-len(order) // BLOCK))
-        self.most = np.zeros((terms, blocks))
+        most: list[dict[int, float]] = [{} for _ in range(terms)]  # of the blocks that have the term
         lists: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
         for row, i in enumerate(order):
             for t, w in zip(*vectors[i], strict=True):
                 lists[t].append((row, w))
-                self.most[t, row // BLOCK] = max(self.most[t, row // BLOCK], w)
+                most[t][row // BLOCK] = max(most[t].get(row // BLOCK, 0.0), w)
         self.rows = [np.array([r for r, _ in x], np.int64) for x in lists]
         self.weights = [np.array([w for _, w in x]) for x in lists]
         self.blocks = [r // BLOCK for r in self.rows]
+        self.most = [(np.array(list(x), np.int64), np.array(list(x.values()))) for x in most]
+        self.count = blocks
         self.size = len(order)
 
     def _sums(self, at: np.ndarray, weights: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +124,8 @@ class BlockMaxIndex:
         """The k examples of the greatest positive cosine (ties: index order) and their cosines; `leave` is left out."""
         if not len(at) or not self.size:
             return np.empty(0, np.int64), np.empty(0)
-        bound = weights @ self.most[at]
+        mine = [self.most[t] for t in at.tolist()]
+        bound = np.bincount(np.concatenate([x for x, _ in mine]), np.concatenate([w * x for w, (_, x) in zip(weights.tolist(), mine, strict=True)]), self.count)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         rows, sims, least, done, batch = np.empty(0, np.int64), np.empty(0), 0.0, 0, 4
@@ -221,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     both = n[0] + n[1]
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     chi2 = both * F.pow(a * n[0] - b * n[1], 2) / ((a + b) * (both - a - b) * max(1, n[0]) * max(1, n[1]) + 1e-9)
-    top = counts.where((F.col("a") >= LEAST_DOCS) & (a * max(1, n[0]) > b * max(1, n[1]))).withColumn("chi2", chi2).where(F.col("chi2") > LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(TERMS).collect()
+    top = counts.where((F.col("a") >= LEAST_DOCS) & (a * max(1, n[0]) > b * max(1, n[1]))).withColumn("chi2", chi2).where(F.col("chi2") > LEAST_CHI2).orderBy(F.desc("chi2"), "term").collect()
     terms = [r["term"] for r in top]
     first = spark.sparkContext.broadcast(Vectors(terms, np.ones(len(terms))))
     seen = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(_df(first), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}

@@ -431,6 +431,19 @@ def test_toxicity(spark, nothing):
     assert {r["score"] for r in toxicity.toxicity(df, toxicity.fit(df, lab.limit(0))).collect()} == {0.0}
 
 
+def test_rare_toxic_word_beside_many(spark):
+    """A toxic word counts however many stronger terms there are."""
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    bad = ["".join(x) for x in zip(*[[rng.choice(letters) for _ in range(150)] for _ in range(10)])]
+    rows = [(i, prose(rng, 30) + " " + " ".join(rng.sample(bad, 20)), "en", "a", 1) for i in range(300)]
+    rows += [(300 + i, prose(rng, 30) + " zyzzyvas", "en", "a", 1) for i in range(16)] + [(400 + i, prose(rng, 30), "en", "a", 1) for i in range(600)]
+    labels = [(r[0], 1, int(r[0] < 400)) for r in rows]
+    model = toxicity.fit(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert len(model.vectors.place) > 600
+    assert model.score(prose(rng, 30) + " zyzzyvas")[0] >= 0.7 > model.score(prose(rng, 30))[0]
+
+
 def test_block_max_neighbours_are_exact():
     rng = np.random.default_rng(7)
     vectors = []
