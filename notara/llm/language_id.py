@@ -6,7 +6,7 @@ lower-cased, with a space on either side).  Each order's grams and contexts are
 per character; a text whose cross-entropy is far above what texts of that language have, for its
 length, is marked as rejected.
 
-The models are fitted on a bounded sample: about SAMPLE training documents of each language, whole.
+The models are fitted on about SAMPLE training documents of each language, whole, for every language there is.
 A quarter of them only calibrates the rejection.
 """
 
@@ -23,11 +23,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import fold, read
+from ._shared import fold, read, save, small
 from ._text import bytes_of, mix
 
 ORDER = 5
-SAMPLE, MOST_LANGUAGES = 800, 200
+SAMPLE = 800
 REJECT_AT = 8.0  # standard deviations
 FLOOR = 0.25  # bits a character that any text may be off
 _U = np.uint64
@@ -139,40 +139,40 @@ class Models:
 class _Memo:
     """Bits of grams met before, by hash: an open-addressed table that starts anew when it is full."""
 
-    BITS = 20
-
     def __init__(self, width: int):
         self.width = width
+        self.bits = max(12, 20 - max(0, (width - 1) // 200).bit_length())  # fewer grams where each has many languages
+        self.full = min(300_000, (1 << self.bits) * 3 // 10)
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(1 << self.BITS, _U)
-        self.values = np.zeros((1 << self.BITS, self.width), np.float32)
+        self.keys = np.zeros(1 << self.bits, _U)
+        self.values = np.zeros((1 << self.bits, self.width), np.float32)
         self.held = 0
 
     def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slot of each key, and the keys' places that are not held."""
-        slot = (key >> _U(64 - self.BITS)).astype(np.int64)
+        slot = (key >> _U(64 - self.bits)).astype(np.int64)
         left = np.flatnonzero(self.keys[slot] != key)
         missing = []
         while len(left):
             free = self.keys[slot[left]] == 0
             missing.append(left[free])
             left = left[~free]
-            slot[left] = (slot[left] + 1) & ((1 << self.BITS) - 1)
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
             left = left[self.keys[slot[left]] != key[left]]
         return slot, np.concatenate(missing) if missing else np.empty(0, np.int64)
 
     def add(self, key: np.ndarray, values: np.ndarray) -> None:
         """New distinct keys."""
-        slot, left = (key >> _U(64 - self.BITS)).astype(np.int64), np.arange(len(key))
+        slot, left = (key >> _U(64 - self.bits)).astype(np.int64), np.arange(len(key))
         while len(left):
             free = self.keys[slot[left]] == 0
             self.keys[slot[left[free]]] = key[left[free]]
             won = self.keys[slot[left]] == key[left]
             self.values[slot[left[won]]] = values[left[won]]
             left = left[~won]
-            slot[left] = (slot[left] + 1) & ((1 << self.BITS) - 1)
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
         self.held += len(key)
 
 
@@ -221,14 +221,14 @@ def _predict(shared):
                 columns, length, first = _places(text.slice(lo, hi - lo))
                 wide = [np.where(length > j, columns[j], 0) for j in range(ORDER)]
                 key = _key(wide, ORDER) | _U(1)
-                if memo.held > 300_000:
+                if memo.held > memo.full:
                     memo.clear()
                 slot, missing = memo.find(key)
                 if len(missing):
                     new, index = np.unique(key[missing], return_index=True)
                     pick = missing[index]
                     bits = models.score([c[pick] for c in columns], length[pick])
-                    if memo.held + len(new) <= (1 << memo.BITS) * 3 // 4:
+                    if memo.held + len(new) <= (1 << memo.bits) * 3 // 4:
                         memo.add(new, bits)
                         slot = memo.find(key)[0]
                         values = memo.values[slot]
@@ -265,12 +265,9 @@ def fit(train: DataFrame, sample: int = SAMPLE):
     """Broadcast models and rejection limits from train(doc_id, text, lang); null languages are left out."""
     spark = train.sparkSession
     known = train.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
+    rates = save(known.groupBy("lang").agg((F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")) * 1_000_000).cast("long").alias("rate")), "rates")
     draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(7)), F.lit(1_000_000))
-    rate = F.lit(0)
-    for lang, n in sizes.items():
-        rate = F.when(F.col("lang") == lang, int(min(1.0, sample / n) * 1_000_000)).otherwise(rate)
-    drawn = known.where(draw < rate).withColumn("part", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(11)), F.lit(4)))
+    drawn = known.join(small(spark, rates), "lang").where(draw < F.col("rate")).select("doc_id", "text", "lang").withColumn("part", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(11)), F.lit(4)))
     counts: dict[str, Counter] = {}
     for r in drawn.where("part > 0").select("lang", "text").mapInArrow(_count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().to_pylist():
         counts.setdefault(r["lang"], Counter())[r["gram"]] = r["n"]

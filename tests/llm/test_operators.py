@@ -391,6 +391,17 @@ def test_language_id(spark, nothing):
     assert language_id.predict(df, language_id.fit(nothing)).where("lang_pred != 'und'").count() == 0
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(12)
+    rows = []
+    for lang in range(210):
+        own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(5)]
+        rows += [(8 * lang + i, " ".join(rng.choice(own) for _ in range(30)), f"l{lang:03d}", "a", 1) for i in range(8)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = by_id(language_id.predict(df, language_id.fit(df)))
+    assert all(got[r[0]]["lang_pred"] == r[2] for r in rows)
+
+
 def test_kneser_ney_sums_to_one():
     counts = {x: collections.Counter() for x in LANGS}
     for x, words in LANGS.items():
