@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import save
+from ._shared import lean, save
 
 SCHEMA = "parcel string, shard int, body binary"
 KEYS_PER_SHARD = 400_000
@@ -30,16 +30,21 @@ def shard_bits(keys: int) -> int:
     return max(3, int(np.ceil(np.log2(max(1, keys) / KEYS_PER_SHARD))))
 
 
-def rows(body: dict, keys: np.ndarray, bits: int, more: list[np.ndarray] | None = None) -> pa.RecordBatch:
-    """A parcel's rows; keys are sorted and distinct.  more: keys of another kind for each shard from 1 << bits on."""
+def rows(body: dict, keys: np.ndarray, bits: int, more: tuple[np.ndarray, list[np.ndarray]] | None = None) -> pa.RecordBatch:
+    """A parcel's rows; keys are sorted and distinct.  more: split() of keys of another kind, whose shards stand from 1 << bits on."""
     name = uuid.uuid4().hex
-    cut = np.searchsorted(keys, np.arange(1 << bits, dtype=_U) << _U(64 - bits))
-    parts = [*np.split(keys, cut[1:]), *(more or [])]
-    shards = [-1, *(i for i, p in enumerate(parts) if len(p))]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([name] * len(shards)), pa.array(shards, pa.int32()), pa.array([pickle.dumps(body, 5), *(p.tobytes() for p in parts if len(p))], pa.binary())],
-        names=["parcel", "shard", "body"],
-    )
+    own, parts = split(keys, (keys >> _U(64 - bits)).astype(np.int64))
+    shards = [-1, *own.tolist()]
+    if more:
+        shards += (more[0] + (1 << bits)).tolist()
+        parts = [*parts, *more[1]]
+    return pa.RecordBatch.from_arrays([pa.array([name] * len(shards)), pa.array(shards, pa.int32()), pa.array([pickle.dumps(body, 5), *(p.tobytes() for p in parts)], pa.binary())], names=["parcel", "shard", "body"])
+
+
+def split(keys: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Shards (sorted) that the keys have, and the keys of each: a parcel costs its keys, however many shards there are."""
+    first = np.flatnonzero(np.diff(shard, prepend=-1))
+    return shard[first], np.split(keys, first[1:]) if len(first) else []
 
 
 def _no_annotations(f: Callable) -> Callable:
@@ -85,7 +90,7 @@ def answer(sent: DataFrame, table: DataFrame | None, reply: Callable, finish: Ca
 
 def send(docs: DataFrame, scan: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], name: str) -> DataFrame:
     """The saved rows() of every parcel that scan makes of docs."""
-    return save(docs.mapInArrow(scan, SCHEMA), name)
+    return save(docs.mapInArrow(lean(scan), SCHEMA), name)
 
 
 def shard_of(key: str, bits: int):

@@ -1,43 +1,89 @@
-"""Tables in the folder that driver and executors share, and other small Spark helpers."""
+"""Tables in the folder that driver and executors share, what workers hold, and other small Spark helpers."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Broadcast at most this many keys of a table whose size has been counted.
 BROADCAST_KEYS = 1_000_000
-#: Rows of an Arrow batch where the session has Spark's default of 10,000: a worker holds a batch of whole texts.
-BATCH_ROWS = 2_000
+#: Rows and bytes of an Arrow batch where the session has Spark's defaults of 10,000 and 64 MB: a worker holds a batch of whole texts.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+#: Characters of a long text that are worked on at a time, where the work can be cut.
+PART = 1 << 17
+
+
+# ---- tables ---------------------------------------------------------------------------------------
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset (tests), a temporary folder that is then set."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """spark.checkpoint.dir; where it is unset and the master is local (tests), a temporary folder that is then set."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not at:
-        at = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="notara-")
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = tempfile.mkdtemp(prefix="notara-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at
 
 
+def _files(spark: SparkSession, path: str):
+    """The path for the JVM, and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+_scopes: list[set[str]] = []
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives executors."""
-    path = os.path.join(shared_dir(df.sparkSession), "notara", f"{name}-{uuid.uuid4().hex}")
+    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives executors.
+
+    The table is deleted by drop(), at the end of a scratch() around it, or when the application ends.
+    """
+    spark = df.sparkSession
+    root = os.path.join(shared_dir(spark), "notara", spark.sparkContext.applicationId)
+    path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    at, files = _files(spark, root)
+    files.deleteOnExit(at)
+    if _scopes:
+        _scopes[-1].add(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes at its end the tables saved within it, but for those that the function it gives was called on."""
+    _scopes.append(set())
+
+    def keep(table: DataFrame) -> DataFrame:
+        _scopes[-1].difference_update(*({p for p in _scopes[-1] if os.path.basename(p) in x} for x in table.inputFiles()))
+        return table
+
+    try:
+        yield keep
+    finally:
+        for path in _scopes.pop():
+            at, files = _files(spark, path)
+            files.delete(at, True)
 
 
 def drop(*tables: DataFrame) -> None:
     """Delete tables of save() that nothing reads any more."""
     for df in tables:
-        jvm = df.sparkSession._jvm
-        for at in {os.path.dirname(x) for x in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(at)
-            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        for folder in {os.path.dirname(x) for x in df.inputFiles()}:  # of save() only
+            at, files = _files(df.sparkSession, folder)
+            files.delete(at, True)
 
 
 def small(spark: SparkSession, df: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
@@ -58,10 +104,11 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Smaller Arrow batches, unless the session sets its own."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, "10000") == "10000":
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Smaller Arrow batches for the rest of the session, unless it sets its own."""
+    for key, default, value in (("maxRecordsPerBatch", "10000", BATCH_ROWS), ("maxBytesPerBatch", "67108864", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(key, default).lower() in (default, "64mb", "64m", f"{default}b"):
+            spark.conf.set(key, str(value))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,6 +116,73 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def texts_of(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id (as long), text and more columns of docs."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of all columns of df that can be hashed: orders rows that have the same doc_id."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t])
+
+
 def fold(doc_id: str | Column, n: int) -> Column:
     """crc32 of doc_id as text, modulo n (null doc_id: 0, a training row of every fold)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % n, F.lit(0))
+
+
+# ---- workers --------------------------------------------------------------------------------------
+
+_kept: list[Callable] = []
+
+
+def kept(cached: Callable) -> Callable:
+    """Marks an lru_cache of something large that a worker keeps from one partition of an operator to the next."""
+    _kept.append(cached)
+    return cached
+
+
+def lean(work: Callable, *keep: Callable) -> Callable:
+    """work(batches) that first drops what other operators keep in this worker, and gives free memory back at its end.
+
+    Python workers live on from stage to stage, so an executor's memory would else hold what each of
+    its workers ever needed.
+    """
+
+    def run(batches):
+        _begin(keep)
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
+
+
+def _begin(keep: tuple[Callable, ...]) -> None:
+    for cached in _kept:
+        if cached not in keep:
+            cached.cache_clear()
+
+
+def release() -> None:
+    """Give free memory back to the system (where the C library has a call for it)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+_BREAK = regex.compile(r"[^\p{L}\p{M}\p{N}_]")
+
+
+def parts(text: str, size: int = PART) -> Iterator[str]:
+    """The text in parts of about `size` characters that end between words; a single longer word is cut."""
+    lo = 0
+    while len(text) - lo > size:
+        found = _BREAK.search(text, lo + size, lo + 2 * size)
+        hi = found.end() if found else min(len(text), lo + 2 * size)
+        yield text[lo:hi]
+        lo = hi
+    yield text[lo:] if lo else text

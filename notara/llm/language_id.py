@@ -6,8 +6,9 @@ lower-cased, with a space on either side).  Each order's grams and contexts are
 per character; a text whose cross-entropy is far above what texts of that language have, for its
 length, is marked as rejected.
 
-The models are fitted on about SAMPLE training documents of each language, whole, for every language there is.
-A quarter of them only calibrates the rejection.
+The models are fitted on about SAMPLE training documents of each language, whole, for every language
+there is; of a language with long documents, on fewer (about SAMPLE_BYTES, but LEAST documents).  A
+quarter of them only calibrates the rejection.
 """
 
 from __future__ import annotations
@@ -19,20 +20,19 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import fold, read, save, small
-from ._text import bytes_of, mix
+from ._shared import PART, fold, kept, lean, parts, read, save, small, texts_of
+from ._text import mix
 
 ORDER = 5
-SAMPLE = 800
+SAMPLE, SAMPLE_BYTES, LEAST = 800, 8_000_000, 100
 REJECT_AT = 8.0  # standard deviations
 FLOOR = 0.25  # bits a character that any text may be off
+MEMO_BYTES = 32 << 20
 _U = np.uint64
 _STEP = [_U(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64)) for j in range(ORDER)]
-_LETTERS = regex.compile(r"\p{L}+")
 
 
 def _key(columns: list[np.ndarray], k: int) -> np.ndarray:
@@ -48,7 +48,9 @@ def _count(batches):
     sums: dict[str, Counter] = {}
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            words = Counter(_LETTERS.findall((text or "").lower()))
+            words: Counter = Counter()
+            for part in parts(text or ""):
+                words.update(_lowered([part])[0].tobytes().decode("utf-32-le", "surrogatepass").split())
             own = sums.setdefault(lang, Counter())
             for word, n in words.items():
                 s = f" {word} "
@@ -88,7 +90,7 @@ class Models:
             grams = sorted({g for f in fitted for g in f[k]})
             contexts = sorted({g[:-1] for g in grams})
             place = {c: i for i, c in enumerate(contexts)}
-            alpha, rest = np.zeros((len(grams), width)), np.ones((len(contexts), width))
+            alpha, rest = np.zeros((len(grams), width), np.float32), np.ones((len(contexts), width), np.float32)
             at = {g: i for i, g in enumerate(grams)}
             for col, f in enumerate(fitted):
                 own = f[k]
@@ -141,7 +143,7 @@ class _Memo:
 
     def __init__(self, width: int):
         self.width = width
-        self.bits = max(12, 20 - max(0, (width - 1) // 200).bit_length())  # fewer grams where each has many languages
+        self.bits = max(10, (MEMO_BYTES // (8 + 4 * width)).bit_length() - 1)
         self.full = min(300_000, (1 << self.bits) * 3 // 10)
         self.clear()
 
@@ -176,6 +178,7 @@ class _Memo:
         self.held += len(key)
 
 
+@kept
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """The lower-case letter of each code point; 0 where it is no letter."""
@@ -188,72 +191,88 @@ def _letters() -> np.ndarray:
     return out
 
 
-def _places(column) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Columns of the characters of all words (last first), each gram's length, and each text's first place."""
-    texts = column.to_pylist()
-    points = np.frombuffer("\0".join([t or "" for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    ends = np.cumsum([len(t or "") + 1 for t in texts])  # after each text's separator
-    flow = np.concatenate((_letters()[points], np.zeros(2, np.uint32)))
+def _lowered(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the texts, a space after each: letters in lower case, all else spaces; and which are letters."""
+    points = np.frombuffer(" ".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    flow = _letters()[points]
     letter = flow > 0
-    letter[-1] = False
+    flow[~letter] = 32
+    return flow, letter
+
+
+def _places(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Columns of the characters of all words (last first), each gram's length, and each text's first place."""
+    ends = np.cumsum([len(t) + 1 for t in texts])  # after each text's separator
+    flow, letter = _lowered(texts)
     before = np.concatenate(([False], letter[:-1]))
     spot = np.flatnonzero(letter | before)  # letters, and the space that ends a word
     run = np.arange(len(flow)) - np.maximum.accumulate(np.where(letter | before, -1, np.arange(len(flow))))  # 1 for a word's first letter
     length = np.minimum(run[spot] + 1, ORDER)
-    flow = np.where(letter, flow, 32).astype(np.uint32)
     padded = np.concatenate((np.full(ORDER, 32, np.uint32), flow))
     columns = [padded[spot + ORDER - j] for j in range(ORDER)]
     first = np.searchsorted(spot, np.concatenate(([0], ends)))
     return columns, length, first
 
 
+def _segments(texts: list[str | None], size: int):
+    """(text's number, part) of the parts of the texts, in lists of about `size` characters."""
+    group, held = [], 0
+    for i, text in enumerate(texts):
+        for part in parts(text or "", size):
+            group.append((i, part))
+            held += len(part)
+            if held >= size:
+                yield group
+                group, held = [], 0
+    if group:
+        yield group
+
+
 def _predict(shared):
+    def bits_of(models, memo, columns, length):
+        """Bits of each place in each language, from the memo or the models."""
+        key = _key([np.where(length > j, columns[j], 0) for j in range(ORDER)], ORDER) | _U(1)
+        if memo.held > memo.full:
+            memo.clear()
+        slot, missing = memo.find(key)
+        if not len(missing):
+            return memo.values[slot]
+        new, index = np.unique(key[missing], return_index=True)
+        pick = missing[index]
+        bits = models.score([c[pick] for c in columns], length[pick])
+        if memo.held + len(new) <= (1 << memo.bits) * 3 // 4:
+            memo.add(new, bits)
+            return memo.values[memo.find(key)[0]]
+        values = memo.values[slot]
+        values[missing] = bits[np.searchsorted(new, key[missing])]
+        return values
+
     def predict(batches):
         models, limits = shared.value
-        width = len(models.languages)
-        memo = _Memo(max(1, width))
+        width = max(1, len(models.languages))
+        memo = _Memo(width)
         for batch in batches:
-            text = batch.column("text")
-            at = bytes_of(text)[1]
-            lo = 0
-            while lo < batch.num_rows:  # about half a megabyte of whole texts at a time
-                hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(at, at[lo] + (1 << 19), "right")) - 1))
-                columns, length, first = _places(text.slice(lo, hi - lo))
-                wide = [np.where(length > j, columns[j], 0) for j in range(ORDER)]
-                key = _key(wide, ORDER) | _U(1)
-                if memo.held > memo.full:
-                    memo.clear()
-                slot, missing = memo.find(key)
-                if len(missing):
-                    new, index = np.unique(key[missing], return_index=True)
-                    pick = missing[index]
-                    bits = models.score([c[pick] for c in columns], length[pick])
-                    if memo.held + len(new) <= (1 << memo.bits) * 3 // 4:
-                        memo.add(new, bits)
-                        slot = memo.find(key)[0]
-                        values = memo.values[slot]
-                    else:
-                        values = memo.values[slot]
-                        values[missing] = bits[np.searchsorted(new, key[missing])]
-                else:
-                    values = memo.values[slot]
-                sums = np.zeros((len(key) + 1, max(1, width)))
-                np.cumsum(values, axis=0, out=sums[1:])
-                n = np.diff(first)
-                mean = np.diff(sums[first], axis=0) / np.maximum(n, 1)[:, None]
-                best = np.argmin(mean, axis=1)
-                low = mean[np.arange(len(n)), best]
-                share = 2.0 ** (-np.minimum(n, 60)[:, None] * (mean - low[:, None]))
-                score = 1 / share.sum(axis=1)
-                centre, spread = limits[0][best], limits[1][best]
-                known = (n > 0) & (width > 0)
-                far = known & (low > centre + REJECT_AT * np.sqrt(spread / np.maximum(n, 1) + FLOOR**2))
-                names = np.array([*models.languages, "und"], dtype=object)[np.where(known, best, width)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(names.tolist(), pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(np.where(known, low, np.nan), mask=~known), pa.array(n.astype(np.int64)), pa.array(far | ~known)],
-                    names=["doc_id", "lang_pred", "score", "bits", "n_letters", "rejected"],
-                )
-                lo = hi
+            sums, n = np.zeros((batch.num_rows, width)), np.zeros(batch.num_rows, np.int64)
+            for group in _segments(batch.column("text").to_pylist(), max(1024, PART // -(-width // 8))):
+                columns, length, first = _places([part for _, part in group])
+                upto = np.zeros((len(length) + 1, width))
+                np.cumsum(bits_of(models, memo, columns, length), axis=0, out=upto[1:])
+                owner = np.array([i for i, _ in group])
+                np.add.at(sums, owner, np.diff(upto[first], axis=0))
+                np.add.at(n, owner, np.diff(first))
+            mean = sums / np.maximum(n, 1)[:, None]
+            best = np.argmin(mean, axis=1)
+            low = mean[np.arange(len(n)), best]
+            share = 2.0 ** (-np.minimum(n, 60)[:, None] * (mean - low[:, None]))
+            score = 1 / share.sum(axis=1)
+            centre, spread = limits[0][best], limits[1][best]
+            known = (n > 0) & (len(models.languages) > 0)
+            far = known & (low > centre + REJECT_AT * np.sqrt(spread / np.maximum(n, 1) + FLOOR**2))
+            names = np.array([*models.languages, "und"], dtype=object)[np.where(known, best, len(models.languages))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(names.tolist(), pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(np.where(known, low, np.nan), mask=~known), pa.array(n), pa.array(far | ~known)],
+                names=["doc_id", "lang_pred", "score", "bits", "n_letters", "rejected"],
+            )
 
     return predict
 
@@ -265,18 +284,19 @@ def fit(train: DataFrame, sample: int = SAMPLE):
     """Broadcast models and rejection limits from train(doc_id, text, lang); null languages are left out."""
     spark = train.sparkSession
     known = train.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-    rates = save(known.groupBy("lang").agg((F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")) * 1_000_000).cast("long").alias("rate")), "rates")
+    wanted = F.greatest(F.lit(float(LEAST)), F.least(F.lit(float(sample)), F.count("*") * F.lit(float(SAMPLE_BYTES)) / F.greatest(F.lit(1), F.sum(F.octet_length("text")))))
+    rates = save(known.groupBy("lang").agg((F.least(F.lit(1.0), wanted / F.count("*")) * 1_000_000).cast("long").alias("rate")), "rates")
     draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(7)), F.lit(1_000_000))
     drawn = known.join(small(spark, rates), "lang").where(draw < F.col("rate")).select("doc_id", "text", "lang").withColumn("part", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(11)), F.lit(4)))
     counts: dict[str, Counter] = {}
-    for r in drawn.where("part > 0").select("lang", "text").mapInArrow(_count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().to_pylist():
+    for r in drawn.where("part > 0").select("lang", "text").mapInArrow(lean(_count, _letters), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().to_pylist():
         counts.setdefault(r["lang"], Counter())[r["gram"]] = r["n"]
     models = Models(counts)
     width = max(1, len(models.languages))
     open_ = (np.full(width, 1e9), np.zeros(width))
     first = spark.sparkContext.broadcast((models, open_))
     # how far texts of a language, not counted above, usually are from its model
-    bits = drawn.where("part = 0").select("doc_id", "text").mapInArrow(_predict(first), _SCHEMA).where("n_letters > 0")
+    bits = texts_of(drawn.where("part = 0")).mapInArrow(lean(_predict(first), _letters), _SCHEMA).where("n_letters > 0")
     mean = bits.groupBy("lang_pred").agg((F.sum(F.col("bits") * F.col("n_letters")) / F.sum("n_letters")).alias("m"), F.sum("n_letters").alias("n"))
     spread = bits.join(F.broadcast(mean.select("lang_pred", "m")), "lang_pred").groupBy("lang_pred").agg(F.first("m").alias("m"), F.percentile_approx(F.pow(F.col("bits") - F.col("m"), 2) * F.col("n_letters"), 0.8).alias("v"))
     centre, var = open_
@@ -288,11 +308,13 @@ def fit(train: DataFrame, sample: int = SAMPLE):
 def predict(docs: DataFrame, model) -> DataFrame:
     """(doc_id, lang_pred, score, bits, n_letters, rejected) of every row of docs(doc_id, text, ...).
 
-    Texts that are null or have no letter are `und` with score 0 and rejected; so are all if nothing
-    was learned.  Repeated rows are judged each for itself; other columns are ignored; an empty
-    table gives an empty result.
+    Texts that are null, empty or without a letter are `und` with score 0 and rejected; so are all if
+    nothing was learned.  Languages of equal entropy: the first by code points.  A long text is worked
+    on whole, in parts that end between words (a single word of more than 131,072 letters is cut, and
+    loses its context there).  Repeated rows are judged each for itself; other columns are ignored,
+    whatever their names; an empty table gives an empty result.
     """
-    return docs.select("doc_id", "text").mapInArrow(_predict(model), _SCHEMA)
+    return texts_of(docs).mapInArrow(lean(_predict(model), _letters), _SCHEMA)
 
 
 def keep_known(docs: DataFrame, model) -> DataFrame:
@@ -300,11 +322,17 @@ def keep_known(docs: DataFrame, model) -> DataFrame:
     judge = _predict(model)
 
     def keep(batches):
-        for batch in batches:
-            rejected = pa.concat_arrays([x.column("rejected") for x in judge([batch.select(["doc_id", "text"])])]) if batch.num_rows else pa.array([], pa.bool_())
-            yield batch.filter(pc.invert(rejected))
+        whole = []
+
+        def narrow():
+            for batch in batches:
+                whole.append(batch)
+                yield batch.select(["doc_id", "text"])
+
+        for judged in judge(narrow()):  # one for each batch, in order
+            yield whole.pop().filter(pc.invert(judged.column("rejected")))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep, _letters), docs.schema)
 
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:

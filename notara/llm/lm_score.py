@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import _parcels as P
 from ._ctw import Tree, Values, climb, grams, leaves
-from ._shared import fold, read, save
+from ._shared import fold, lean, read, save
 from ._text import bytes_of, pieces
 
 DEPTH = 3
@@ -137,7 +137,7 @@ def _score(model, depth: int, bits: int, gram_bits: int):
                 order = np.argsort(shard, kind="stable")
                 place = np.empty(len(order), np.int32)
                 place[order] = np.arange(len(order))
-                parts = np.split(asked[order], np.searchsorted(shard[order], np.arange(1, 1 << gram_bits)))
+                parts = P.split(asked[order], shard[order])
                 h = p.hashes(True)
                 at = np.minimum(np.searchsorted(key, h), max(0, len(key) - 1))
                 known = key[at] == h if len(key) else np.zeros(len(h), bool)
@@ -192,7 +192,7 @@ def lm_scores(docs: DataFrame, train: DataFrame, depth: int = DEPTH) -> DataFram
     base knows no token and every byte has the probability 1/256.  Other columns are ignored.
     """
     spark = docs.sparkSession
-    counts = save(train.select("text").mapInArrow(_count(depth), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    counts = save(train.select("text").mapInArrow(lean(_count(depth)), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     sums = {r["kind"]: r for r in counts.groupBy("kind").agg(F.count("*").alias("keys"), F.sum("n").alias("n")).collect()}
     ends = sums[2]["n"] if 2 in sums else 0
     words = sums[1]["n"] if 1 in sums else 0

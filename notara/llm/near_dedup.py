@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._minhash import band_keys, overlap, shingle_sets, signatures
-from ._shared import attach, read, save, small
+from ._shared import attach, lean, read, save, small, texts_of
 from ._text import mix, pieces
 from .components import connected_components
 
@@ -78,7 +78,7 @@ def _links(texts: DataFrame, pairs: DataFrame, n_words: int, percent: int) -> Da
     ids = save(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     some = save(texts.join(small(spark, ids), "doc_id", "left_semi"), "texts")
     rows = pairs.join(some.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(some.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return save(rows.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(n_words, percent), "a long, b long"), "links")
+    return save(rows.select("a", "b", "text_a", "text_b").mapInArrow(lean(_confirm(n_words, percent)), "a long, b long"), "links")
 
 
 def _wide(n_words: int):
@@ -132,8 +132,8 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 75) -> Dat
     is null).  Other columns of docs are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sig = save(texts.mapInArrow(_scan(n_words), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "signatures")
+    texts = texts_of(docs)
+    sig = save(texts.mapInArrow(lean(_scan(n_words)), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "signatures")
     classes = save(sig.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.count("*").alias("size")), "classes")
     total = sig.count()
     member = classes.select("rep", F.posexplode("bands").alias("band", "key"))
@@ -148,7 +148,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 75) -> Dat
     mixed = per.groupBy("band", "key").agg(F.sum("n").alias("m"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("k")).where("k > 1")
     left = save(attach(labelled, save(mixed.drop("k"), "mixed"), ["band", "key"], "m", total * BANDS), "left")
     ids = save(left.select(F.col("rep").alias("doc_id")).distinct(), "ids")
-    wide = texts.join(small(spark, ids), "doc_id", "left_semi").mapInArrow(_wide(n_words), "rep long, wide binary").dropDuplicates(["rep"])
+    wide = texts.join(small(spark, ids), "doc_id", "left_semi").mapInArrow(lean(_wide(n_words)), "rep long, wide binary").dropDuplicates(["rep"])
     about = save(wide.join(classes.groupBy("rep").agg(F.min("bands").alias("bands")), "rep"), "wide")
     rows = left.withColumns({"odd": F.col("component") != F.col("main"), "no": F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int"), "nm": F.ceil(F.col("m") / BLOCK).cast("int")})
     h = F.abs(F.xxhash64("rep") % 1_000_003).cast("int")

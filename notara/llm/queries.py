@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
 from . import exact_dedup, mixing, near_dedup, substring_dedup
 from .bpe import op2_bpe
 from .exact_dedup import op4_exact_dedup
@@ -27,7 +25,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_lm_score": op9_lm_score,
     "op10_token_counts": op10_token_counts,
-    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _parcels as P
-from ._shared import read, save
+from ._shared import lean, read, texts_of
 from ._text import SPACES, Words, bytes_of, inside, pieces, rolled
 
 WINDOW, GRAM = 35, 16
@@ -106,7 +106,7 @@ def _merge(key, table):
 
 def repeated_cells(texts: DataFrame, width: int, window: int = WINDOW, gram: int = GRAM) -> list[np.ndarray]:
     """Of each sketch row the packed bits of the cells that are counted at least twice."""
-    merged = texts.mapInArrow(_sketch(width, window, gram), "row int, page int, cells binary, twice binary").groupBy("row", "page").applyInArrow(_merge, "row int, page int, bits binary")
+    merged = texts.mapInArrow(lean(_sketch(width, window, gram)), "row int, page int, cells binary, twice binary").groupBy("row", "page").applyInArrow(_merge, "row int, page int, bits binary")
     bits = [np.zeros(max(1, width // 8), np.uint8) for _ in range(ROWS)]
     for r in merged.toLocalIterator():
         bits[r["row"]][r["page"] * PAGE // 8 : (r["page"] + 1) * PAGE // 8] = np.frombuffer(r["bits"], np.uint8)
@@ -216,7 +216,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     Other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    texts = docs.select("doc_id", "text")
+    texts = texts_of(docs)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     width = PAGE
     while width < MOST_CELLS and width < size / 15:
