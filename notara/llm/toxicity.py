@@ -1,19 +1,23 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and word beginnings that toxic training texts have significantly more often than
-others: all of them, which the bounded sample bounds.  The
-examples' weights stand in an inverted index whose postings are cut into blocks of examples with the
-greatest weight of each term in each block.  A query visits blocks in the order of their upper
-bounds and stops when the next bound cannot beat its k-th neighbour, so neighbours are exact.
-Similarity-weighted votes, made into probabilities by isotonic regression over leave-one-out votes of
-the examples, are the scores; the neighbours are the evidence.
-
-The classifier is fitted on a bounded sample of labelled rows (EXAMPLES of either label); the terms'
-document counts cover all documents.
+Terms are all words of the labelled sample and the words' first letters (BEGINNING of them, so that
+a word and its forms share a term).  A term's weight in a text is (1 + log tf) times its inverse
+document frequency over all documents, times the square of its smoothed log odds between the two
+labels (delta IDF), which is near 0 for a term that both labels have alike and 0 for one that no
+example has.  Nothing is chosen or left out by a threshold.
+
+The examples' unit vectors stand in an inverted index whose postings are cut into blocks of examples,
+with the greatest weight of each term in each block.  A query takes the blocks of the greatest upper
+bounds first and leaves out those whose bound is below its k-th neighbour, so neighbours are exact.
+Votes weighted by distance, made into probabilities by isotonic regression over leave-one-out votes
+of the examples, are the scores; the neighbours are the evidence.
+
+The classifier is fitted on a bounded sample of labelled rows: EXAMPLES of either label.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 
@@ -23,23 +27,28 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import fold, read, save, small
+from ._shared import fold, lean, parts, read, save, small, texts_of
 
-EXAMPLES = {1: 4_000, 0: 12_000}
-LEAST_DOCS, LEAST_CHI2 = 4, 20.0
+EXAMPLES = {1: 4_000, 0: 4_000}
+BEGINNING = 5  # letters
+SMOOTH = 5.0  # examples' worth of the common share that every term's odds start from
 NEIGHBOURS, BLOCK = 15, 64
+NEAR = 0.02  # added to the distance of a neighbour
 THRESHOLD = 0.7
-BEGINNINGS = range(3, 8)
+SEEN = 20_000  # scores of texts that repeat, in a worker
 _WORD = regex.compile(r"\w+").findall
 
 
-def terms_of(word: str) -> list[str]:
-    """The word's terms: itself, and its beginnings (marked by ^)."""
-    return [word, *("^" + word[:k] for k in BEGINNINGS if k < len(word))]
+def words_of(text: str | None) -> Counter:
+    out: Counter = Counter()
+    for part in parts(text or ""):
+        out.update(_WORD(part.lower()))
+    return out
 
 
-def words_of(text: str | None) -> Counter:
-    return Counter(_WORD((text or "").lower()))
+def terms_of(word: str) -> tuple[str, ...]:
+    """The word's terms: itself, and its beginning (marked by ^) if it is longer."""
+    return (word, "^" + word[:BEGINNING]) if len(word) > BEGINNING else (word,)
 
 
 def _count(batches):
@@ -55,99 +64,106 @@ def _count(batches):
             yield pa.RecordBatch.from_arrays([pa.array([label] * len(part), pa.int32()), pa.array([t for t, _ in part]), pa.array([n for _, n in part], pa.int64())], names=["toxic", "term", "n"])
 
 
+def odds(a: np.ndarray, b: np.ndarray, n1: int, n0: int, smooth: float = SMOOTH) -> np.ndarray:
+    """|log2| of the odds of terms that a of n1 toxic and b of n0 other examples have; 0 where there is nothing to tell."""
+    share = n1 / max(1, n1 + n0)
+    if not 0 < share < 1:
+        return np.zeros(len(a))
+    return np.abs(np.log2((a + smooth * share) / (b + smooth * (1 - share)) * ((1 - share) / share)))
+
+
 class Vectors:
-    """TF-IDF vectors over a fixed list of terms."""
+    """TF-IDF vectors over a fixed list of terms, each with its weight."""
 
-    def __init__(self, terms: list[str], idf: np.ndarray):
+    def __init__(self, terms: list[str], weight: np.ndarray):
         self.place = {t: i for i, t in enumerate(terms)}
-        self.idf = idf
+        self.weight = weight
         self._known: dict[str, tuple[int, ...]] = {}
 
     def __getstate__(self):
-        return {"place": self.place, "idf": self.idf, "_known": {}}
+        return {"place": self.place, "weight": self.weight, "_known": {}}
 
     def counts(self, text: str | None) -> dict[int, int]:
         """How often each term occurs."""
         out: dict[int, int] = {}
-        known = self._known
+        known, place = self._known, self.place
         for word, n in words_of(text).items():
             at = known.get(word)
             if at is None:
-                if len(known) > 300_000:
+                if len(known) >= 50_000:
                     known.clear()
-                at = known[word] = tuple(self.place[t] for t in terms_of(word) if t in self.place)
+                at = known[word] = tuple([place[t] for t in terms_of(word) if t in place])
             for i in at:
                 out[i] = out.get(i, 0) + n
         return out
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights of the unit vector; empty if the text has no term."""
+        """Terms and weights of the unit vector; empty if no term of the text weighs anything."""
         counts = self.counts(text)
-        at = np.array(sorted(counts), np.int64)
-        w = np.array([1 + math.log(counts[i]) for i in at]) * self.idf[at] if len(at) else np.zeros(0)
-        return at, w / max(1e-12, math.sqrt(float(w @ w)))
+        at = np.fromiter(counts, np.int64, len(counts))
+        w = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) * self.weight[at]
+        at, w = at[w > 0], w[w > 0]
+        order = np.argsort(at)
+        return at[order], w[order] / max(1e-12, math.sqrt(float(w @ w)))
+
+
+def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """start, start + 1 .. start + length - 1 of each range, one after another."""
+    upto = np.cumsum(length)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(start - (upto - length), length)
 
 
 class BlockMaxIndex:
-    """Inverted index of unit vectors with the greatest weight of each term in each block."""
+    """Inverted index of unit vectors: for each term its blocks, and for each of those its greatest weight and its postings."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
         # like vectors stand together, so that bounds are tight
-        order = sorted(range(len(vectors)), key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), vectors[i][0].tolist()))
+        order = sorted(range(len(vectors)), key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), i) if len(vectors[i][0]) else (-1, i))
         self.order = np.array(order, np.int64)
-        blocks = max(1, -(-len(order) // BLOCK))
-        most: list[dict[int, float]] = [{} for _ in range(terms)]  # of the blocks that have the term
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for row, i in enumerate(order):
-            for t, w in zip(*vectors[i], strict=True):
-                lists[t].append((row, w))
-                most[t][row // BLOCK] = max(most[t].get(row // BLOCK, 0.0), w)
-        self.rows = [np.array([r for r, _ in x], np.int64) for x in lists]
-        self.weights = [np.array([w for _, w in x]) for x in lists]
-        self.blocks = [r // BLOCK for r in self.rows]
-        self.most = [(np.array(list(x), np.int64), np.array(list(x.values()))) for x in most]
-        self.count = blocks
+        sizes = np.array([len(vectors[i][0]) for i in order], np.int64)
+        term = np.concatenate([vectors[i][0] for i in order]) if order else np.empty(0, np.int64)
+        weight = np.concatenate([vectors[i][1] for i in order]) if order else np.empty(0)
+        row = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
+        by_term = np.argsort(term, kind="stable")
+        term, self.rows, self.weights = term[by_term], row[by_term], weight[by_term]
+        block = self.rows // BLOCK
+        first = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))  # of each term and block
+        self.start = np.append(first, len(term))
+        self.block = block[first]
+        self.most = np.maximum.reduceat(self.weights, first) if len(first) else np.empty(0)
+        self.entry = np.searchsorted(term[first], np.arange(terms + 1))
+        self.count = max(1, -(-len(order) // BLOCK))
         self.size = len(order)
 
-    def _sums(self, at: np.ndarray, weights: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of the wanted blocks (a mask) that have a term, and their cosines."""
-        rows, parts = [], []
-        for t, w in zip(at.tolist(), weights.tolist(), strict=True):
-            keep = wanted[self.blocks[t]]
-            rows.append(self.rows[t][keep])
-            parts.append(w * self.weights[t][keep])
-        sums = np.bincount(np.concatenate(rows), np.concatenate(parts), self.size)
-        found = np.flatnonzero(sums > 1e-12)
-        return found, sums[found]
-
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the greatest positive cosine (ties: index order) and their cosines; `leave` is left out."""
+        """The k examples of the greatest positive cosine (ties: the first in the given order) and their cosines; `leave` is left out."""
         if not len(at) or not self.size:
             return np.empty(0, np.int64), np.empty(0)
-        mine = [self.most[t] for t in at.tolist()]
-        bound = np.bincount(np.concatenate([x for x, _ in mine]), np.concatenate([w * x for w, (_, x) in zip(weights.tolist(), mine, strict=True)]), self.count)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        rows, sims, least, done, batch = np.empty(0, np.int64), np.empty(0), 0.0, 0, 4
-        while done < len(order) and (len(rows) < k or bound[order[done]] >= least - 1e-12):
-            some = order[done : done + batch]
-            if len(rows) >= k:  # no block that cannot beat the k-th neighbour
-                some = some[bound[some] >= least - 1e-12]
-            wanted = np.zeros(len(bound), bool)
-            wanted[some] = True
-            done, batch = done + batch, batch * 8
-            found, cosines = self._sums(at, weights, wanted)
-            if leave >= 0:
-                keep = self.order[found] != leave
-                found, cosines = found[keep], cosines[keep]
-            rows, sims = np.concatenate((rows, found)), np.concatenate((sims, cosines))
-            if len(rows) > k:
-                best = np.lexsort((rows, -sims))[:k]
-                rows, sims = rows[best], sims[best]
-            if len(rows) >= k:
+        number = self.entry[at + 1] - self.entry[at]
+        entry, weight = _ranges(self.entry[at], number), np.repeat(weights, number)
+        block = self.block[entry]
+        bound = np.bincount(block, weight * self.most[entry], self.count) * (1 + 1e-12) + 1e-15
+        found, sims, least, width = np.empty(0, np.int64), np.empty(0), 0.0, 8
+        left = np.argsort(-bound, kind="stable")
+        while len(left) and bound[left[0]] > 1e-12:
+            wanted = np.zeros(self.count, bool)
+            wanted[left[:width]] = True
+            left, width = left[width:], width * 4
+            some = wanted[block]
+            start, end = self.start[entry[some]], self.start[entry[some] + 1]
+            spot = _ranges(start, end - start)
+            sums = np.bincount(self.rows[spot], np.repeat(weight[some], end - start) * self.weights[spot], self.size)
+            new = np.flatnonzero(sums > max(1e-12, least - 1e-9))
+            cosines, new = sums[new], self.order[new]
+            found, sims = np.concatenate((found, new[new != leave])), np.concatenate((sims, cosines[new != leave]))
+            if len(found) > k:
+                best = np.lexsort((found, -sims))[:k]
+                found, sims = found[best], sims[best]
+            if len(found) == k:
                 least = sims.min()
-        best = np.lexsort((rows, -sims))
-        return self.order[rows[best]], sims[best]
+                left = left[bound[left] >= least]
+        best = np.lexsort((found, -sims))
+        return found[best], sims[best]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,88 +180,112 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class Model:
-    """Examples, their index and the calibration."""
+    """Examples in the order of their doc_ids, their index, and the calibration that calibrate() sets."""
 
     def __init__(self, vectors: Vectors, ids: list[int], found: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights: np.ndarray, prior: float):
         self.vectors, self.ids, self.labels, self.weights, self.prior = vectors, np.array(ids, np.int64), labels, weights, prior
-        self.index = BlockMaxIndex(found, len(vectors.idf))
-        votes = np.array([self.vote(*self.index.nearest(*v, NEIGHBOURS, leave=i)) for i, v in enumerate(found)])
-        self.knots, self.values = isotonic(votes, labels.astype(float), weights) if len(votes) else (np.array([0.0, 1.0]), np.array([prior, prior]))
-        self.votes = votes
-        self.none = prior  # of texts without any term; set by fit()
+        self.index = BlockMaxIndex(found, len(vectors.weight))
+        self.knots, self.values = np.array([0.0, 1.0]), np.array([prior, prior])
         self._seen: dict[bytes, tuple[float, np.ndarray]] = {}
 
     def vote(self, near: np.ndarray, sims: np.ndarray) -> float:
         """Share of toxic weight among the neighbours; a near neighbour counts more."""
-        w = self.weights[near] * (sims**4 / (1.02 - np.minimum(sims, 1.0)))
-        return float((w @ self.labels[near] + 0.02 * self.prior) / (w.sum() + 0.02)) if len(near) else self.prior
+        w = self.weights[near] * sims / (1 + NEAR - np.minimum(sims, 1.0))
+        return float((w @ self.labels[near] + NEAR * self.prior) / (w.sum() + NEAR)) if len(near) else self.prior
+
+    def calibrate(self, votes: np.ndarray) -> None:
+        """From the leave-one-out votes of the examples, in their order."""
+        if len(votes):
+            self.knots, self.values = isotonic(votes, self.labels.astype(float), self.weights)
 
     def score(self, text: str | None) -> tuple[float, np.ndarray]:
         at, weights = self.vectors(text)
-        if not len(at):
-            return self.none, at
-        key = at.tobytes() + weights.tobytes()  # texts with the same terms have the same neighbours
+        key = hashlib.blake2b(at.tobytes() + weights.tobytes(), digest_size=16).digest()  # texts with the same terms have the same neighbours
         got = self._seen.get(key)
         if got is None:
-            if len(self._seen) > 50_000:
+            if len(self._seen) >= SEEN:
                 self._seen.clear()
             near, sims = self.index.nearest(at, weights, NEIGHBOURS)
-            # the vote itself breaks ties between equal calibrated values
             v = self.vote(near, sims)
-            got = float(min(1.0, max(0.0, 0.999 * np.interp(v, self.knots, self.values) + 0.001 * v))) if len(near) else self.none, self.ids[near]
-            self._seen[key] = got
+            # the vote itself breaks ties between equal calibrated values
+            score = 0.999 * np.interp(v, self.knots, self.values) + 0.001 * v if len(near) else self.prior
+            got = self._seen[key] = float(min(1.0, max(0.0, score))), self.ids[near]
         return got
 
 
 def _df(shared):
     def df(batches):
         vectors = shared.value
-        n = np.zeros(len(vectors.idf), np.int64)
+        n = np.zeros(len(vectors.weight), np.int64)
         rows = 0
         for batch in batches:
             rows += batch.num_rows
             for text in batch.column("text"):
                 n[list(vectors.counts(text.as_py()))] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(n))), pa.array(np.concatenate(([rows], n)))], names=["term", "n"])
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(n[some], rows))], names=["term", "n"])
 
     return df
 
 
+def _weigh(shared):
+    def weigh(batches):
+        for batch in batches:
+            got = [shared.value(t.as_py()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([x for x, _ in got], pa.list_(pa.int64())), pa.array([w for _, w in got], pa.list_(pa.float64()))], names=["doc_id", "toxic", "at", "w"])
+
+    return weigh
+
+
+def _leave_one_out(shared):
+    def leave(batches):
+        model = shared.value
+        place = {d: i for i, d in enumerate(model.ids.tolist())}
+        for batch in batches:
+            own = [place[d] for d in batch.column("doc_id").to_pylist()]
+            votes = [model.vote(*model.index.nearest(*model.vectors(t.as_py()), NEIGHBOURS, leave=i)) for i, t in zip(own, batch.column("text"), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(votes, pa.float64())], names=["place", "vote"])
+
+    return leave
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Model from docs(doc_id, text) and labels(doc_id, toxic); rows without a label of 0 or 1 are left out."""
+    """Model from docs(doc_id, text) and labels(doc_id, toxic).
+
+    Rows without a label of 0 or 1 are left out; a doc_id with both labels is toxic, and one with
+    several texts has the first of them by order of the text.
+    """
     spark = docs.sparkSession
-    known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) / 1e6
     rate = {k: min(1.0, EXAMPLES[k] / max(1, sizes.get(k, 0))) for k in (0, 1)}
     drawn = known.where(draw < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0]))
-    sample = save(docs.select("doc_id", "text").join(small(spark, drawn), "doc_id"), "examples")
-    n = {k: 0 for k in (0, 1)} | {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    counts = sample.select("text", "toxic").mapInArrow(_count, "toxic int, term string, n long").groupBy("term").agg(F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("a"), F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).alias("b"))
-    both = n[0] + n[1]
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    chi2 = both * F.pow(a * n[0] - b * n[1], 2) / ((a + b) * (both - a - b) * max(1, n[0]) * max(1, n[1]) + 1e-9)
-    top = counts.where((F.col("a") >= LEAST_DOCS) & (a * max(1, n[0]) > b * max(1, n[1]))).withColumn("chi2", chi2).where(F.col("chi2") > LEAST_CHI2).orderBy(F.desc("chi2"), "term").collect()
-    terms = [r["term"] for r in top]
-    first = spark.sparkContext.broadcast(Vectors(terms, np.ones(len(terms))))
-    seen = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(_df(first), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    every = seen.get(-1, 0)
-    vectors = Vectors(terms, np.array([math.log((1 + every) / (1 + seen.get(i, 0))) + 1 for i in range(len(terms))]))
+    sample = save(texts_of(docs).join(small(spark, drawn), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).repartition(8), "examples")
+    n = {0: 0, 1: 0} | {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    counted = sample.select("text", "toxic").mapInArrow(lean(_count), "toxic int, term string, n long").groupBy("term").agg(*[F.coalesce(F.sum(F.when(F.col("toxic") == k, F.col("n"))), F.lit(0)).alias(c) for k, c in ((1, "a"), (0, "b"))]).toArrow().sort_by("term")
+    terms = counted.column("term").to_pylist()
+    delta = odds(counted.column("a").to_numpy(), counted.column("b").to_numpy(), n[1], n[0])
+    first = spark.sparkContext.broadcast(Vectors(terms, delta))
+    seen, every = np.zeros(len(terms)), 0
+    for r in docs.select("text").mapInArrow(lean(_df(first)), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow().to_batches():
+        at, number = r.column("term").to_numpy(), r.column("n").to_numpy()
+        seen[at[at >= 0]] = number[at >= 0]
+        every += int(number[at < 0].sum())
+    first.destroy()
+    vectors = Vectors(terms, (np.log((1 + every) / (1 + seen)) + 1) * delta * delta)
     shared = spark.sparkContext.broadcast(vectors)
-
-    def weigh(batches):
-        for batch in batches:
-            got = [shared.value(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([x.tolist() for x, _ in got], pa.list_(pa.int64())), pa.array([w.tolist() for _, w in got], pa.list_(pa.float64()))], names=["doc_id", "toxic", "at", "w"])
-
-    rows = sorted(sample.mapInArrow(weigh, "doc_id long, toxic int, at array<long>, w array<double>").toArrow().to_pylist(), key=lambda r: r["doc_id"])
-    with_terms = [r for r in rows if r["at"]]
+    rows = sample.mapInArrow(lean(_weigh(shared)), "doc_id long, toxic int, at array<long>, w array<double>").toArrow().sort_by("doc_id")
+    shared.destroy()
+    labels = rows.column("toxic").to_numpy().astype(np.int64)
+    found = [(np.asarray(a.values), np.asarray(w.values)) for a, w in zip(rows.column("at"), rows.column("w"), strict=True)]
     weight = {k: 1.0 / max(rate[k], 1e-9) for k in (0, 1)}
-    mass = {k: sizes.get(k, 0) for k in (0, 1)}
-    prior = mass[1] / max(1, mass[0] + mass[1])
-    model = Model(vectors, [r["doc_id"] for r in with_terms], [(np.array(r["at"], np.int64), np.array(r["w"])) for r in with_terms], np.array([r["toxic"] for r in with_terms], np.int64), np.array([weight[r["toxic"]] for r in with_terms]), prior)
-    bare = Counter(r["toxic"] for r in rows if not r["at"])
-    model.none = (bare[1] * weight[1] + prior) / (bare[1] * weight[1] + bare[0] * weight[0] + 1)
+    prior = sizes.get(1, 0) / max(1, sum(sizes.values()))
+    model = Model(vectors, rows.column("doc_id").to_pylist(), found, labels, np.where(labels == 1, weight[1], weight[0]), prior)
+    shared = spark.sparkContext.broadcast(model)
+    votes = sample.select("doc_id", "text").mapInArrow(lean(_leave_one_out(shared)), "place long, vote double").toArrow().sort_by("place")
+    shared.destroy()
+    model.calibrate(votes.column("vote").to_numpy())
     return model
 
 
@@ -254,7 +294,7 @@ def _score(shared):
         model = shared.value
         for batch in batches:
             got = [model.score(t.as_py()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s for s, _ in got], pa.float64()), pa.array([e[:3].tolist() for _, e in got], pa.list_(pa.int64()))], names=["doc_id", "score", "evidence"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s for s, _ in got], pa.float64()), pa.array([e for _, e in got], pa.list_(pa.int64()))], names=["doc_id", "score", "evidence"])
 
     return score
 
@@ -262,13 +302,14 @@ def _score(shared):
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, evidence) of every row of docs(doc_id, text, ...).
 
-    evidence: doc_ids of the nearest examples.  Null and empty texts, and texts without a term, get
-    the share of toxic texts among examples without a term, and no evidence.  Repeated rows are
-    scored each for itself; other columns are ignored; an empty table gives an empty result; without
-    labels every score is 0.
+    evidence: doc_ids of all the neighbours that voted, nearest first; of equal cosines the smaller
+    doc_id is nearer.  Null and empty texts, and texts without any weighed term, get the share of
+    toxic labels and no evidence.  A long text is read whole, in parts that end between words.
+    Repeated rows are scored each for itself; other columns are ignored, whatever their names; an
+    empty table gives an empty result; without labels every score is 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select("doc_id", "text").mapInArrow(_score(shared), "doc_id long, score double, evidence array<long>")
+    return texts_of(docs).mapInArrow(lean(_score(shared)), "doc_id long, score double, evidence array<long>")
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
