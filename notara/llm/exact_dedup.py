@@ -4,8 +4,11 @@ Pass 1 sets two bits of a blocked Bloom filter for each text hash and counts how
 hit; only bits hit at least twice stay.  Pass 2 tests every row: a text whose two bits do not both
 stay occurs once and passes straight through; only the other rows shuffle, by their SHA-256.
 
-The filter has 16 bits for each row up to MOST_PAGES pages of 32,768 bits (32 MB), the bound of its
-broadcast.  Beyond about 17 million rows it fills up: more rows then shuffle, none is lost.
+The filter has 16 bits for each row at every size, in pages of 32,768 bits, and a hash's bits are in
+one page.  Up to MOST_PAGES pages (32 MB, about 17 million rows) it is broadcast; a larger one is
+joined by page, so that it never fills up.  Counting hits needs every row's two slots once: as merged
+counts of (page, bit), not as whole bitmaps of each partition, since a partition of a large table has
+few rows in each of very many pages.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import attach, read, save
+from ._shared import attach, read, row_hash, save
 
 PAGE_BITS, MOST_PAGES, BITS_PER_ROW = 32_768, 8_192, 16
 
@@ -30,7 +33,7 @@ def _bits(pages: int) -> list[Column]:
 
 def repeated_filter(hashes: DataFrame, rows: int) -> tuple[DataFrame, int]:
     """(page, bits) of the slots that at least two rows of hashes(h) hit, and the number of pages."""
-    pages = max(1, min(MOST_PAGES, -(-rows * BITS_PER_ROW // PAGE_BITS)))
+    pages = max(1, -(-rows * BITS_PER_ROW // PAGE_BITS))
     slots = hashes.select(*_bits(pages)).select("page", F.explode(F.array_distinct(F.array("p1", "p2"))).alias("p"))
     twice = slots.groupBy("page", "p").agg(F.count("*").alias("n")).where("n > 1")
     return twice.groupBy("page").agg(F.bitmap_construct_agg("p").alias("bits")), pages
@@ -39,7 +42,8 @@ def repeated_filter(hashes: DataFrame, rows: int) -> tuple[DataFrame, int]:
 def possibly_repeated(rows: DataFrame, bits: DataFrame, pages: int) -> DataFrame:
     """rows (with the hash column h) and a boolean column `maybe`; false means that h occurs once."""
     page, p1, p2 = _bits(pages)
-    tested = rows.withColumns({"_page": page, "_p1": p1, "_p2": p2}).join(F.broadcast(bits.select(F.col("page").alias("_page"), F.col("bits").alias("_bits"))), "_page", "left")
+    held = bits.select(F.col("page").alias("_page"), F.col("bits").alias("_bits"))
+    tested = rows.withColumns({"_page": page, "_p1": p1, "_p2": p2}).join(F.broadcast(held) if pages <= MOST_PAGES else held, "_page", "left")
     both = F.coalesce((_bit("_p1") == 1) & (_bit("_p2") == 1), F.lit(False))
     return tested.withColumn("maybe", both).drop("_page", "_p1", "_p2", "_bits")
 
@@ -55,7 +59,8 @@ def text_groups(docs: DataFrame) -> DataFrame:
 
     Texts are equal when normalised() makes them so; null is empty.  The row with the least doc_id
     of a group stays; null doc_ids come last, and of rows that repeat that doc_id the first read
-    stays.  An empty table gives an empty result; other columns of docs are ignored.
+    stays.  A long text is hashed where it is read and never shuffled.  An empty table gives an empty
+    result; other columns of docs are ignored, whatever their names.
     """
     norm = normalised()
     rows = save(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.sha2(norm.cast("binary"), 256).alias("text_sha256"), F.xxhash64(norm).alias("h")), "texts")
@@ -69,15 +74,16 @@ def text_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """docs with one row of each group of equal texts (least doc_id, null last); all columns stay.
+    """docs with one row of each group of equal texts (least doc_id, null last, then the least row_hash()); all columns stay.
 
-    Rows that occur once keep their place and are not shuffled.
+    Rows that occur once keep their place and, while the filter can be broadcast, are not shuffled.
+    Null and empty texts are equal; an empty table gives an empty result; columns may have any name.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text", F.xxhash64(normalised()).alias("h"))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text", row_hash(docs).alias("tie"), F.xxhash64(normalised()).alias("h"))
     total = docs.count()
     tested = possibly_repeated(rows, *repeated_filter(rows.select("h"), total))
     maybe = tested.where("maybe").drop("maybe").withColumn("_sha", F.sha2(normalised().cast("binary"), 256))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")
     best = maybe.groupBy("_sha").agg(F.min(order).alias("_best"), F.count("*").alias("_n"))
     first = attach(maybe, save(best, "groups"), ["_sha"], "_n", total).where(order == F.col("_best")).dropDuplicates(["_sha"])
     return tested.where("NOT maybe").select("doc.*").union(first.select("doc.*"))

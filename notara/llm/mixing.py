@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import read, save, small
+from ._shared import read, row_hash, save, small
 
 WEIGHTS, SHARE, MOST_COPIES = (5, 2, 1), 1.5, 2
 
@@ -45,60 +45,72 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return common.select("source", "rank", "n", "source_size", F.when(F.col("common").isNull(), F.col("cap").cast("double")).otherwise(F.least(F.col("cap").cast("double"), F.col("common") * F.col("weight"))).alias("target"))
 
 
-def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, copies: int = MOST_COPIES) -> DataFrame:
-    """rows(doc_id, source, size, ...) with source_size, target (doubles) and n_copies (0 to `copies`).
+def _place(df: DataFrame, tie: str | None = None) -> list[Column]:
+    """The shuffled order of df(doc_id, ...): MD5 of doc_id, doc_id, and the column `tie` or else the row's hash."""
+    id_ = F.col("doc_id").cast("long")
+    return [F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("key"), F.coalesce(id_, F.lit(-(1 << 63))).alias("id"), (F.col(tie) if tie else row_hash(df)).alias("tie")]
 
-    Deterministic: documents are shuffled by the MD5 of their doc_id; ties go by doc_id.  Null
-    sources are a source of their own, and documents without words are never taken.  An empty table
-    gives an empty result.
+
+def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, copies: int = MOST_COPIES, tie: str | None = None) -> DataFrame:
+    """rows(doc_id, source, size, ...) with source_size (long), target (double) and n_copies (0 to `copies`).
+
+    Deterministic: documents are shuffled by the MD5 of their doc_id; ties go by doc_id, then by the
+    column `tie` or else the row's hash; rows that are equal in everything count each for itself.  Null sources are a source
+    of their own, and documents without words are never taken.  Columns may have any name; those
+    named like the three new ones are replaced.  An empty table gives an empty result.
     """
     spark = rows.sparkSession
+    own = [c for c in rows.columns if c.lower() not in ("source_size", "target", "n_copies")]
     about = targets(rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), weights, share, copies)
-    about = save(about.withColumn("bits", F.ceil(F.log2(F.greatest(F.sqrt("n"), F.lit(1.0)))).cast("int")), "targets")
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    place = F.expr("shiftright(cast(conv(substring(_key, 1, 8), 16, 10) as bigint), 32 - bits)")
-    keyed = rows.withColumns({"_key": key, "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "_row": F.monotonically_increasing_id()}).join(small(spark, about.withColumnRenamed("source", "_source")), F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("_block", place)
+    about = save(about.withColumnRenamed("source", "name").withColumn("bits", F.ceil(F.log2(F.greatest(F.sqrt("n"), F.lit(1.0)))).cast("int")), "targets")
+    base = rows.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("doc"), "source", F.col("size").cast("long").alias("size"), *_place(rows, tie), F.monotonically_increasing_id().alias("nr"))
+    place = F.expr("shiftright(cast(conv(substring(key, 1, 8), 16, 10) as bigint), 32 - bits)")
+    keyed = base.join(small(spark, about), F.col("source").eqNullSafe(F.col("name"))).drop("name", "source").withColumn("block", place)
     keyed = save(keyed, "keyed")
-    offsets = keyed.groupBy("rank", "_block").agg(F.sum("size").alias("_sum")).withColumn("_before", F.sum("_sum").over(W.partitionBy("rank").orderBy("_block")) - F.col("_sum")).drop("_sum")
-    within = W.partitionBy("rank", "_block").orderBy("_key", "_id", "_row").rowsBetween(W.unboundedPreceding, 0)
-    ranked = save(keyed.join(small(spark, offsets), ["rank", "_block"]).withColumn("_cum", F.col("_before") + F.sum("size").over(within)), "ranked")
-    finish = lambda e: (F.col("_cum") + e * F.col("source_size")) / F.col("target")
+    offsets = keyed.groupBy("rank", "block").agg(F.sum("size").alias("sum")).withColumn("before", F.sum("sum").over(W.partitionBy("rank").orderBy("block")) - F.col("sum")).drop("sum")
+    within = W.partitionBy("rank", "block").orderBy("key", "id", "tie", "nr").rowsBetween(W.unboundedPreceding, 0)
+    ranked = save(keyed.join(small(spark, offsets), ["rank", "block"]).withColumn("cum", F.col("before") + F.sum("size").over(within)), "ranked")
+    finish = lambda e: (F.col("cum") + e * F.col("source_size")) / F.col("target")
     total, n = ranked.agg(F.sum("size"), F.count("*")).first()
     budget = (total or 0) * share
     bins = int(n**0.5) + 1
-    flat = ranked.where("size > 0 AND target > 0").select("rank", "size", "_key", "_id", "_row", F.posexplode(F.array(*[finish(e) for e in range(copies)])).alias("e", "t"))
+    flat = ranked.where("size > 0 AND target > 0").select("rank", "size", "key", "id", "tie", "nr", F.posexplode(F.array(*[finish(e) for e in range(copies)])).alias("e", "t"))
     flat = flat.withColumn("bin", F.floor(F.least("t", F.lit(4.0)) * bins))
     running = flat.groupBy("bin").agg(F.sum("size").alias("s")).withColumn("upto", F.sum("s").over(W.orderBy("bin")))
     last = running.where(F.col("upto") > budget).orderBy("bin").select("bin", F.col("upto") - F.col("s")).first()
-    columns = [c for c in ranked.columns if not c.startswith("_") and c not in ("rank", "n", "bits")]
+    result = lambda taken: ranked.select("doc.*", "source_size", "target", taken.alias("n_copies"))
     if last is None:  # the budget holds every copy
-        return ranked.select(*columns, F.when((F.col("size") > 0) & (F.col("target") > 0), copies).otherwise(0).alias("n_copies"))
+        return result(F.when((F.col("size") > 0) & (F.col("target") > 0), copies).otherwise(0))
     # only the bin in which the budget ends is sorted
-    order = ["t", "rank", "_key", "_id", "_row", "e"]
+    order = ["t", "rank", "key", "id", "tie", "nr", "e"]
     cut = flat.where(F.col("bin") == last[0]).withColumn("upto", F.sum("size").over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)) + last[1]).where(F.col("upto") <= budget).agg(F.max(F.struct(*order)).alias("cut")).select("cut.*").first()
-    taken = []
+    taken = F.lit(0)
     for e in range(copies):
         bin_, t = F.floor(F.least(finish(e), F.lit(4.0)) * bins), finish(e)
         upto = F.lit(False) if cut["t"] is None else F.struct(t, *order[1:-1], F.lit(e)) <= F.struct(*[F.lit(cut[c]).cast(flat.schema[c].dataType) for c in order])
-        taken.append(F.when((F.col("size") > 0) & (F.col("target") > 0) & ((bin_ < last[0]) | ((bin_ == last[0]) & upto)), 1).otherwise(0))
-    return ranked.select(*columns, sum(taken[1:], taken[0]).alias("n_copies"))
+        taken = taken + F.when((F.col("size") > 0) & (F.col("target") > 0) & ((bin_ < last[0]) | ((bin_ == last[0]) & upto)), 1).otherwise(0)
+    return result(taken)
 
 
 def mixed_documents(docs: DataFrame, **kinds) -> DataFrame:
-    """The documents of the mix, a row for each copy, with the columns of docs.
+    """The documents of the mix, a row for each copy, with the columns of docs; as many as mix() takes.
 
     Within a source the mix takes a prefix of the shuffled order for each copy, so one cut for each
-    source and copy tells every document's copies and no text is shuffled.
+    source and copy tells the copies of every row that has its place alone, and no text is shuffled.
+    Rows that are equal in all columns share a place: one of them stands for all, with all their copies.
     """
-    rows = save(docs.select("doc_id", "source", n_words().alias("size")), "sizes")
-    mixed = mix(rows, **kinds)
-    place = F.struct(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
+    spark = docs.sparkSession
+    rows = save(docs.select("doc_id", "source", n_words().alias("size"), *_place(docs)), "sizes")
+    mixed = save(mix(rows, tie="tie", **kinds).select("source", "n_copies", F.struct("key", "id", "tie").alias("place")), "mixed")
     copies = kinds.get("copies", MOST_COPIES)
-    cuts = mixed.groupBy(F.col("source").alias("_source")).agg(*[F.max(F.when(F.col("n_copies") > e, place)).alias(f"_cut{e}") for e in range(copies)])
-    doc = docs.select(F.struct(*docs.columns).alias("doc"), F.col("source").alias("_own"), place.alias("_place"), n_words().alias("_size"))
-    joined = doc.join(small(docs.sparkSession, cuts), F.col("_own").eqNullSafe(F.col("_source")))
+    cuts = mixed.groupBy(F.col("source").alias("_source")).agg(*[F.max(F.when(F.col("n_copies") > e, F.col("place"))).alias(f"_cut{e}") for e in range(copies)])
+    shared = save(mixed.groupBy(F.col("place").alias("_place")).agg(F.count("*").alias("_rows"), F.sum("n_copies").cast("int").alias("_n")).where("_rows > 1"), "shared")
+    doc = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("source").alias("_own"), F.struct(*_place(docs)).alias("_place"), n_words().alias("_size"))
+    alone = doc.join(small(spark, shared.select("_place")), "_place", "left_anti").join(small(spark, cuts), F.col("_own").eqNullSafe(F.col("_source")))
     n = sum((F.coalesce((F.col("_size") > 0) & (F.col("_place") <= F.col(f"_cut{e}")), F.lit(False)).cast("int") for e in range(copies)), F.lit(0))
-    return joined.select("doc", n.alias("_n")).where("_n > 0").select(F.explode(F.array_repeat("doc", F.col("_n"))).alias("doc")).select("doc.*")
+    repeated = doc.join(small(spark, shared), "_place").dropDuplicates(["_place"])
+    every = alone.select("doc", n.alias("_n")).union(repeated.select("doc", "_n")).where("_n > 0")
+    return every.select(F.explode(F.array_repeat("doc", F.col("_n"))).alias("doc")).select("doc.*")
 
 
 def op6_mixing(spark, sf_dir: str) -> DataFrame:
