@@ -446,7 +446,7 @@ def test_rare_toxic_word_beside_many(spark):
     """A toxic word counts however many stronger terms there are."""
     rng = random.Random(3)
     letters = "abcdefghijklmnopqrstuvwxyz"
-    bad = ["".join(x) for x in zip(*[[rng.choice(letters) for _ in range(150)] for _ in range(10)])]
+    bad = ["".join(x) for x in zip(*[[rng.choice(letters) for _ in range(300)] for _ in range(10)])]
     rows = [(i, prose(rng, 30) + " " + " ".join(rng.sample(bad, 20)), "en", "a", 1) for i in range(300)]
     rows += [(300 + i, prose(rng, 30) + " zyzzyvas", "en", "a", 1) for i in range(16)] + [(400 + i, prose(rng, 30), "en", "a", 1) for i in range(600)]
     labels = [(r[0], 1, int(r[0] < 400)) for r in rows]
@@ -470,3 +470,109 @@ def test_block_max_neighbours_are_exact():
         near, sims = index.nearest(*vectors[i], 15)
         assert np.allclose(sims, np.sort(dense @ dense[i])[::-1][:15])
         assert np.allclose(dense[near] @ dense[i], sims)
+
+
+# ---- names, repeats, long texts -------------------------------------------------------------------
+
+INNER = ("rank", "n", "bits", "target", "source_size", "name", "nr", "tie", "id", "key", "block", "before", "cum", "doc", "page", "h", "_sha", "_n", "at", "w", "borders", "section", "score", "lang_pred", "x1", "d", "level", "rows")
+
+
+@pytest.fixture(scope="module")
+def clashing(docs):
+    df = docs
+    for c in INNER:
+        df = df.withColumn(c, F.lit("y"))
+    return df.withColumn("size", mixing.n_words())
+
+
+def test_clashing_columns_stay(clashing, docs, rows):
+    """Every operator reads a table whose columns are named like its own inner ones."""
+    n = len(rows)
+    assert mixing.mix(clashing).count() == n
+    assert sorted(mixing.mix(clashing).columns) == sorted([*(c for c in clashing.columns if c not in ("source_size", "target")), "source_size", "target", "n_copies"])
+    for of in (near_dedup.near_duplicates, exact_dedup.text_groups, substring_dedup.repeated_passages, bpe.encoding_digests, quality.quality):
+        assert of(clashing).count() == n
+    assert exact_dedup.drop_copies(clashing).columns == clashing.columns and exact_dedup.drop_copies(clashing).count() == exact_dedup.drop_copies(docs).count()
+    assert mixing.mixed_documents(clashing).columns == clashing.columns
+    held = clashing.withColumn("held_out", F.lit(False))
+    assert lm_score.lm_scores(held, held).count() == n
+    model = language_id.fit(clashing)
+    assert language_id.predict(clashing, model).count() == n and language_id.keep_known(clashing, model).columns == clashing.columns
+
+
+def test_ids_may_be_ints(docs, rows):
+    df = docs.withColumn("doc_id", F.col("doc_id").cast("int"))
+    for of in (near_dedup.near_duplicates, substring_dedup.repeated_passages, bpe.encoding_digests, token_counts.section_token_counts, lambda x: language_id.predict(x, language_id.fit(x))):
+        assert {r["doc_id"] for r in of(df).collect()} == {r[0] for r in rows}
+
+
+def test_mix_of_repeated_rows(docs, rows):
+    """Rows that are equal in everything, or in doc_id only: the documents are as many as the mix takes."""
+    twice = docs.union(docs).union(docs.withColumn("text", F.concat("text", F.lit(" more words"))))
+    d = twice.select("*", mixing.n_words().alias("words")).drop("size").withColumnRenamed("words", "size")
+    taken = sum(r["n_copies"] * r["size"] for r in mixing.mix(d).collect())
+    assert taken <= 1.5 * d.agg(F.sum("size")).first()[0]
+    got = mixing.mixed_documents(twice).select(mixing.n_words().alias("n")).agg(F.sum("n")).first()[0]
+    assert abs(got - taken) <= 2 * d.agg(F.max("size")).first()[0]
+    plain = docs.select("doc_id", "text", "source")
+    again = plain.union(plain)
+    d = again.withColumn("size", mixing.n_words())
+    assert mixing.mixed_documents(again).count() == d.transform(mixing.mix).agg(F.sum("n_copies")).first()[0]
+
+
+@pytest.mark.parametrize("text", ["word " * 300_000, " " * 1_000_000, "a" * 1_000_000, "\n" * 300_000 + "end", "é中 " * 100_000], ids=["words", "blanks", "letter", "lines", "unicode"])
+def test_long_texts(spark, text):
+    """A million characters in one text: every operator gives its row."""
+    other = "the quick brown fox jumps over the lazy dog and runs away from all of us"
+    df = spark.createDataFrame([(1, text, "en", "a", 1), (2, other, "en", "a", 1), (3, text, "en", "b", 1)], SCHEMA)
+    assert {r["component_id"] for r in near_dedup.near_duplicates(df).collect()} == ({1, 2} if text.strip() else {1, 2, 3})
+    assert exact_dedup.drop_copies(df).count() == 2
+    assert by_id(substring_dedup.repeated_passages(df))[2]["n_removed"] == 0
+    held = df.withColumn("held_out", F.lit(False))
+    assert all(r["score"] < 0 for r in lm_score.lm_scores(held, held).collect())
+    assert quality.quality(df).count() == 3 and mixing.mix(df.withColumn("size", mixing.n_words())).count() == 3
+    assert language_id.predict(df, language_id.fit(df)).count() == 3
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(df, toxicity.fit(df, labels)).count() == 3
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    ids = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    got = by_id(bpe.encoding_digests(df))
+    assert (got[1]["n_tokens"], got[1]["ids_sha256"], got[1]["decoded_sha256"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+    counted = token_counts.section_token_counts(df.where("doc_id = 1")).agg(F.sum("n_tokens"), F.max("doc_tokens")).first()
+    assert counted[0] == counted[1] == len(ids)
+
+
+def test_token_counts_equal_the_encoder(docs):
+    """doc_tokens is op2's n_tokens, special tokens and long runs included; every section is recounted by characters."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(11)
+    pool = ["word", "\n", " ", "<|endoftext|>", "中文", "\U0001f600", "x1", "é", "!!", "   ", "\t\n"]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(60))) for _ in range(150)] + [" " * 6000 + "x", "x" + " " * 6000, "x <|endoftext|> y"]
+    df = docs.sparkSession.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    n = {r["doc_id"]: r["n_tokens"] for r in bpe.encoding_digests(df).collect()}
+    for rule in token_counts.RULES:
+        got = collections.defaultdict(dict)
+        for r in token_counts.section_token_counts(df, rule=rule).collect():
+            got[r["doc_id"]][r["section"]] = r
+        for i, text in enumerate(texts):
+            assert n[i] == got[i][0]["doc_tokens"]
+            want = collections.Counter()
+            starts = [r["start"] for _, r in sorted(got[i].items())]
+            for a, b in t.encode(text, add_special_tokens=False).offsets:
+                inside = [max(k for k, s in enumerate(starts) if s <= c) for c in range(a, max(b, a + 1))]
+                want[inside[0] if rule == "start" else inside[-1] if rule == "end" else max(dict.fromkeys(inside), key=inside.count)] += 1
+            assert {k: r["n_tokens"] for k, r in got[i].items() if r["n_tokens"]} == dict(want)
+
+
+def test_field_token_counts(spark):
+    df = spark.createDataFrame([(1, "A title", "The body of\nit", None), (2, None, "", "x")], "doc_id int, title string, body string, notes string")
+    got = [tuple(r) for r in token_counts.field_token_counts(df, ["title", "body", "notes"]).orderBy("doc_id", "start").collect()]
+    assert [r[:4] for r in got] == [(1, "title", 0, 8), (1, "body", 8, 23), (1, "notes", 23, 23), (2, "title", 0, 1), (2, "body", 1, 2), (2, "notes", 2, 3)]
+    assert all(sum(r[4] for r in got if r[0] == i) == next(r[6] for r in got if r[0] == i) for i in (1, 2))
+    with pytest.raises(ValueError):
+        token_counts.field_token_counts(df, [])
