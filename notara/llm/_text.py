@@ -78,6 +78,15 @@ class Words:
         return mix(h)
 
 
+def prefix_hashes(p: Words, which: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of those words cut at `ends`; a cut word hashes like the whole word that it is."""
+    total = np.zeros(len(p.data) + 1, _U)
+    np.cumsum(_VALUES[False][p.data] * powers(_BASE, len(p.data)), out=total[1:])
+    h = total[ends] - total[p.starts[which]]
+    h *= powers(_INV, len(p.data))[p.starts[which]]
+    return mix(h)
+
+
 def bytes_of(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and n + 1 offsets of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
