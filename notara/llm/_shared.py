@@ -1,91 +1,25 @@
-"""Tables in the folder that driver and executors share, what workers hold, and other small Spark helpers."""
+"""What workers hold, and other small Spark helpers of the training-data operators."""
 
 from __future__ import annotations
 
 import ctypes
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import drop, save, scratch  # noqa: F401
+
 #: Broadcast at most this many keys of a table whose size has been counted.
 BROADCAST_KEYS = 1_000_000
 #: Rows and bytes of an Arrow batch where the session has Spark's defaults of 10,000 and 64 MB: a worker holds a batch of whole texts.
-BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 #: Characters of a long text that are worked on at a time, where the work can be cut.
 PART = 1 << 17
 
 
-# ---- tables ---------------------------------------------------------------------------------------
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset and the master is local (tests), a temporary folder that is then set."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if not at:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = tempfile.mkdtemp(prefix="notara-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at
-
-
-def _files(spark: SparkSession, path: str):
-    """The path for the JVM, and its file system."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-_scopes: list[set[str]] = []
-
-
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives executors.
-
-    The table is deleted by drop(), at the end of a scratch() around it, or when the application ends.
-    """
-    spark = df.sparkSession
-    root = os.path.join(shared_dir(spark), "notara", spark.sparkContext.applicationId)
-    path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    at, files = _files(spark, root)
-    files.deleteOnExit(at)
-    if _scopes:
-        _scopes[-1].add(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """Deletes at its end the tables saved within it, but for those that the function it gives was called on."""
-    _scopes.append(set())
-
-    def keep(table: DataFrame) -> DataFrame:
-        _scopes[-1].difference_update(*({p for p in _scopes[-1] if os.path.basename(p) in x} for x in table.inputFiles()))
-        return table
-
-    try:
-        yield keep
-    finally:
-        for path in _scopes.pop():
-            at, files = _files(spark, path)
-            files.delete(at, True)
-
-
-def drop(*tables: DataFrame) -> None:
-    """Delete tables of save() that nothing reads any more."""
-    for df in tables:
-        for folder in {os.path.dirname(x) for x in df.inputFiles()}:  # of save() only
-            at, files = _files(df.sparkSession, folder)
-            files.delete(at, True)
-
-
 def small(spark: SparkSession, df: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
     """df with a broadcast hint if it has been counted to be small; else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -21,13 +21,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ._shared import PART, kept, lean, read, texts_of
+from ._shared import PART, kept, lean, read, release, texts_of
 
 #: The pattern that cuts a text into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 _END = regex.compile(r"\P{White_Space}(?=\p{White_Space})")
-CACHE = 60_000  # pieces in each of two generations; a worker forgets them after a partition
-FITS = 300_000  # answers about pairs of tokens
+CACHE = 30_000  # pieces in each of two generations; a worker forgets them after a partition
+FITS = 100_000  # answers about pairs of tokens
 _NEVER = 1 << 60
 
 
@@ -53,17 +53,19 @@ class Encoder:
         letters = byte_alphabet()
         vocab = spec["model"]["vocab"]
         self.bytes: dict[int, bytes] = {i: bytes(letters[c] for c in t) for t, i in vocab.items()}
-        self._rank: dict[tuple[int, int], int] = {}  # of a pair's merge
-        made: dict[int, tuple[int, int, int]] = {}  # token: its merge's rank and halves
+        self._rank: dict[int, int] = {}  # of a pair's merge
+        # of each token: its merge's rank, and the halves that the merge joins; rank -1 for single bytes
+        self._made = [array("i", [-1]) * (max(self.bytes) + 1) for _ in range(3)]
         for n, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             left, right, whole = vocab[a], vocab[b], vocab[a + b]
-            self._rank[left, right] = n
-            made.setdefault(whole, (n, left, right))
-        self._made = made
-        self._automaton = ahocorasick.Automaton()
+            self._rank[left << 32 | right] = n
+            if self._made[0][whole] < 0:
+                for kind, value in zip(self._made, (n, left, right), strict=True):
+                    kind[whole] = value
+        self._automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for i, b in self.bytes.items():
-            self._automaton.add_word(b.decode("latin-1"), (i, len(b)))
+            self._automaton.add_word(b.decode("latin-1"), i << 16 | len(b))
         self._automaton.make_automaton()
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes.update({i: t.encode() for t, i in self.added.items()})
@@ -79,10 +81,9 @@ class Encoder:
         got = self._edges.get((token, side))
         if got is None:
             chain, ends = [token], [_NEVER]
-            while chain[-1] in self._made:
-                merge = self._made[chain[-1]]
-                chain.append(merge[side])
-                ends.append(merge[0])
+            while self._made[0][chain[-1]] >= 0:
+                ends.append(self._made[0][chain[-1]])
+                chain.append(self._made[side][chain[-1]])
             got = self._edges[token, side] = (chain[::-1], ends[::-1])
         return got
 
@@ -94,7 +95,7 @@ class Encoder:
             (left, left_ends), (right, right_ends) = self._edge(a, 2), self._edge(b, 1)
             i = j = 0
             while True:
-                across, one, other = self._rank.get((left[i], right[j]), _NEVER), left_ends[i], right_ends[j]
+                across, one, other = self._rank.get(left[i] << 32 | right[j], _NEVER), left_ends[i], right_ends[j]
                 if across < one and across <= other:
                     got = False
                     break
@@ -114,8 +115,9 @@ class Encoder:
         """Ids of one piece, whose bytes are given as code points."""
         last, size = (array("i", [x]) * (len(text) + 1) for x in (-1, 0))
         fits = self.fits
-        for end, (token, length) in self._automaton.iter(text):
+        for end, found in self._automaton.iter(text):
             end += 1
+            token, length = found >> 16, found & 65535
             if last[end] < 0:
                 before = end - length
                 if not before or (last[before] >= 0 and fits(last[before], token)):
@@ -191,7 +193,9 @@ class Encoder:
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder for each worker process and file."""
-    return Encoder(path)
+    made = Encoder(path)
+    release()  # what reading the file took
+    return made
 
 
 def _encode(path: str):

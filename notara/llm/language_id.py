@@ -30,7 +30,7 @@ ORDER = 5
 SAMPLE, SAMPLE_BYTES, LEAST = 800, 8_000_000, 100
 REJECT_AT = 8.0  # standard deviations
 FLOOR = 0.25  # bits a character that any text may be off
-MEMO_BYTES = 32 << 20
+MEMO_BYTES = 16 << 20
 _U = np.uint64
 _STEP = [_U(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64)) for j in range(ORDER)]
 
@@ -253,7 +253,7 @@ def _predict(shared):
         memo = _Memo(width)
         for batch in batches:
             sums, n = np.zeros((batch.num_rows, width)), np.zeros(batch.num_rows, np.int64)
-            for group in _segments(batch.column("text").to_pylist(), max(1024, PART // -(-width // 8))):
+            for group in _segments(batch.column("text").to_pylist(), max(1024, PART // (2 * -(-width // 8)))):
                 columns, length, first = _places([part for _, part in group])
                 upto = np.zeros((len(length) + 1, width))
                 np.cumsum(bits_of(models, memo, columns, length), axis=0, out=upto[1:])
