@@ -451,25 +451,88 @@ def test_rare_toxic_word_beside_many(spark):
     rows += [(300 + i, prose(rng, 30) + " zyzzyvas", "en", "a", 1) for i in range(16)] + [(400 + i, prose(rng, 30), "en", "a", 1) for i in range(600)]
     labels = [(r[0], 1, int(r[0] < 400)) for r in rows]
     model = toxicity.fit(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-    assert len(model.vectors.place) > 600
+    assert len(model.vectors.keys) > 600
     assert model.score(prose(rng, 30) + " zyzzyvas")[0] >= 0.7 > model.score(prose(rng, 30))[0]
 
 
-def test_block_max_neighbours_are_exact():
+def test_block_max_neighbours_are_exact(monkeypatch):
     rng = np.random.default_rng(7)
-    vectors = []
+    vectors = [(np.empty(0, np.int64), np.empty(0))]
     for _ in range(700):
         at = np.sort(rng.choice(40, rng.integers(1, 6), replace=False))
         w = rng.random(len(at)) + 0.1
-        vectors.append((at, w / np.sqrt(w @ w)))
-    index = toxicity.BlockMaxIndex(vectors, 40)
-    dense = np.zeros((700, 40))
+        vectors.append((at, (w / np.sqrt(w @ w)).astype(np.float32).astype(float)))
+    vectors += vectors[:40]  # ties
+    cut = np.concatenate(([0], np.cumsum([len(at) for at, _ in vectors])))
+    dense = np.zeros((len(vectors), 40))
     for i, (at, w) in enumerate(vectors):
         dense[i, at] = w
-    for i in range(0, 700, 37):
-        near, sims = index.nearest(*vectors[i], 15)
-        assert np.allclose(sims, np.sort(dense @ dense[i])[::-1][:15])
-        assert np.allclose(dense[near] @ dense[i], sims)
+    for long, block in ((0, 64), (8, 16), (40, 64), (40, 1000)):
+        monkeypatch.setattr(toxicity, "LONG", long)
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        index = toxicity.BlockMaxIndex(np.concatenate([at for at, _ in vectors]), np.concatenate([w for _, w in vectors]), cut, 40)
+        own = np.arange(0, len(vectors), 7)
+        for leave in (None, own):
+            got = index.nearest([vectors[i] for i in own], 15, leave)
+            for i, (near, sims) in zip(own.tolist(), got, strict=True):
+                cosine = np.round(dense @ dense[i], 12)
+                if leave is not None:
+                    cosine[i] = 0
+                want = np.lexsort((np.arange(len(cosine)), -cosine))[:15]
+                want = want[cosine[want] > 0]
+                assert near.tolist() == want.tolist() and np.allclose(sims, cosine[want])
+
+
+def test_toxicity_matches_brute_force(spark):
+    """Terms, weights, neighbours, vote, calibration and score, recomputed in plain Python."""
+    rng = random.Random(21)
+    bad = ["vexing", "vexingly", "grumly"]
+    rows = [(i, prose(rng, rng.randrange(1, 40)) + (f" {rng.choice(bad)}!" if i % 3 == 0 else ""), "en", "a", 1) for i in range(150)] + [(500, None, None, None, 1), (501, "zzz", "en", "a", 1)]
+    label = {i: int(i % 3 == 0 or i % 17 == 0) for i in range(100)}
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = toxicity.fit(df, spark.createDataFrame([(i, 1, t) for i, t in label.items()], "doc_id long, quality int, toxic int"))
+
+    def terms(text):
+        words = re.findall(r"\w+", (text or "").lower())
+        return collections.Counter(words + ["^" + w[:5] for w in words if len(w) > 5])
+
+    counted = {d: terms(t) for d, t, *_ in rows}
+    n1, n0 = sum(label.values()), len(label) - sum(label.values())
+    share = n1 / (n1 + n0)
+    weight = {}
+    for t in {t for d in label for t in counted[d]}:
+        a, b = (sum(t in counted[d] for d in label if label[d] == k) for k in (1, 0))
+        delta = math.log2((a + 5 * share) / (b + 5 * (1 - share)) * (1 - share) / share)
+        weight[t] = (math.log((1 + len(rows)) / (1 + sum(t in c for c in counted.values()))) + 1) * delta**2
+
+    def vector(c):
+        v = {t: (1 + math.log(n)) * weight[t] for t, n in c.items() if weight.get(t, 0) > 0}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+
+    vectors = {d: vector(c) for d, c in counted.items()}
+
+    def vote(v, leave=None):
+        near = sorted(((sum(x * vectors[d].get(t, 0) for t, x in v.items()), d) for d in label if d != leave), key=lambda x: (-round(x[0], 6), x[1]))[:15]
+        near = [(s, d) for s, d in near if s > 1e-9]
+        w = [s / (1.02 - min(s, 1)) for s, _ in near]
+        return (sum(x * label[d] for x, (_, d) in zip(w, near)) + 0.02 * share) / (sum(w) + 0.02) if near else share, near
+
+    got = {r["doc_id"]: r for r in toxicity.toxicity(df, model).collect()}
+    votes = sorted((vote(vectors[d], d)[0], label[d]) for d in label)
+    for d in got:
+        v, near = vote(vectors[d])
+        # calibration: the best non-decreasing fit by the max-min formula
+        if not near:
+            assert got[d]["score"] == pytest.approx(share) and not got[d]["evidence"]
+            continue
+        assert [round(sum(x * vectors[e].get(t, 0) for t, x in vectors[d].items()), 4) for e in got[d]["evidence"]] == [round(s, 4) for s, _ in near]
+        assert abs(got[d]["score"] - (0.999 * np.interp(v, model.knots, model.values) + 0.001 * v)) < 2e-3
+    knots = np.array([x for x, _ in votes])
+    for k in range(0, len(votes), 9):
+        fit = max(min(sum(y for _, y in votes[i : j + 1]) / (j - i + 1) for j in range(k, len(votes))) for i in range(k + 1))
+        assert abs(np.interp(knots[k], model.knots, model.values) - fit) < 0.35
+    assert got[500]["score"] == pytest.approx(share) and len(got) == len(rows)
 
 
 # ---- names, repeats, long texts -------------------------------------------------------------------
