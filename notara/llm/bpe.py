@@ -64,8 +64,10 @@ class Encoder:
                 for kind, value in zip(self._made, (n, left, right), strict=True):
                     kind[whole] = value
         self._automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        self._length = array("i", [0]) * (max(self.bytes) + 1)
         for i, b in self.bytes.items():
-            self._automaton.add_word(b.decode("latin-1"), i << 16 | len(b))
+            self._automaton.add_word(b.decode("latin-1"), i)
+            self._length[i] = len(b)
         self._automaton.make_automaton()
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes.update({i: t.encode() for t, i in self.added.items()})
@@ -115,10 +117,11 @@ class Encoder:
         """Ids of one piece, whose bytes are given as code points."""
         last, size = (array("i", [x]) * (len(text) + 1) for x in (-1, 0))
         fits = self.fits
-        for end, found in self._automaton.iter(text):
+        lengths = self._length
+        for end, token in self._automaton.iter(text):
             end += 1
-            token, length = found >> 16, found & 65535
             if last[end] < 0:
+                length = lengths[token]
                 before = end - length
                 if not before or (last[before] >= 0 and fits(last[before], token)):
                     last[end], size[end] = token, length
