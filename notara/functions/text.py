@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Callable
 
 import pandas as pd
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from ..schemas import INT, STRING, TEXT_SPAN, struct
+from ..schemas import INT, SPAN, STRING, TEXT_SPAN, struct
 
 WORD = "[\\p{L}\\p{N}_]"
 
@@ -164,6 +165,20 @@ def normalized(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"text": [t for t, _ in got], "map": [m for _, m in got]})
 
 
+@pandas_udf(T.ArrayType(STRING))
+def normalized_texts(texts: pd.Series) -> pd.Series:
+    """Normalized text of each string of an array; null stays null."""
+    return texts.map(lambda own: None if own is None else [None if t is None else normalize_with_map(t)[0] for t in own])
+
+
+def normalization_info(raw: str | Column, text: str | Column, *, collapse: bool = True, punctuation: bool = True, keep_lines: bool = True) -> Column:
+    """What a normalization did: lengths before and after, and its settings."""
+    return F.struct(
+        F.length(col(raw)).alias("raw_length"), F.length(col(text)).alias("normalized_length"),
+        F.lit(collapse).alias("collapse_spaces"), F.lit(punctuation).alias("normalize_punctuation"), F.lit(keep_lines).alias("preserve_line_breaks"),
+    )
+
+
 def valid_map(text: str | Column, at: str | Column, raw_length: str | Column) -> Column:
     """Whether an offset map has the text's length, stays in range and never decreases."""
     a = col(at)
@@ -183,6 +198,17 @@ def span_to_normalized(at: str | Column, start: str | Column, end: str | Column)
     return F.when(F.size(inside) > 0, F.struct(F.array_min(inside).alias("start"), (F.array_max(inside) + 1).alias("end")))
 
 
+@pandas_udf(T.ArrayType(SPAN))
+def spans_to_normalized(maps: pd.Series, spans: pd.Series) -> pd.Series:
+    """span_to_normalized for an array of raw spans {start, end} of one text, by bisection of its map; null for a bad span."""
+
+    def place(at, s, e):
+        lo, hi = bisect_left(at, s), bisect_left(at, e)
+        return {"start": lo, "end": hi} if lo < hi else None
+
+    return pd.Series([None if own is None else [place(at, x["start"], x["end"]) for x in own] for at, own in zip(maps, spans, strict=True)])
+
+
 # ---- other scalar functions ---------------------------------------------------------------------
 
 
@@ -208,6 +234,12 @@ def mention_key_udf(texts: pd.Series) -> pd.Series:
     return texts.map(mention_key_py, na_action="ignore")
 
 
+@pandas_udf(STRING)
+def strip_diacritics(texts: pd.Series) -> pd.Series:
+    """The text decomposed (NFD) without its non-spacing marks; other letters, such as đ, stay."""
+    return texts.map(lambda t: "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn"), na_action="ignore")
+
+
 _ACCENTED = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵđäåçëîïñöûüÿ"
 _BARE = "".join("d" if c == "đ" else unicodedata.normalize("NFD", c)[0] for c in _ACCENTED)
 

@@ -3,61 +3,67 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ..schemas import ASSERTION_TYPES
+from ..schemas import ASSERTION_TYPES, ASSERTIONS
+from .models import first_object, generate
 
 
-@dataclass(frozen=True)
-class CueRule:
+class Rule(NamedTuple):
+    """A row of the cue table: a label, the cue's pattern, the confidence at no distance, and the side of the cue that its scope is on."""
+
     label: str
     pattern: str
     confidence: float
-    direction: str = "forward"
+    side: str = "forward"
 
 
 # Cue patterns, their confidence and direction; boundaries; scope and decay lengths.
 RULES = (
-    CueRule("isNegated", r"\bkhông\s+(?:có|ghi nhận|thấy|phát hiện|bị|mắc)?\s*", 0.97),
-    CueRule("isNegated", r"\bchưa\s+(?:ghi nhận|thấy|phát hiện|từng|bị|mắc)?\s*", 0.94),
-    CueRule("isNegated", r"\b(?:chẳng|chả)\s+(?:có|thấy|bị)?\s*", 0.92),
-    CueRule("isNegated", r"\bphủ nhận\s+", 0.98),
-    CueRule("isNegated", r"\bâm tính(?:\s+với)?\s+", 0.96),
-    CueRule("isNegated", r"\bkhông còn\s+", 0.92),
-    CueRule("isNegated", r"\bloại trừ\s+", 0.72),
-    CueRule("isHistorical", r"\btiền sử(?:\s+(?:bị|mắc|có))?\s+", 0.98),
-    CueRule("isHistorical", r"\btrước đây(?:\s+đã)?(?:\s+từng)?\s+", 0.96),
-    CueRule("isHistorical", r"\bđã từng(?:\s+bị|\s+mắc|\s+có)?\s+", 0.96),
-    CueRule("isHistorical", r"\btừng(?:\s+bị|\s+mắc|\s+có)\s+", 0.91),
-    CueRule("isHistorical", r"\bcách đây\s+\d+(?:[,.]\d+)?\s*(?:ngày|tuần|tháng|năm)\b", 0.88, "backward"),
-    CueRule("isHistorical", r"\bhồi\s+(?:nhỏ|bé|trước)\s+", 0.86),
-    CueRule("isFamily", r"\btiền sử gia đình(?:\s+có)?\s+", 0.99),
-    CueRule("isFamily", r"\bgia đình(?:\s+bệnh nhân)?(?:\s+có|\s+ghi nhận)?\s+", 0.96),
-    CueRule("isFamily", r"\b(?:mẹ|má|bố|ba|cha|anh|chị|em|ông|bà|con)\s+(?:bị|mắc|có|từng bị|từng mắc)\s+", 0.94),
+    Rule("isNegated", r"\bkhông\s+(?:có|ghi nhận|thấy|phát hiện|bị|mắc)?\s*", 0.97),
+    Rule("isNegated", r"\bchưa\s+(?:ghi nhận|thấy|phát hiện|từng|bị|mắc)?\s*", 0.94),
+    Rule("isNegated", r"\b(?:chẳng|chả)\s+(?:có|thấy|bị)?\s*", 0.92),
+    Rule("isNegated", r"\bphủ nhận\s+", 0.98),
+    Rule("isNegated", r"\bâm tính(?:\s+với)?\s+", 0.96),
+    Rule("isNegated", r"\bkhông còn\s+", 0.92),
+    Rule("isNegated", r"\bloại trừ\s+", 0.72),
+    Rule("isHistorical", r"\btiền sử(?:\s+(?:bị|mắc|có))?\s+", 0.98),
+    Rule("isHistorical", r"\btrước đây(?:\s+đã)?(?:\s+từng)?\s+", 0.96),
+    Rule("isHistorical", r"\bđã từng(?:\s+bị|\s+mắc|\s+có)?\s+", 0.96),
+    Rule("isHistorical", r"\btừng(?:\s+bị|\s+mắc|\s+có)\s+", 0.91),
+    Rule("isHistorical", r"\bcách đây\s+\d+(?:[,.]\d+)?\s*(?:ngày|tuần|tháng|năm)\b", 0.88, "backward"),
+    Rule("isHistorical", r"\bhồi\s+(?:nhỏ|bé|trước)\s+", 0.86),
+    Rule("isFamily", r"\btiền sử gia đình(?:\s+có)?\s+", 0.99),
+    Rule("isFamily", r"\bgia đình(?:\s+bệnh nhân)?(?:\s+có|\s+ghi nhận)?\s+", 0.96),
+    Rule("isFamily", r"\b(?:mẹ|má|bố|ba|cha|anh|chị|em|ông|bà|con)\s+(?:bị|mắc|có|từng bị|từng mắc)\s+", 0.94),
 )
 BOUNDARY = r"[.!?;\n]|\b(?:nhưng|tuy nhiên|song|dù vậy|mặc dù|trong khi)\b"
 SCOPE, DECAY, LEAST_FACTOR, VERIFY_BELOW = 180, 240.0, 0.55, 0.82
 
 
 def find_cues(text: str, rules=RULES, boundary: str = BOUNDARY) -> list[dict]:
-    """Cues of all rules with their scopes, by place and then longest first."""
+    """Cues of all rules with their scopes, by place and then longest first.
+
+    A scope is the SCOPE characters on the cue's side, up to the boundary in them that is nearest the cue.
+    """
+    stop = re.compile(boundary, re.I)
     out = []
-    for rule in rules:
-        for m in re.finditer(rule.pattern, text, re.I):
-            if rule.direction == "backward":
-                lo, hi = max(0, m.start() - SCOPE), m.start()
-                stops = [b.end() for b in re.finditer(boundary, text[lo:hi], re.I)]
-                lo += max(stops, default=0)
+    for label, pattern, conf, side in rules:
+        for m in re.finditer(pattern, text, re.I):
+            a, b = m.span()
+            if side == "backward":
+                near = text[max(0, a - SCOPE) : a]
+                scope = (a - len(near) + max((x.end() for x in stop.finditer(near)), default=0), a)
             else:
-                lo, hi = m.end(), min(len(text), m.end() + SCOPE)
-                stop = re.search(boundary, text[lo:hi], re.I)
-                hi = lo + stop.start() if stop else hi
-            out.append({"label": rule.label, "cue": m[0], "cue_start": m.start(), "cue_end": m.end(), "cue_confidence": rule.confidence, "direction": rule.direction, "scope_start": lo, "scope_end": hi})
+                near = text[b : b + SCOPE]
+                first = stop.search(near)
+                scope = (b, b + (first.start() if first else len(near)))
+            out.append({"label": label, "cue": m[0], "cue_start": a, "cue_end": b, "cue_confidence": conf, "direction": side, "scope_start": scope[0], "scope_end": scope[1]})
     return sorted(out, key=lambda c: (c["cue_start"], -c["cue_end"]))
 
 
@@ -118,13 +124,21 @@ def verify(rows: DataFrame, verifier, schema: str | None = None) -> DataFrame:
 
 def parse_verdict(output: str, labels: list[str], conf: float) -> tuple[list[str], float]:
     """Labels and confidence from the first {...} of a model's answer; unchanged without a JSON object."""
-    import json
-
-    m = re.search(r"\{.*?\}", output, re.S)
-    try:
-        said = json.loads(m[0]) if m else None
-    except ValueError:
-        said = None
-    if not isinstance(said, dict):
+    said = first_object(output)
+    if said is None:
         return labels, conf
-    return [x for x in ("isNegated", "isHistorical", "isFamily") if said.get(x) is True], min(1.0, max(0.0, float(said.get("confidence", conf))))
+    return [x for x in ASSERTIONS if said.get(x) is True], min(1.0, max(0.0, float(said.get("confidence", conf))))
+
+
+# What a text model is asked.
+VERDICT_PROMPT = "Bạn là bộ phân loại assertion y khoa. Trả JSON duy nhất."
+VERDICT_SCHEMA = 'Schema: {"isNegated": bool, "isHistorical": bool, "isFamily": bool, "confidence": number}'
+
+
+def generating_verifier(name: str, tokens_out: int = 80):
+    """A verifier for verify() by a local text model of that name."""
+
+    def judge(text: str, entity: str, labels: list[str], conf: float) -> tuple[list[str], float]:
+        return parse_verdict(generate(name, f"{VERDICT_PROMPT}\nVăn bản: {text}\nThực thể: {entity}\n{VERDICT_SCHEMA}", tokens_out), labels, conf)
+
+    return judge

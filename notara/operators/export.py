@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import normalized, split_bucket, token_spans
+from ..functions.text import normalized, normalized_texts, split_bucket, token_spans
 from ..schemas import ENTITY_TYPES
+from ..tables import save
 from .chunks import window_starts
 
 VALIDATION_BUCKETS = 2_000  # of 10,000
@@ -39,7 +40,8 @@ def split_manifest(samples: DataFrame) -> DataFrame:
 def seeded_split(rows: DataFrame, ratio: float, seed: int, key: str = "id") -> DataFrame:
     """rows with split: the eval part has round-half-even(n * ratio) rows, at least 1 and at most n - 1 (none if ratio is 0).
 
-    Rows are ordered by a seeded hash; a threshold on the hash finds the eval part, so no task sorts the table.
+    Rows are ordered by a seeded hash, then by key; a row whose key and hash another row has too counts
+    for itself.  Counts of hash ranges find the range in which the eval part ends, and only that is sorted.
     """
     n = rows.count()
     if ratio and n < 2:
@@ -48,8 +50,17 @@ def seeded_split(rows: DataFrame, ratio: float, seed: int, key: str = "id") -> D
     hashed = rows.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
     if not wanted:
         return hashed.drop("_h").withColumn("split", F.lit("train"))
-    cut = hashed.select("_h", key).orderBy("_h", key).limit(wanted).agg(F.max(F.struct("_h", key))).first()[0]
-    chosen = (F.col("_h") < cut[0]) | ((F.col("_h") == cut[0]) & (F.col(key) <= F.lit(cut[1])))
+    bins = max(1, int(n**0.5))
+    width = (1 << 64) // bins + 1
+    place = F.floor((F.col("_h").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")) / F.lit(str(width)).cast("decimal(20,0)")).cast("long")
+    before, last = 0, 0
+    for b, k in sorted((r[0], r[1]) for r in hashed.groupBy(place).count().toLocalIterator()):
+        last = b
+        if before + k >= wanted:
+            break
+        before += k
+    ends = hashed.where(place == last).select("_h", key).orderBy("_h", key).limit(wanted - before).agg(F.max(F.struct("_h", key))).first()[0]
+    chosen = (F.col("_h") < ends[0]) | ((F.col("_h") == ends[0]) & (F.col(key) <= F.lit(ends[1])))
     return hashed.withColumn("split", F.when(chosen, "eval").otherwise("train")).drop("_h")
 
 
@@ -68,7 +79,8 @@ def document_samples(docs: DataFrame, size: int = 320, overlap: int = 64, types:
     hold them whole.  The first fault of a document, in the order of the checks, fails it; windows
     without an entity are dropped.  Everything after the two Arrow functions is one row's arrays.
     """
-    base = docs.withColumn("_n", normalized("raw_text")).withColumn("_tokens", token_spans("_n.text"))
+    entities = F.coalesce("entities", F.array().cast(docs.schema["entities"].dataType))
+    base = docs.withColumn("entities", entities).withColumn("_n", normalized("raw_text")).withColumn("_tokens", token_spans("_n.text")).withColumn("_own", normalized_texts(F.transform("entities", lambda e: e["text"])))
     at = F.col("_n.map")
     inside = lambda e: F.filter(F.transform(at, lambda x, i: F.when((x >= e["start"]) & (x < e["end"]), i)), lambda x: x.isNotNull())
     token_at = lambda place, side: F.get(F.filter(F.transform("_tokens", lambda t, i: F.when(t[side] == place, i)), lambda x: x.isNotNull()), F.lit(0))
@@ -77,12 +89,15 @@ def document_samples(docs: DataFrame, size: int = 320, overlap: int = 64, types:
     two = base.withColumn("_mapped", mapped).withColumn("_placed", placed)
     e = lambda m: m["e"]
     fault = lambda m: (
-        F.when(e(m)["entity_type"].isNull() | ~e(m)["entity_type"].isin(*types), "invalid_entity_type")
-        .when(e(m)["text"].isNull() | (F.trim(e(m)["text"]) == ""), "invalid_entity_text")
+        F.when(e(m).isNull(), "invalid_entity_type")
+        .when(e(m)["text"].isNull() | (e(m)["text"] == ""), "invalid_entity_text")
+        .when(F.trim(F.coalesce(e(m)["entity_type"], F.lit(""))) == "", "invalid_entity_label")
+        .when(~e(m)["entity_type"].isin(*types) if types else F.lit(False), "invalid_entity_type")
         .when(e(m)["start"].isNull() | e(m)["end"].isNull() | (e(m)["start"] < 0) | (e(m)["start"] >= e(m)["end"]), "invalid_raw_span")
         .when(e(m)["end"] > F.length("raw_text"), "raw_span_out_of_bounds")
         .when(F.substring("raw_text", e(m)["start"] + 1, e(m)["end"] - e(m)["start"]) != e(m)["text"], "raw_text_mismatch")
         .when(m["ns"].isNull(), "entity_removed_by_normalization")
+        .when(F.substring("_n.text", m["ns"] + 1, m["ne"] - m["ns"]) != F.get("_own", m["i"]), "normalized_text_mismatch")
         .when(m["ts"].isNull() | m["te"].isNull(), "token_alignment_error")
     )
     three = two.withColumn("_faults", F.transform("_placed", lambda m: F.struct(fault(m).alias("f"), m["i"].alias("i"))))
@@ -96,7 +111,8 @@ def document_samples(docs: DataFrame, size: int = 320, overlap: int = 64, types:
     )), lambda w: F.size(w["ner"]) > 0)
     uncovered = F.exists("_spans", lambda x: ~F.exists("_starts", lambda s: (x["start"] >= s) & (x["end"] < s + size)))
     error = (
-        F.when(F.length("_n.text") == 0, "empty_normalized_text")
+        F.when(F.col("document_id").isNull() | F.col("raw_text").isNull(), "invalid_document")
+        .when(F.length("_n.text") == 0, "empty_normalized_text")
         .when(F.size("_tokens") == 0, "no_tokens")
         .when(F.col("_first").isNotNull(), F.col("_first.f"))
         .when(F.size(F.array_distinct("_spans")) < F.size("_spans"), "duplicate_entity")
@@ -105,3 +121,26 @@ def document_samples(docs: DataFrame, size: int = 320, overlap: int = 64, types:
     )
     five = four.withColumns({"error": error, "error_index": F.col("_first.i")})
     return five.select("document_id", "error", "error_index", F.when(F.col("error").isNull(), windows).alias("samples"))
+
+
+class InvalidDocument(ValueError):
+    """The first invalid document of a build that is to stop there."""
+
+
+def build_samples(docs: DataFrame, errors: str | None = None, on_error: str = "skip", size: int = 320, overlap: int = 64, types: tuple[str, ...] = ENTITY_TYPES) -> tuple[DataFrame, DataFrame]:
+    """Training samples (id, tokenized_text, ner) of the sound documents, and the errors (document_id, code, entity_index).
+
+    errors: a path for the error rows as JSON lines, written before anything is raised.  on_error
+    `raise` stops with InvalidDocument if there is any error, `skip` leaves those documents out whole.
+    """
+    if on_error not in ("raise", "skip"):
+        raise ValueError("on_error must be raise or skip")
+    out = save(document_samples(docs, size, overlap, types), "samples")
+    bad = out.where("error IS NOT NULL").select("document_id", F.col("error").alias("code"), F.col("error_index").alias("entity_index"))
+    if errors is not None:
+        bad.write.mode("overwrite").option("ignoreNullFields", "false").json(errors)
+    first = bad.orderBy("document_id").first() if on_error == "raise" else None
+    if first is not None:
+        raise InvalidDocument(f"{first['document_id']}: {first['code']} (entity {first['entity_index']})")
+    windows = out.where("error IS NULL").select("document_id", F.posexplode("samples").alias("window", "s"))
+    return windows.select(F.concat_ws("#", "document_id", "window").alias("id"), "s.*"), bad

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..functions.text import confidence, mention_key, mention_key_py, tokens
-from ..schemas import DOUBLE
+from ..schemas import DOUBLE, STRING
+from .models import answer
 
 # Retrieval, fusion and decision parameters.
 K1, B, RETRIEVE, RRF_K, FUSED, RERANKED = 1.5, 0.75, 20, 60, 30, 5
 MARGIN, LEAST_CONFIDENCE = 0.04, 0.35
+# What a text model is asked.
+CHOICE_PROMPT = "Chọn đúng một mã ontology phù hợp nhất. Nếu không đủ thông tin, trả null. Chỉ trả JSON."
+CHOICE_SCHEMA = 'Schema: {"code": "string|null"}'
 #: An ontology side is broadcast when it has at most this many rows (it is counted first).
 BROADCAST_ROWS = 200_000
 
@@ -63,7 +71,8 @@ def bm25(queries: DataFrame, index: DataFrame, top: int = RETRIEVE, key: str = "
     """(key, code, score, rank): the best entries of each query by its terms' postings; a repeated term counts again."""
     term = queries.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("times"))
     part = F.col("times") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + F.col("norm"))
-    scored = term.join(index, "term").groupBy(key, "code").agg(F.sum(part).alias("score")).where("score > 0")
+    # postings stream past the queries' terms while those are few, so that no term's long list is one task
+    scored = index.join(_small(term), "term").groupBy(key, "code").agg(F.sum(part).alias("score")).where("score > 0")
     return ranked(scored, key, [F.desc(F.round("score", 9)), order], top)
 
 
@@ -74,25 +83,70 @@ def ranked(rows: DataFrame, key: str, order: list, top: int) -> DataFrame:
 # ---- dense vectors ------------------------------------------------------------------------------
 
 
-def unit(c: str) -> Column:
-    """The vector divided by its length, as doubles."""
-    v = F.transform(c, lambda x: x.cast("double"))
-    size = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(v, lambda x: x / F.when(size > 0, size).otherwise(1.0))
+QUERY_BLOCK, ENTRY_BLOCK = 4_096, 16_384
 
 
 def dense(queries: DataFrame, entries: DataFrame, top: int = RETRIEVE) -> DataFrame:
-    """(query_id, code, score, rank) by cosine: every query against every entry.
+    """(query_id, code, score, rank) by cosine: every query(query_id, vector) against every entry(code, vector).
 
-    A query set against an ontology: queries(query_id, vector) are broadcast after they have been
-    counted, and entries(code, vector) stream past, each partition keeping its own best `top`.
+    Both sides are cut into blocks by hash; each pair of blocks is one matrix product, of which only the
+    best `top` of each query go on.  No block grows with the tables.  Zero and null vectors score 0.
     """
-    if queries.limit(BROADCAST_ROWS // 20 + 1).count() > BROADCAST_ROWS // 20:
-        raise ValueError("more queries than one block: call dense() for blocks of queries")
-    q = F.broadcast(queries.select("query_id", unit("vector").alias("_q")))
-    dot = F.aggregate(F.zip_with("_q", "_e", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-    scored = entries.select("code", unit("vector").alias("_e")).join(q).select("query_id", "code", dot.alias("score"))
-    return ranked(scored, "query_id", [F.desc(F.round("score", 9)), "code"], top)
+    spans = [max(1, -(-df.count() // size)) for df, size in ((queries, QUERY_BLOCK), (entries, ENTRY_BLOCK))]
+    place = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    doubles = F.transform("vector", lambda x: x.cast("double")).alias("vector")
+    left = queries.select(F.struct("query_id").alias("q"), doubles, place("query_id", spans[0]).alias("i")).withColumn("j", every(spans[1]))
+    right = entries.select("code", doubles, place("code", spans[1]).alias("j")).withColumn("i", every(spans[0]))
+    number = left.schema["q"].dataType.fields[0].dataType.simpleString()
+    hits = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(_multiply(top), f"q struct<query_id:{number}>, code string, score double")
+    return ranked(hits.select("q.query_id", "code", "score"), "query_id", [F.desc(F.round("score", 9)), "code"], top)
+
+
+def _units(vectors) -> np.ndarray:
+    """The vectors divided by their lengths, as rows."""
+    width = max((len(v) for v in vectors if v.as_py() is not None), default=0)
+    out = np.zeros((len(vectors), width))
+    for i, v in enumerate(vectors):
+        if v.as_py() is not None:
+            out[i, : len(v)] = v.values.to_numpy(zero_copy_only=False)
+    size = np.sqrt((out * out).sum(axis=1, keepdims=True))
+    return out / np.where(size > 0, size, 1.0)
+
+
+def _multiply(top: int):
+    def multiply(queries, entries):
+        codes = entries.column("code").to_pylist()
+        order = np.array(sorted(range(len(codes)), key=lambda i: codes[i]), np.int64)  # ties go by code
+        a, b = _units(queries.column("vector")), _units(entries.column("vector"))
+        if not len(a) or not len(b):
+            return pa.table({"q": queries.column("q").slice(0, 0), "code": pa.array([], pa.string()), "score": pa.array([], pa.float64())})
+        b = b[order]
+        k = min(top, len(order))
+        row, code, score = [], [], []
+        for lo in range(0, len(a), 256):
+            cosine = a[lo : lo + 256] @ b.T
+            best = np.argsort(-np.round(cosine, 9), axis=1, kind="stable")[:, :k]
+            row.append(np.repeat(np.arange(lo, lo + len(best)), k))
+            code.append(order[best].ravel())
+            score.append(np.take_along_axis(cosine, best, axis=1).ravel())
+        return pa.table({"q": queries.column("q").take(pa.array(np.concatenate(row))), "code": pa.array([codes[i] for i in np.concatenate(code)], pa.string()), "score": pa.array(np.concatenate(score))})
+
+    return multiply
+
+
+def dense_retriever(encode: Callable[[list[str]], list], entries: DataFrame, top: int = RETRIEVE) -> Callable[[DataFrame], DataFrame]:
+    """A retriever for link(): encode(texts) gives their vectors; entries(code, vector) are the ontology's."""
+
+    @pandas_udf("array<double>")
+    def vectors(texts: pd.Series) -> pd.Series:
+        return pd.Series([[float(x) for x in v] for v in encode(texts.tolist())])
+
+    def retrieve(queries: DataFrame, key: str = "query_id") -> DataFrame:
+        found = dense(queries.select(F.col(key).alias("query_id"), vectors("query").alias("vector")), entries, top)
+        return found.withColumnRenamed("query_id", key)
+
+    return retrieve
 
 
 # ---- fusion and reranking -----------------------------------------------------------------------
@@ -156,38 +210,78 @@ def decide(candidates: DataFrame, key: str = "query_id", margin: float = MARGIN,
     )
 
 
-def disambiguate(decided: DataFrame, chooser, texts: DataFrame, key: str = "query_id") -> DataFrame:
-    """Ambiguous rows go through chooser(query, codes) -> code; a code that is among the candidates wins."""
-    rows = decided.join(texts.select(key, "query"), key)
+def disambiguate(decided: DataFrame, chooser: Callable[[str, list[str]], str | None], texts: DataFrame, key: str = "query_id") -> DataFrame:
+    """Ambiguous rows go through chooser(query, codes) -> code; a code that is among the candidates wins.  texts(key, query)."""
 
-    def judge(batches):
-        for pdf in batches:
-            for i, r in pdf.iterrows():
-                code = chooser(r["query"], list(r["candidates"]))
-                if code in list(r["candidates"]):
-                    pdf.loc[i, ["selected_code", "method", "needs_review", "ambiguous"]] = [code, "local_disambiguator", False, False]
-            yield pdf
+    @pandas_udf(STRING)
+    def choose(queries: pd.Series, candidates: pd.Series) -> pd.Series:
+        return pd.Series([chooser(q, list(c)) for q, c in zip(queries, candidates, strict=True)], dtype="object")
 
-    return rows.where("NOT ambiguous").unionByName(rows.where("ambiguous").mapInPandas(judge, rows.schema)).drop("query")
+    # the filter stands before the Python stage
+    doubtful = decided.where("ambiguous").join(texts.select(key, "query"), key).withColumn("_c", choose("query", "candidates"))
+    won = F.coalesce(F.array_contains("candidates", F.col("_c")), F.lit(False))
+    judged = doubtful.withColumns({
+        "selected_code": F.when(won, F.col("_c")).otherwise(F.col("selected_code")), "method": F.when(won, "local_disambiguator").otherwise(F.col("method")),
+        "needs_review": F.when(won, False).otherwise(F.col("needs_review")), "ambiguous": ~won,
+    })
+    return decided.where("NOT ambiguous").unionByName(judged.select(*decided.columns))
 
 
-def link(mentions: DataFrame, ontology: DataFrame, name: str, key: str = "query_id", least: float = LEAST_CONFIDENCE, reranker=lexical_rerank) -> DataFrame:
+def generating_chooser(name: str, entries: DataFrame, tokens_out: int = 48) -> Callable[[str, list[str]], str | None]:
+    """A chooser by a local text model; entries(code, name, description) are the ontology's, held by each worker."""
+    options = {r["code"]: f"{r['code']}: {r['name']} | {r['description'] or ''}" for r in entries.select("code", "name", "description").toLocalIterator()}
+
+    def choose(query: str, codes: list[str]) -> str | None:
+        listed = "\n".join("- " + options[c] for c in codes if c in options)
+        said = answer(name, f"{CHOICE_PROMPT}\nQuery:\n{query}\nCandidates:\n{listed}\n{CHOICE_SCHEMA}", tokens_out)
+        return None if not isinstance(said, dict) or said.get("code") is None else str(said["code"])
+
+    return choose
+
+
+def link(mentions: DataFrame, ontology: DataFrame, name: str, key: str = "query_id", least: float = LEAST_CONFIDENCE, reranker=lexical_rerank, retrievers: tuple = (), chooser=None, margin: float = MARGIN) -> DataFrame:
     """(key, selected_code, confidence, method, needs_review, candidates) of mentions(key, mention, context).
 
     A mention with exactly one exact code is done.  One with several reranks those; the others rerank
-    what BM25 retrieves.  Mentions without candidates are `not_found`.
+    the fusion of what BM25 and the given retrievers (see dense_retriever) find.  An ambiguous decision
+    goes to chooser(query, codes) if there is one.  Mentions without candidates are `not_found`.
     """
     hits = exact(mentions.select(key, "mention"), alias_index(ontology))
     per = hits.groupBy(key).agg(F.count("*").alias("n"), F.min("code").alias("only"))
     one = per.where("n = 1").select(key, F.col("only").alias("selected_code"), F.lit(1.0).alias("confidence"), F.lit("exact_alias").alias("method"), F.lit(False).alias("needs_review"), F.array("only").alias("candidates"))
     rest = mentions.join(per.where("n = 1").select(key), key, "left_anti").withColumn("query", query_text(name))
     many = hits.join(per.where("n > 1").select(key), key, "left_semi").withColumn("rank", F.row_number().over(W.partitionBy(key).orderBy("code"))).select(key, "code", "rank")
-    searched = bm25(rest.join(per.select(key), key, "left_anti"), postings(ontology), FUSED if reranker is None else RETRIEVE, key)
-    fused = fuse(searched.withColumn("source", F.lit("bm25")), key=key).select(key, "code", "rank")
+    searched = rest.join(per.select(key), key, "left_anti").select(key, "query")
+    found = [bm25(searched, postings(ontology), RETRIEVE, key).withColumn("source", F.lit("bm25"))]
+    found += [r(searched, key).withColumn("source", F.lit("dense" if len(retrievers) == 1 else f"dense{i}")) for i, r in enumerate(retrievers)]
+    fused = fuse(*found, key=key).select(key, "code", "rank")
     candidates = many.unionByName(fused).join(rest.select(key, "mention", "query"), key).join(_small(ontology), "code")
-    decided = decide(reranker(candidates, key), key, MARGIN, least).drop("ambiguous")
+    decided = decide(reranker(candidates, key), key, margin, least)
+    if chooser is not None:
+        decided = disambiguate(decided, chooser, rest.select(key, "query"), key)
     none = rest.select(key).join(decided.select(key), key, "left_anti").select(key, F.lit(None).cast("string").alias("selected_code"), F.lit(0.0).alias("confidence"), F.lit("not_found").alias("method"), F.lit(False).alias("needs_review"), F.array().cast("array<string>").alias("candidates"))
-    return one.unionByName(decided).unionByName(none)
+    return one.unionByName(decided.drop("ambiguous")).unionByName(none)
+
+
+def cross_encoder(name: str, top: int = RERANKED):
+    """A reranker for link() by a sentence-pair model of that name; its library is imported in the workers only."""
+
+    def rerank(candidates: DataFrame, key: str = "query_id") -> DataFrame:
+        @pandas_udf(DOUBLE)
+        def score(queries: pd.Series, texts: pd.Series) -> pd.Series:
+            return pd.Series(_pair_model(name).predict(list(zip(queries, texts, strict=True))), dtype="float64")
+
+        scored = candidates.withColumn("final_score", score("query", search_text())).withColumnRenamed("rank", "_before")
+        return ranked(scored, key, [F.desc("final_score"), "_before"], top).drop("_before")
+
+    return rerank
+
+
+@lru_cache(maxsize=1)
+def _pair_model(name: str):
+    from sentence_transformers import CrossEncoder
+
+    return CrossEncoder(name)
 
 
 def route(entities: DataFrame, links: dict[str, DataFrame], key: list[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ..functions.text import normalized
+from ..functions.text import normalization_info, normalized
 from ..schemas import DRUG
 from .chunks import word_chunks
 
@@ -25,8 +25,8 @@ class Unavailable:
 
 
 def normalize_documents(docs: DataFrame) -> DataFrame:
-    """docs(document_id, raw_text) with text and map of the normalized text."""
-    return docs.select("document_id", "raw_text", normalized("raw_text").alias("_n")).select("document_id", "raw_text", "_n.text", "_n.map")
+    """docs(document_id, raw_text) with text, map and metadata of the normalized text."""
+    return docs.select("document_id", "raw_text", normalized("raw_text").alias("_n")).select("document_id", "raw_text", "_n.text", "_n.map").withColumn("metadata", normalization_info("raw_text", "text"))
 
 
 def predict(docs: DataFrame, model: Callable[[], object] | object, labels: list[str], threshold: float = 0.5, size: int = 300, overlap: int = 50, isolate: bool = True) -> DataFrame:
@@ -92,15 +92,45 @@ def drug_lines(text: str):
         at += len(line) + 1
 
 
-def find_drugs(text: str, pattern: re.Pattern) -> list[dict]:
+_TOKEN = re.compile(r"\w+|[^\w\s]")
+
+
+class DrugNames:
+    """Names by their first token, longest first: a line costs its tokens, however many names there are."""
+
+    def __init__(self, names: list[str]):
+        self.names: dict[str, list[str]] = {}
+        for name in sorted({n.strip().lower() for n in names if n and n.strip()}, key=lambda n: (-len(n), n)):
+            self.names.setdefault(_TOKEN.search(name)[0], []).append(name)
+
+    def finditer(self, line: str):
+        """(start, end) of the names in the line that stand between non-word characters, leftmost, then longest."""
+        low, free = line.lower(), 0
+        if len(low) != len(line):  # a letter whose lower case is longer
+            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in line)
+        for m in _TOKEN.finditer(low):
+            at = m.start()
+            if at < free or (at and _word(low[at - 1])):
+                continue
+            for name in self.names.get(m[0], ()):
+                end = at + len(name)
+                if low.startswith(name, at) and not (end < len(low) and _word(low[end])):
+                    yield at, end
+                    free = end
+                    break
+
+
+def _word(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
+def find_drugs(text: str, names: DrugNames) -> list[dict]:
     out = []
     for at, line, section in drug_lines(text):
         dosed = bool(_DOSE.search(line) or _CONTEXT.search(line))
         if not section and not dosed:
             continue
-        taken: list[tuple[int, int]] = []
-        for m in pattern.finditer(line):
-            taken.append(m.span())
+        taken = list(names.finditer(line))
         m = _BULLET.search(line) if section and dosed else None
         if m and not any(s < m.end(1) and m.start(1) < e for s, e in taken):
             taken.append(m.span(1))
@@ -109,12 +139,11 @@ def find_drugs(text: str, pattern: re.Pattern) -> list[dict]:
 
 
 def drug_predictions(docs: DataFrame, names: list[str]) -> DataFrame:
-    """Predictions of drugs by rules in docs(document_id, text); names: the ontology's names and brands."""
-    words = sorted({n.strip() for n in names if n and n.strip()}, key=len, reverse=True)
-    pattern = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, words)) + r")(?!\w)", re.I) if words else re.compile(r"(?!)")
+    """Predictions of drugs by rules in docs(document_id, text); names: the ontology's names and brands (a catalog, held by each worker)."""
+    known = DrugNames(names)
 
     def scan(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: find_drugs(t or "", pattern))
+        return texts.map(lambda t: find_drugs(t or "", known))
 
     found = docs.select("document_id", F.explode(pandas_udf(scan, "array<struct<start:int,end:int,text:string>>")("text")).alias("p"))
     return found.select("document_id", F.lit(-1).alias("chunk"), "p.start", "p.end", "p.text", F.lit(DRUG).alias("entity_type"), F.lit(RULE_SCORE).alias("confidence"), F.lit("drug_rules").alias("source"))

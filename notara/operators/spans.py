@@ -19,16 +19,23 @@ def best_of_duplicates(predictions: DataFrame, key: str = "document_id") -> Data
 def resolve_overlaps(spans: DataFrame, key: str = "document_id") -> DataFrame:
     """Greedy choice in each document: most confident, then longest, then first_ord; no two chosen spans overlap.
 
-    A fold over the document's spans in one row; a document's spans are bounded by its length.
+    Spans that do not overlap, directly or through others, do not concern each other: a running maximum
+    of ends cuts a document into runs, a run of one span is done, and a fold in one row chooses within
+    each longer run.
     """
     rest = [c for c in spans.columns if c != key]
+    by_start = W.partitionBy(key).orderBy("start", "end", "first_ord")
+    reached = F.max("end").over(by_start.rowsBetween(W.unboundedPreceding, -1))
+    opens = spans.withColumn("_opens", F.coalesce((F.col("start") >= reached).cast("int"), F.lit(1)))
+    runs = opens.withColumn("_run", F.sum("_opens").over(by_start.rowsBetween(W.unboundedPreceding, 0)))
     order = F.struct((-F.col("confidence")).alias("c"), (F.col("start") - F.col("end")).alias("l"), "first_ord", F.struct(*rest).alias("row"))
     folded = F.aggregate(
         F.col("_all"),
         F.expr("transform(slice(_all, 1, 0), x -> x.row)"),
         lambda acc, x: F.when(F.exists(acc, lambda y: (y["start"] < x["row"]["end"]) & (x["row"]["start"] < y["end"])), acc).otherwise(F.array_append(acc, x["row"])),
     )
-    return spans.groupBy(key).agg(F.sort_array(F.collect_list(order)).alias("_all")).select(key, F.explode(folded).alias("row")).select(key, "row.*")
+    chosen = F.when(F.size("_all") == 1, F.transform("_all", lambda x: x["row"])).otherwise(folded)
+    return runs.groupBy(key, "_run").agg(F.sort_array(F.collect_list(order)).alias("_all")).select(key, F.explode(chosen).alias("row")).select(key, "row.*")
 
 
 def keep_confident(spans: DataFrame, least: float = 0.3) -> DataFrame:

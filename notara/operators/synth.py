@@ -278,8 +278,48 @@ def _section_ranges(specs: DataFrame, texts: DataFrame) -> DataFrame:
     return markers.section_ranges(rows).select("case_id", F.col("section_id").alias("section_index"), F.col("start").alias("from"), F.col("end").alias("to"))
 
 
+def wording_errors(specs: DataFrame, stripped: DataFrame) -> DataFrame:
+    """(case_id, marker_id, error) of stripped(case_id, marked_text, _m): surface counts, banned terms, placeholders left, repeated titles.
+
+    marker_id is empty: these faults are of the note.
+    """
+    counts = markers.surface_counts(stripped.select("case_id", F.col("_m.text").alias("text")), expected_markers(specs))
+    counted = counts.select("case_id", F.lit("").alias("marker_id"), F.concat_ws(" ", F.lit("surface_count"), "surface_text", "found", "wanted").alias("error"))
+    titles = specs.select("case_id", F.transform("sections", lambda x: x["title"]).alias("titles"))
+    low = F.lower("marked_text")
+    faults = F.concat(
+        F.filter(F.array(F.when(F.regexp_like("marked_text", F.lit(markers.PLACEHOLDER)), "placeholder_left"), *[F.when(F.contains(low, F.lit(b)), f"banned:{b}") for b in markers.BANNED]), lambda x: x.isNotNull()),
+        F.transform(F.filter("titles", lambda t: F.contains(F.col("marked_text"), F.concat(t, F.lit("\n"), t))), lambda t: F.concat(F.lit("repeated_title:"), t)),
+    )
+    said = stripped.join(titles, "case_id").select("case_id", F.lit("").alias("marker_id"), F.explode(faults).alias("error"))
+    return counted.union(said)
+
+
+def section_errors(specs: DataFrame, notes: DataFrame) -> DataFrame:
+    """(case_id, marker_id, error) of notes(case_id, sections): sections that are not the spec's or are missing, and each section's own markers and surface counts.
+
+    marker_id is the section, or the section and marker.
+    """
+    rendered = notes.select("case_id", F.explode("sections").alias("s")).select("case_id", "s.section_id", F.col("s.marked").alias("marked_text"))
+    spec = specs.select("case_id", F.explode("sections").alias("s")).select("case_id", "s.section_id", F.lit(True).alias("known"))
+    both = spec.join(rendered.select("case_id", "section_id", F.lit(True).alias("there")).distinct(), ["case_id", "section_id"], "full").join(notes.select("case_id"), "case_id", "left_semi")
+    sets = both.select("case_id", F.col("section_id").alias("marker_id"), F.when(F.col("known").isNull(), "unknown_section").when(F.col("there").isNull(), "missing_section").alias("error")).where("error IS NOT NULL")
+    one = F.to_json(F.struct("case_id", "section_id"))  # a section stands for a case
+    entities, negatives = case_entities(specs), specs.select("case_id", F.explode("sections").alias("s")).select("case_id", "s.section_id", F.explode("s.blocks").alias("b")).select("case_id", "section_id", F.explode("b.hard_negatives").alias("n"))
+    wanted = entities.select(one.alias("case_id"), F.col("entity_id").alias("marker_id"), "surface_text").union(negatives.select(one.alias("case_id"), "n.negative_id", "n.surface_text"))
+    own = rendered.join(spec, ["case_id", "section_id"], "left_semi").select(one.alias("case_id"), "marked_text")
+    marked = markers.marker_errors(own, wanted)
+    counts = markers.surface_counts(own.select("case_id", markers.strip_markers("marked_text")["text"].alias("text")), wanted).select("case_id", F.lit("").alias("marker_id"), F.concat_ws(" ", F.lit("surface_count"), "surface_text", "found", "wanted").alias("error"))
+    named = marked.union(counts).withColumn("_k", F.from_json("case_id", "case_id string, section_id string"))
+    return sets.union(named.select("_k.case_id", F.concat_ws("/", "_k.section_id", F.nullif("marker_id", F.lit(""))), "error"))
+
+
 def validate_cases(specs: DataFrame, notes: DataFrame) -> DataFrame:
-    """(case_id, errors): faults of spec, markers, surface counts and semantics of notes(case_id, marked_text)."""
+    """(case_id, errors): faults of spec, markers, semantics, surface counts and wording of notes(case_id, marked_text).
+
+    With the notes' sections (as render_cases gives them), each section is checked by itself too, and
+    the sections must be the spec's.
+    """
     e = case_entities(specs)
     stripped = notes.select("case_id", "marked_text", markers.strip_markers("marked_text").alias("_m"))
     text = stripped.select("case_id", F.col("_m.text").alias("text"), F.explode("_m.spans").alias("p")).select("case_id", "text", F.col("p.marker_id").alias("entity_id"), "p.start", "p.end")
@@ -290,6 +330,8 @@ def validate_cases(specs: DataFrame, notes: DataFrame) -> DataFrame:
     lo, hi = F.greatest(F.col("from"), F.col("start") - 180), F.least(F.col("to"), F.col("end") + 100)
     rows = rows.withColumns({"prefix": scope_prefix("text", "start", markers.CONTRAST), "window": F.lower(F.substring("text", lo + 1, hi - lo))})
     semantic = markers.semantic_faults(rows).select("case_id", F.col("entity_id").alias("marker_id"), F.explode("faults").alias("error"))
-    every = spec_errors(specs).union(markers.marker_errors(notes, expected_markers(specs))).union(semantic)
+    every = spec_errors(specs).union(markers.marker_errors(notes, expected_markers(specs))).union(semantic).union(wording_errors(specs, stripped))
+    if "sections" in notes.columns:
+        every = every.union(section_errors(specs, notes))
     listed = every.groupBy("case_id").agg(F.sort_array(F.collect_list(F.concat_ws(": ", "marker_id", "error"))).alias("errors"))
     return specs.select("case_id").join(listed, "case_id", "left").select("case_id", F.coalesce("errors", F.array().cast("array<string>")).alias("errors"))

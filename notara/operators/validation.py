@@ -73,16 +73,66 @@ def entity_json(labels: tuple[str, ...] = ASSERTION_TYPES, linkable: tuple[str,
     return F.to_json(F.struct("text", kind.alias("type"), F.array("start", "end").alias("position"), F.when(kind.isin(*labels), F.col("assertions")).alias("assertions"), F.when(kind.isin(*linkable), F.col("candidates")).alias("candidates")))
 
 
-def serialize(entities: DataFrame, key: str = "document_id", strict: bool = False, checked: DataFrame | None = None) -> DataFrame:
-    """(note_id, output, error): the note's JSON; strict notes with errors have an error instead."""
-    rows = entities.groupBy(F.col(key).alias("note_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct("start", "end", "entity_index", entity_json().alias("j")))), lambda x: x["j"]).alias("_js"))
-    out = rows.withColumn("output", F.concat(F.lit('{"note_id":'), F.regexp_replace(F.to_json(F.array(F.col("note_id").cast("string"))), "^\\[|\\]$", ""), F.lit(',"entities":['), F.array_join("_js", ","), F.lit("]}"))).drop("_js")
+def _text_json(c: str | Column) -> Column:
+    """A string as a JSON string."""
+    return F.regexp_replace(F.to_json(F.array(F.col(c).cast("string") if isinstance(c, str) else c)), "^\\[|\\]$", "")
+
+
+def note_json(note_id: str, entities: Column, text: Column | None = None, problems: Column | None = None) -> Column:
+    """JSON of a note from the array of its entities' JSON; with its text and its validation block where they are given."""
+    parts = [F.lit('{"note_id":'), _text_json(note_id), F.lit(',"entities":['), F.array_join(entities, ","), F.lit("]")]
+    if text is not None:
+        parts += [F.lit(',"text":'), _text_json(text)]
+    if problems is not None:
+        parts.append(F.coalesce(F.concat(F.lit(',"validation":'), F.to_json(problems)), F.lit("")))
+    return F.concat(*parts, F.lit("}"))
+
+
+def _problems(errors: Column, warnings: Column) -> Column:
+    """The validation block: null for a note without errors and warnings."""
+    return F.when((F.size(errors) > 0) | (F.size(warnings) > 0), F.struct((F.size(errors) == 0).alias("valid"), errors.alias("errors"), warnings.alias("warnings")))
+
+
+def _ordered(*order: str):
+    """Aggregate of a column as an array in the order of other columns."""
+    return lambda c, name: F.transform(F.sort_array(F.collect_list(F.struct(*order, c.alias("v")))), lambda x: x["v"]).alias(name)
+
+
+def note_outputs(notes: DataFrame, checked: DataFrame, failed: DataFrame, strict: bool = True, include_text: bool = False, key: str = "document_id") -> DataFrame:
+    """(note_id, output, error) of every row of notes(key, raw_text), in one aggregation of the entities.
+
+    checked: output_errors() of all entities.  failed(key, failure): notes without a prediction.
+    Those, and strict notes with errors, have an empty entity list, and `Type: message` as error.
+    """
+    by_place, by_index = _ordered("start", "end", "entity_index"), _ordered("entity_index")
+    per = checked.withColumn("_j", entity_json()).groupBy(key).agg(by_place(F.col("_j"), "_js"), by_index(F.col("errors"), "_e"), by_index(F.col("warnings"), "_w"))
+    rows = notes.select(key, *(["raw_text"] if include_text else [])).join(per, key, "left").join(failed.select(key, "failure"), key, "left")
+    none = F.array().cast("array<string>")
+    errors, warnings = F.coalesce(F.flatten("_e"), none), F.coalesce(F.flatten("_w"), none)
+    wrong = F.when(F.lit(strict) & (F.size(errors) > 0), F.concat(F.lit("ValueError: "), F.array_join(errors, "; ")))
+    rows = rows.withColumn("error", F.coalesce("failure", wrong))
+    sound = F.col("error").isNull()
+    output = note_json(key, F.when(sound, F.coalesce("_js", none)).otherwise(none), F.col("raw_text") if include_text else None, F.when(sound, _problems(errors, warnings)))
+    return rows.select(F.col(key).alias("note_id"), output.alias("output"), "error")
+
+
+def serialize(entities: DataFrame, key: str = "document_id", strict: bool = False, checked: DataFrame | None = None, texts: DataFrame | None = None) -> DataFrame:
+    """(note_id, output, error): JSON of the notes that have entities; strict notes with errors have an error instead.
+
+    checked: validate_documents(); its errors and warnings become the note's validation block.
+    texts(key, raw_text): the text goes along.
+    """
+    rows = entities.groupBy(key).agg(_ordered("start", "end", "entity_index")(entity_json(), "_js"))
+    if texts is not None:
+        rows = rows.join(texts.select(key, "raw_text"), key)
+    text = None if texts is None else F.col("raw_text")
     if checked is None:
-        return out.withColumn("error", F.lit(None).cast("string"))
-    found = checked.select(F.col(key).alias("note_id"), "valid", "errors")
-    joined = out.join(found, "note_id", "left")
-    bad = F.lit(strict) & ~F.coalesce("valid", F.lit(True))
-    return joined.select("note_id", F.when(~bad, F.col("output")).alias("output"), F.when(bad, F.array_join("errors", "; ")).alias("error"))
+        return rows.select(F.col(key).alias("note_id"), note_json(key, F.col("_js"), text).alias("output"), F.lit(None).cast("string").alias("error"))
+    joined = rows.join(checked.select(key, "errors", "warnings"), key, "left")
+    none = F.array().cast("array<string>")
+    errors, warnings = F.coalesce("errors", none), F.coalesce("warnings", none)
+    bad = F.lit(strict) & (F.size(errors) > 0)
+    return joined.select(F.col(key).alias("note_id"), F.when(~bad, note_json(key, F.col("_js"), text, _problems(errors, warnings))).alias("output"), F.when(bad, F.array_join(errors, "; ")).alias("error"))
 
 
 def sample_errors(samples: DataFrame) -> DataFrame:

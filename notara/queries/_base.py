@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,25 +37,34 @@ VALUES = ", ".join(f"('{w}', '{t}', {s})" for w, (t, s) in LEXICON.items())
 #: SQL of the lexicon's hits, by word number: the same words as in lexicon_hits().
 HITS = rf"""
 lex(word, entity_type, confidence) AS (VALUES {VALUES}),
-words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM (SELECT doc_id, regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+') AS w FROM documents)),
-placed AS (SELECT doc_id, word, i, (sum(length(word)) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING))::BIGINT AS "end" FROM words),
-hits AS (SELECT p.doc_id::VARCHAR AS document_id, p.i AS ord, p.word AS text, l.entity_type, p."end" - length(p.word) AS start, p."end", l.confidence::DOUBLE AS confidence FROM placed p JOIN lex l ON lower(p.word) = l.word)"""
+words AS MATERIALIZED (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM (SELECT doc_id, regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+') AS w FROM documents)),
+placed AS MATERIALIZED (SELECT doc_id, word, i, (sum(length(word)) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING))::BIGINT AS "end" FROM words),
+hits AS MATERIALIZED (SELECT p.doc_id::VARCHAR AS document_id, p.i AS ord, p.word AS text, l.entity_type, p."end" - length(p.word) AS start, p."end", l.confidence::DOUBLE AS confidence FROM placed p JOIN lex l ON lower(p.word) = l.word)"""
+
+
+_PIECE = regex.compile(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+")
+
+
+def _find(batches):
+    for batch in batches:
+        ids, ords, texts, kinds, starts, ends, scores = [], [], [], [], [], [], []
+        for d, text in zip(batch.column("document_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for i, m in enumerate(_PIECE.finditer(text or ""), 1):
+                hit = LEXICON.get(m[0].lower())
+                if hit:
+                    ids.append(d)
+                    ords.append(i)
+                    texts.append(m[0])
+                    kinds.append(hit[0])
+                    starts.append(m.start())
+                    ends.append(m.end())
+                    scores.append(hit[1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.string()), pa.array(ords, pa.int32()), pa.array(texts, pa.string()), pa.array(kinds, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(scores, pa.float64())],
+            names=["document_id", "ord", "text", "entity_type", "start", "end", "confidence"],
+        )
 
 
 def lexicon_hits(read) -> DataFrame:
-    """(document_id, ord, text, entity_type, start, end, confidence): words of the lexicon with running offsets, in one projection."""
-    split = F.regexp_extract_all("text", F.lit("([\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_]+)"))
-    table = F.create_map(*[x for w, (t, s) in LEXICON.items() for x in (F.lit(w), F.struct(F.lit(t).alias("t"), F.lit(s).alias("s")))])
-    none = F.array().cast("array<struct<i:int,w:string,at:int>>")
-    folded = F.aggregate(
-        "w",
-        F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), none.alias("hits")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x)).alias("at"),
-            (acc["i"] + 1).alias("i"),
-            F.when(F.lower(x).isin(*LEXICON), F.array_append(acc["hits"], F.struct((acc["i"] + 1).alias("i"), x.alias("w"), acc["at"].alias("at")))).otherwise(acc["hits"]).alias("hits"),
-        ),
-        lambda acc: acc["hits"],
-    )
-    hit = notes(read).select("document_id", split.alias("w")).select("document_id", F.explode(folded).alias("h")).withColumn("v", F.element_at(table, F.lower("h.w")))
-    return hit.select("document_id", F.col("h.i").alias("ord"), F.col("h.w").alias("text"), F.col("v.t").alias("entity_type"), F.col("h.at").alias("start"), (F.col("h.at") + F.length("h.w")).alias("end"), F.col("v.s").alias("confidence"))
+    """(document_id, ord, text, entity_type, start, end, confidence): words of the lexicon in whole texts, with offsets."""
+    return notes(read).mapInArrow(_find, "document_id string, ord int, text string, entity_type string, start int, end int, confidence double")

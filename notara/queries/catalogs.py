@@ -96,7 +96,7 @@ def _(read):
     return f.select("family_id", *[F.array_join(c, ",").alias(c) for c in f.columns if c != "family_id"])
 
 
-_TREAT = """tr AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN 'Surgery of ' || p_name ELSE p_name || '.' END AS text FROM part), sf AS (SELECT lower(p_name) AS k, count(DISTINCT p_brand) AS n, min(p_brand) AS c FROM part WHERE p_partkey < 150 GROUP BY 1)"""
+_TREAT = """tr AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN 'Surgery of ' || p_name ELSE p_name || '.' END AS text FROM part), sf AS (SELECT lower(p_name) AS k, count(DISTINCT p_brand) AS n, min(p_brand) AS c FROM part GROUP BY 1)"""
 
 
 @query("t8_unique_match_resolution", f"""WITH {_TREAT}, r AS (SELECT id, text, n, c, lower(trim(text, '. ')) AS k FROM tr LEFT JOIN sf ON sf.k = lower(trim(text, '. ')))
@@ -104,16 +104,16 @@ SELECT id, CASE WHEN contains(k, 'surgery') THEN 'procedure' WHEN n = 1 THEN 'dr
 def _(read):
     p = read("part")
     t = p.select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("Surgery of "), "p_name")).otherwise(F.concat("p_name", F.lit("."))).alias("text"))
-    s = p.where("p_partkey < 150").select(F.col("p_name").alias("text"), F.col("p_brand").alias("concept_id"))
+    s = p.select(F.col("p_name").alias("text"), F.col("p_brand").alias("concept_id"))
     return catalog.resolve_treatments(t, s, ("surgery",)).select("id", "outcome", "concept_id")
 
 
 @query("t9_disease_resolution", """
-WITH d AS (SELECT text, row_number() OVER (ORDER BY text) - 1 AS idx FROM (SELECT DISTINCT p_name AS text FROM part)), c AS (SELECT lower(p_name) AS k, count(*) AS n, min(p_partkey)::VARCHAR AS c FROM part WHERE p_partkey < 60 GROUP BY 1)
+WITH d AS (SELECT text, row_number() OVER (ORDER BY text) - 1 AS idx FROM (SELECT DISTINCT p_name AS text FROM part)), c AS (SELECT lower(p_name) AS k, count(*) AS n, min(p_partkey)::VARCHAR AS c FROM part GROUP BY 1)
 SELECT text, idx, CASE WHEN n = 1 THEN c END AS concept_id FROM d LEFT JOIN c ON c.k = lower(text)""")
 def _(read):
     p = read("part")
-    c = p.where("p_partkey < 60").select(F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("concept_id"))
+    c = p.select(F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("concept_id"))
     return catalog.resolve_diseases(p.select(F.col("p_name").alias("text")), c).select("text", F.col("index").cast("long").alias("idx"), "concept_id")
 
 
@@ -202,10 +202,9 @@ def _(read):
     return markers.surface_counts(d, d.select("case_id", F.lit("The").alias("surface_text")))
 
 
-@query("q7_render_quality", "SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(lower(text), 'assertion') THEN 'banned:assertion' END, CASE WHEN contains(lower(text), 'the') THEN 'banned:the' END], lambda x: x IS NOT NULL), ',') AS faults FROM documents WHERE NOT contains(text, '[[') AND NOT contains(text, ']]') AND NOT contains(text, '```')")
+@query("q7_render_quality", "SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(lower(text), 'assertion') THEN 'banned:assertion' END, CASE WHEN contains(lower(text), 'the') THEN 'banned:the' END], lambda x: x IS NOT NULL), ',') AS faults FROM documents")
 def _(read):
-    d = read("documents").where("NOT contains(text, '[[') AND NOT contains(text, ']]') AND NOT contains(text, '```')")
-    return d.select("doc_id", F.array_join(markers.draft_faults("text", ("assertion", "the")), ",").alias("faults"))
+    return read("documents").select("doc_id", F.array_join(markers.draft_faults("text", ("assertion", "the")), ",").alias("faults"))
 
 
 @query("g8_template_render", """
@@ -218,10 +217,10 @@ def _(read):
     return read("part").select("p_partkey", markers.render(scenario, F.array(*map(F.lit, ("E0", "E1", "E2"))), negative).alias("t"))
 
 
-@query("x1_spec_left_join", "WITH n AS (SELECT l_orderkey AS case_id, arg_max(l_partkey, l_linenumber) AS note FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY 1) SELECT o_orderkey AS case_id, coalesce(note, -1) AS note, note IS NULL AS rejected FROM orders LEFT JOIN n ON n.case_id = o_orderkey")
+@query("x1_spec_left_join", "WITH n AS (SELECT l_orderkey AS case_id, arg_max(l_partkey, l_linenumber) AS note FROM lineitem GROUP BY 1) SELECT o_orderkey AS case_id, coalesce(note, -1) AS note, note IS NULL AS rejected FROM orders LEFT JOIN n ON n.case_id = o_orderkey")
 def _(read):
     specs = read("orders").select(F.col("o_orderkey").alias("case_id"))
-    rows = read("lineitem").where("l_orderkey % 2 = 0").select(F.col("l_orderkey").alias("case_id"), F.col("l_partkey").alias("note"), F.col("l_linenumber").alias("ordinal"))
+    rows = read("lineitem").select(F.col("l_orderkey").alias("case_id"), F.col("l_partkey").alias("note"), F.col("l_linenumber").alias("ordinal"))
     good, bad = export.join_specs(specs, rows)
     return good.select("case_id", "note", F.lit(False).alias("rejected")).union(bad.select("case_id", F.lit(-1).cast("long"), F.lit(True)))
 

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text as t
 from ..operators import assertion, metrics, ner, spans, validation
-from ..plans.pipeline import Pipeline
 from ..schemas import ENTITY_TYPES
 from ._base import HITS, LEXICON, lexicon_hits, notes, query
 
 #: Cue rules and boundaries for the synthetic prose.
-RULES = (assertion.CueRule("isNegated", r"\bno\b", 0.97), assertion.CueRule("isHistorical", r"\bwas\b", 0.9, "backward"), assertion.CueRule("isFamily", r"\bthis\b", 0.94))
+RULES = (assertion.Rule("isNegated", r"\bno\b", 0.97), assertion.Rule("isHistorical", r"\bwas\b", 0.9, "backward"), assertion.Rule("isFamily", r"\bthis\b", 0.94))
 
 
 @query("p1_dedup_best", f"""
@@ -29,7 +27,7 @@ def _(read):
 
 
 # each hit is widened to the left by up to 12 characters, so that many overlap
-_WIDE = f"""{HITS}, wide AS (SELECT document_id, entity_type, greatest(start - (ord * 7 % 13), 0) AS start, "end", confidence, ord, row_number() OVER (PARTITION BY document_id ORDER BY -confidence, greatest(start - (ord * 7 % 13), 0) - "end", ord) AS k FROM hits WHERE ord <= 60)"""
+_WIDE = f"""{HITS}, wide AS (SELECT document_id, entity_type, greatest(start - (ord * 7 % 13), 0) AS start, "end", confidence, ord, row_number() OVER (PARTITION BY document_id ORDER BY -confidence, greatest(start - (ord * 7 % 13), 0) - "end", ord) AS k FROM hits)"""
 
 
 @query("p3_greedy_overlap", f"""
@@ -39,7 +37,7 @@ UNION ALL SELECT g.document_id, w.k, CASE WHEN len(list_filter(g.acc, lambda x:
 f AS (SELECT document_id, arg_max(acc, k) AS acc FROM g GROUP BY document_id)
 SELECT document_id, x.s AS start, x.e AS "end" FROM (SELECT document_id, unnest(acc) AS x FROM f)""")
 def _(read):
-    wide = lexicon_hits(read).where("ord <= 60").withColumn("start", F.greatest(F.col("start") - F.col("ord") * 7 % 13, F.lit(0))).withColumn("first_ord", F.col("ord"))
+    wide = lexicon_hits(read).withColumn("start", F.greatest(F.col("start") - F.col("ord") * 7 % 13, F.lit(0))).withColumn("first_ord", F.col("ord"))
     return spans.resolve_overlaps(wide).select("document_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
 
 
@@ -53,52 +51,48 @@ def _(read):
     return out.select("document_id", "text", "entity_type", (F.col("start") - 2).cast("long").alias("start"), (F.col("end") - 2).cast("long").alias("end"))
 
 
-_CUES = rf"""
+CUES = rf"""
 {HITS}, cuerules(label, word, conf, direction) AS (VALUES ('isNegated', 'no', 0.97, 'f'), ('isHistorical', 'was', 0.9, 'b'), ('isFamily', 'this', 0.94, 'f')),
-cue AS (SELECT p.doc_id::VARCHAR AS document_id, r.label, r.conf, r.direction, p."end" - length(p.word) AS cs, p."end" AS ce, d.text FROM placed p JOIN cuerules r ON lower(p.word) = r.word JOIN documents d ON d.doc_id = p.doc_id),
-sc AS (SELECT document_id, label, conf, direction, cs, ce,
+cue AS MATERIALIZED (SELECT p.doc_id::VARCHAR AS document_id, r.label, r.conf, r.direction, p."end" - length(p.word) AS cs, p."end" AS ce, d.text FROM placed p JOIN cuerules r ON lower(p.word) = r.word JOIN documents d ON d.doc_id = p.doc_id),
+sc AS MATERIALIZED (SELECT document_id, label, conf, direction, cs, ce,
 CASE direction WHEN 'f' THEN ce ELSE cs - length(regexp_extract(substring(text, greatest(cs - 180, 0)::INT + 1, (cs - greatest(cs - 180, 0))::INT), '[^.!?;\n]*$')) END AS ss,
 CASE direction WHEN 'f' THEN ce + length(regexp_extract(substring(text, ce::INT + 1, 180), '^[^.!?;\n]*')) ELSE cs END AS se FROM cue),
 ent AS (SELECT document_id, ord, entity_type, start, "end" FROM hits),
-ev AS (SELECT e.document_id, e.ord, s.label, s.cs, (floor(s.conf::DOUBLE * greatest(0.55::DOUBLE, 1::DOUBLE - greatest(0, CASE s.direction WHEN 'b' THEN s.cs - e."end" ELSE e.start - s.ce END)::DOUBLE / 240::DOUBLE) * 1000 + 1e-7) / 1000)::DOUBLE AS confidence FROM ent e JOIN sc s ON s.document_id = e.document_id AND s.ss <= e.start AND e."end" <= s.se)"""
+ev AS MATERIALIZED (SELECT e.document_id, e.ord, s.label, s.cs, round((s.conf::DOUBLE * greatest(0.55::DOUBLE, 1::DOUBLE - greatest(0, CASE s.direction WHEN 'b' THEN s.cs - e."end" ELSE e.start - s.ce END)::DOUBLE / 240::DOUBLE))::VARCHAR::DECIMAL(24, 20), 4)::DOUBLE AS confidence FROM ent e JOIN sc s ON s.document_id = e.document_id AND s.ss <= e.start AND e."end" <= s.se)"""
 
 
 def _evidence(read):
     docs = notes(read).withColumnRenamed("text", "raw_text")
     entities = lexicon_hits(read).withColumnRenamed("ord", "entity_index")
-    evidence = assertion.apply_cues(assertion.cues(docs, RULES, r"[.!?;\n]"), entities)
-    # engines round halves differently: three places, downwards
-    gap = F.greatest(F.lit(0), F.when(F.col("direction") == "backward", F.col("cue_start") - F.col("end")).otherwise(F.col("start") - F.col("cue_end")))
-    exact = F.col("cue_confidence") * F.greatest(F.lit(0.55), 1.0 - gap / 240.0)
-    return entities, evidence.where(F.abs(F.col("confidence") - exact) <= 0.000051).withColumn("confidence", F.floor(exact * 1000 + 1e-7) / 1000)
+    return entities, assertion.apply_cues(assertion.cues(docs, RULES, r"[.!?;\n]"), entities)
 
 
-@query("a2_cue_scan", f"WITH {_CUES} SELECT document_id, label, cs::BIGINT AS cue_start, ce::BIGINT AS cue_end, ss::BIGINT AS scope_start, se::BIGINT AS scope_end FROM sc")
+@query("a2_cue_scan", f"WITH {CUES} SELECT document_id, label, cs::BIGINT AS cue_start, ce::BIGINT AS cue_end, ss::BIGINT AS scope_start, se::BIGINT AS scope_end FROM sc")
 def _(read):
     found = assertion.cues(notes(read).withColumnRenamed("text", "raw_text"), RULES, r"[.!?;\n]")
     return found.select("document_id", "label", *[F.col(c).cast("long").alias(c) for c in ("cue_start", "cue_end", "scope_start", "scope_end")])
 
 
-@query("a5_cue_scope_join", f"WITH {_CUES} SELECT document_id, ord::BIGINT AS entity_index, label, cs::BIGINT AS cue_start, confidence FROM ev")
+@query("a5_cue_scope_join", f"WITH {CUES} SELECT document_id, ord::BIGINT AS entity_index, label, cs::BIGINT AS cue_start, confidence FROM ev")
 def _(read):
     return _evidence(read)[1].select("document_id", F.col("entity_index").cast("long").alias("entity_index"), "label", F.col("cue_start").cast("long").alias("cue_start"), "confidence")
 
 
 @query("a6_assertion_rollup", f"""
-WITH {_CUES}, l AS (SELECT document_id, ord, label, max(confidence) AS c FROM ev GROUP BY ALL), r AS (SELECT document_id, ord, string_agg(label, ',' ORDER BY label) AS labels, min(c) AS c FROM l GROUP BY ALL)
+WITH {CUES}, l AS (SELECT document_id, ord, label, max(confidence) AS c FROM ev GROUP BY ALL), r AS (SELECT document_id, ord, string_agg(label, ',' ORDER BY label) AS labels, min(c) AS c FROM l GROUP BY ALL)
 SELECT e.document_id, e.ord::BIGINT AS entity_index, coalesce(r.labels, '') AS labels, coalesce(r.c, 1.0)::DOUBLE AS confidence, coalesce(r.c, 1.0) < 0.82 AND r.c IS NOT NULL AS needs_verification FROM ent e LEFT JOIN r USING (document_id, ord)""")
 def _(read):
     entities, evidence = _evidence(read)
     return assertion.assertions(entities, evidence).select("document_id", F.col("entity_index").cast("long").alias("entity_index"), F.array_join("assertions", ",").alias("labels"), F.col("assertion_confidence").alias("confidence"), "needs_verification")
 
 
-_ENT = f"""{HITS}, ents AS (SELECT document_id, (row_number() OVER (PARTITION BY document_id ORDER BY start) - 1)::BIGINT AS entity_index, CASE WHEN start % 17 = 0 THEN 'BAD' ELSE entity_type END AS entity_type, greatest(start - ord % 3, 0) AS start, "end" + CASE WHEN ord % 29 = 0 THEN 10000000 ELSE 0 END AS "end", text FROM hits WHERE ord <= 200)"""
+_ENT = f"""{HITS}, ents AS (SELECT document_id, (row_number() OVER (PARTITION BY document_id ORDER BY start) - 1)::BIGINT AS entity_index, CASE WHEN start % 17 = 0 THEN 'BAD' ELSE entity_type END AS entity_type, greatest(start - ord % 3, 0) AS start, "end" + CASE WHEN ord % 29 = 0 THEN 10000000 ELSE 0 END AS "end", text FROM hits)"""
 
 
 def _entities(read):
     from pyspark.sql import Window as W
 
-    h = lexicon_hits(read).where("ord <= 200").withColumn("entity_index", F.row_number().over(W.partitionBy("document_id").orderBy("start")) - 1)
+    h = lexicon_hits(read).withColumn("entity_index", F.row_number().over(W.partitionBy("document_id").orderBy("start")) - 1)
     return h.select("document_id", "entity_index", F.when(F.col("start") % 17 == 0, "BAD").otherwise(F.col("entity_type")).alias("entity_type"), F.greatest(F.col("start") - F.col("ord") % 3, F.lit(0)).alias("start"), (F.col("end") + F.when(F.col("ord") % 29 == 0, 10_000_000).otherwise(0)).alias("end"), "text")
 
 
@@ -108,7 +102,7 @@ def _(read):
     return validation.entity_set_errors(_entities(read)).select("document_id", F.col("entity_index").cast("long").alias("entity_index"), "set_error")
 
 
-@query("v4_overlap_violation", f"""WITH {_ENT} SELECT a.document_id, a.entity_index, coalesce(bool_or(b."end" > a.start), false) AS overlaps FROM ents a LEFT JOIN ents b ON a.document_id = b.document_id AND (b.start, b."end", b.entity_index) < (a.start, a."end", a.entity_index) GROUP BY ALL""")
+@query("v4_overlap_violation", f"""WITH {_ENT} SELECT document_id, entity_index, coalesce(max("end") OVER (PARTITION BY document_id ORDER BY start, "end", entity_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > start, false) AS overlaps FROM ents""")
 def _(read):
     return validation.overlap_with_earlier(_entities(read)).select("document_id", F.col("entity_index").cast("long").alias("entity_index"), "overlaps")
 
@@ -194,15 +188,3 @@ def _(read):
     line = F.when(F.col("doc_id") % 2 == 0, "Undol 5 mg\n").otherwise("Undol\n")
     docs = read("documents").select(F.col("doc_id").cast("string").alias("document_id"), F.concat(line, "text").alias("text"))
     return ner.drug_predictions(docs, ["undol"]).select("document_id", "text", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
-
-
-@query("pipeline_notes", f"""WITH {HITS}, c AS (SELECT document_id, count(*) AS n FROM hits WHERE confidence >= 0.5 GROUP BY 1) SELECT d.doc_id::VARCHAR AS note_id, coalesce(c.n, 0)::BIGINT AS n_entities, NULL::VARCHAR AS error FROM documents d LEFT JOIN c ON c.document_id = d.doc_id::VARCHAR""")
-def _(read):
-    """The whole pipeline over documents with the lexicon model; the number of entities in each note's JSON."""
-    docs = notes(read).select("document_id", F.col("text").alias("raw_text"))
-    out = Pipeline(ner.Lexicon(LEXICON), rules=RULES, boundary=r"[.!?;\n]").run(docs)
-    return out.select("note_id", F.coalesce(F.json_array_length(F.get_json_object("output", "$.entities")), F.lit(0)).cast("long").alias("n_entities"), "error")
-
-
-def mention_keys(read):
-    return read("part").select("p_partkey", t.mention_key("p_name").alias("k"))

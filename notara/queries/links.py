@@ -9,9 +9,9 @@ from ..operators import linking, metrics
 from ._base import query
 
 # mentions: upper-cased names of every 20th part, each third without its last word
-_MENTIONS = r"""men AS (SELECT p_partkey AS query_id, CASE WHEN p_partkey % 60 = 0 THEN regexp_replace(upper(p_name), '\s+\S+$', '') ELSE upper(p_name) || ' !' END AS mention FROM part WHERE p_partkey % 20 = 0)"""
-_NAMES = """names AS (SELECT min(p_partkey)::VARCHAR AS code, p_name AS name, p_type AS description FROM part GROUP BY p_name, p_type)"""
-_TOK = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}_]+')"
+MENTIONS = r"""men AS (SELECT p_partkey AS query_id, CASE WHEN p_partkey % 60 = 0 THEN regexp_replace(upper(p_name), '\s+\S+$', '') ELSE upper(p_name) || ' !' END AS mention FROM part WHERE p_partkey % 20 = 0)"""
+NAMES = """names AS (SELECT min(p_partkey)::VARCHAR AS code, p_name AS name, p_type AS description FROM part GROUP BY p_name, p_type)"""
+TOKENS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}_]+')"
 
 
 def mentions(read):
@@ -29,24 +29,24 @@ def all_parts(read):
 
 
 @query("l1_alias_exact_join", rf"""
-WITH {_MENTIONS}, k AS (SELECT query_id, array_to_string({_TOK.format('mention')}, ' ') AS k FROM men), a AS (SELECT DISTINCT array_to_string({_TOK.format('p_name')}, ' ') AS k, p_partkey::VARCHAR AS code FROM part)
+WITH {MENTIONS}, k AS (SELECT query_id, array_to_string({TOKENS.format('mention')}, ' ') AS k FROM men), a AS (SELECT DISTINCT array_to_string({TOKENS.format('p_name')}, ' ') AS k, p_partkey::VARCHAR AS code FROM part)
 SELECT query_id, count(*) AS n, min(code) AS first_code FROM k JOIN a USING (k) GROUP BY query_id""")
 def _(read):
     hits = linking.exact(mentions(read), linking.alias_index(all_parts(read)))
     return hits.groupBy("query_id").agg(F.count("*").alias("n"), F.min("code").alias("first_code"))
 
 
-_BM25 = rf"""
-{_MENTIONS}, {_NAMES},
-tok AS (SELECT code, unnest({_TOK.format("name || ' ' || description")}) AS term FROM names),
+BM25 = rf"""
+{MENTIONS}, {NAMES},
+tok AS (SELECT code, unnest({TOKENS.format("name || ' ' || description")}) AS term FROM names),
 len AS (SELECT code, count(*) AS len FROM tok GROUP BY code), st AS (SELECT count(*) AS n, avg(len) AS av FROM len),
 tf AS (SELECT code, term, count(*) AS tf FROM tok GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-q AS (SELECT query_id, term, count(*) AS times FROM (SELECT query_id, unnest({_TOK.format('mention')}) AS term FROM men) GROUP BY ALL),
+q AS (SELECT query_id, term, count(*) AS times FROM (SELECT query_id, unnest({TOKENS.format('mention')}) AS term FROM men) GROUP BY ALL),
 sc AS (SELECT query_id, code, sum(times * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len / greatest(av, 1)))) AS score FROM q JOIN tf USING (term) JOIN df USING (term) JOIN len USING (code), st GROUP BY ALL),
 bm AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, code) AS rank FROM sc WHERE score > 0 QUALIFY rank <= 20)"""
 
 
-@query("l2_postings", rf"""WITH {_BM25} SELECT code, term, tf, round(ln(1 + (n - df + 0.5) / (df + 0.5)), 6) AS idf FROM tf JOIN df USING (term), st""")
+@query("l2_postings", rf"""WITH {BM25} SELECT code, term, tf, round(ln(1 + (n - df + 0.5) / (df + 0.5)), 6) AS idf FROM tf JOIN df USING (term), st""")
 def _(read):
     return linking.postings(ontology(read), F.concat_ws(" ", "name", "description")).select("code", "term", "tf", F.round("idf", 6).alias("idf"))
 
@@ -55,7 +55,7 @@ def _bm25(read, top=20):
     return linking.bm25(mentions(read).withColumnRenamed("mention", "query"), linking.postings(ontology(read), F.concat_ws(" ", "name", "description")), top)
 
 
-@query("l3_bm25_topk", f"WITH {_BM25} SELECT query_id, code, round(score, 6) AS score, rank FROM bm")
+@query("l3_bm25_topk", f"WITH {BM25} SELECT query_id, code, round(score, 6) AS score, rank FROM bm")
 def _(read):
     return _bm25(read).select("query_id", "code", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
@@ -88,44 +88,35 @@ def _(read):
 
 
 @query("l7_jaccard_rerank", rf"""
-WITH {_BM25}, j AS (SELECT b.query_id, b.code, list_distinct({_TOK.format('m.mention')}) AS a, list_distinct({_TOK.format("n.name || ' ' || n.description")}) AS b FROM bm b JOIN men m USING (query_id) JOIN names n USING (code))
+WITH {BM25}, j AS (SELECT b.query_id, b.code, list_distinct({TOKENS.format('m.mention')}) AS a, list_distinct({TOKENS.format("n.name || ' ' || n.description")}) AS b FROM bm b JOIN men m USING (query_id) JOIN names n USING (code))
 SELECT query_id, code, round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b)))::DOUBLE, 6) AS score FROM j""")
 def _(read):
-    rows = _bm25(read).join(mentions(read), "query_id").join(F.broadcast(ontology(read)), "code")
+    rows = _bm25(read).join(mentions(read), "query_id").join(ontology(read), "code")
     return rows.select("query_id", "code", F.round(linking.jaccard(t.tokens("mention"), t.tokens(F.concat_ws(" ", "name", "description"))), 6).alias("score"))
 
 
 @query("l7_difflib_rerank", None)
 def _(read):
     m = mentions(read).withColumn("query", linking.query_text("ICD10", context="mention"))
-    rows = _bm25(read).select("query_id", "code", "rank").join(m, "query_id").join(F.broadcast(ontology(read)), "code")
+    rows = _bm25(read).select("query_id", "code", "rank").join(m, "query_id").join(ontology(read), "code")
     return linking.lexical_rerank(rows).select("query_id", "code", F.round("final_score", 6).alias("final_score"), "rank")
 
 
-_DECIDE = """
+DECIDE = """
 WITH sc AS (SELECT p_partkey % 97 AS query_id, p_partkey::VARCHAR AS code, (p_retailprice - floor(p_retailprice)) * 0.7 AS final_score FROM part),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY final_score DESC, code) AS rank FROM sc QUALIFY rank <= 5),
 p AS (SELECT query_id, max(final_score) FILTER (rank = 1) AS c1, coalesce(max(final_score) FILTER (rank = 2), 0) AS c2, max(code) FILTER (rank = 1) AS code, count(*) AS n FROM r GROUP BY 1),
 dec AS (SELECT query_id, CASE WHEN c1 >= 0.35 THEN code END AS selected_code, c1, CASE WHEN c1 >= 0.35 THEN 'hybrid_reranker' ELSE 'below_threshold' END AS method, (n > 1 AND abs(c1 - c2) < 0.04) OR c1 < 0.35 AS needs_review FROM p)"""
 
 
-def _decide(read):
+def decided(read):
     rows = read("part").select((F.col("p_partkey") % 97).alias("query_id"), F.col("p_partkey").cast("string").alias("code"), ((F.col("p_retailprice") - F.floor("p_retailprice")) * 0.7).alias("final_score"))
     return linking.decide(linking.ranked(rows, "query_id", [F.desc("final_score"), "code"], 5))
 
 
-@query("l9_link_decision", _DECIDE + "SELECT query_id, selected_code, round(c1, 6) AS confidence, method, needs_review FROM dec")
+@query("l9_link_decision", DECIDE + "SELECT query_id, selected_code, round(c1, 6) AS confidence, method, needs_review FROM dec")
 def _(read):
-    return _decide(read).select("query_id", "selected_code", F.round("confidence", 6).alias("confidence"), "method", "needs_review")
-
-
-@query("l9_link_exact_branch", rf"""
-WITH {_MENTIONS}, {_NAMES}, u AS (SELECT name, count(*) AS n, min(code) AS code FROM names GROUP BY name),
-e AS (SELECT m.query_id, u.n, u.code FROM men m JOIN u ON array_to_string({_TOK.format('m.mention')}, ' ') = array_to_string({_TOK.format('u.name')}, ' '))
-SELECT query_id, code AS selected_code FROM e WHERE n = 1""")
-def _(read):
-    out = linking.link(mentions(read).withColumn("context", F.lit("")), ontology(read), "ICD10")
-    return out.where("method = 'exact_alias'").select("query_id", "selected_code")
+    return decided(read).select("query_id", "selected_code", F.round("confidence", 6).alias("confidence"), "method", "needs_review")
 
 
 @query("l9_link", None)
@@ -149,11 +140,11 @@ def _(read):
     return linking.route(rows, links, ["p_partkey"]).select("p_partkey", "entity_type", F.array_join("candidates", ",").alias("candidates"))
 
 
-@query("e4_linking_metrics", f"""WITH {_BM25}, g AS (SELECT query_id, query_id::VARCHAR AS gold_code FROM men WHERE query_id % 40 = 0), r AS (SELECT query_id, list(code ORDER BY rank) AS c, min(code) FILTER (rank = 1 AND score > 3) AS s FROM bm GROUP BY 1),
+@query("e4_linking_metrics", f"""WITH {BM25}, g AS (SELECT query_id, query_id::VARCHAR AS gold_code FROM men), r AS (SELECT query_id, list(code ORDER BY rank) AS c, min(code) FILTER (rank = 1 AND score > 3) AS s FROM bm GROUP BY 1),
 x AS (SELECT g.query_id, coalesce(list_position(r.c, gold_code), 0) AS pos, s = gold_code AS top, s IS NOT NULL AS cov FROM g LEFT JOIN r USING (query_id))
 SELECT count(*) AS total, round(avg(coalesce(top, false)::INT), 6) AS top1_accuracy, {', '.join(f"round(avg((pos BETWEEN 1 AND {k})::INT), 6) AS recall_at_{k}" for k in (1, 5, 10, 20, 30))}, round(avg(CASE WHEN pos > 0 THEN 1.0::DOUBLE / pos ELSE 0 END), 6) AS mrr, round(avg(cov::INT), 6) AS selection_coverage FROM x""")
 def _(read):
-    gold = mentions(read).where("query_id % 40 = 0").select("query_id", F.col("query_id").cast("string").alias("gold_code"))
+    gold = mentions(read).select("query_id", F.col("query_id").cast("string").alias("gold_code"))
     res = _bm25(read).groupBy("query_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "code"))), lambda x: x["code"]).alias("candidates"), F.min(F.when((F.col("rank") == 1) & (F.col("score") > 3), F.col("code"))).alias("selected_code"))
     m = metrics.linking_scores(gold, res, ["query_id"])
     return m.select("total", *[F.round(c, 6).alias(c) for c in m.columns if c != "total"])

@@ -208,3 +208,138 @@ def test_output_errors(spark):
     got = validation.validate_documents(validation.output_errors(e)).first()
     assert not got["valid"] and got["warnings"] == ["candidates_dropped"]
     assert got["errors"] == ["unknown_type", "unknown_assertions:nope", "out_of_bounds", "text_mismatch", "unknown_assertions:nope"]
+
+
+def test_run_files(spark, tmp_path):
+    """An output for every note, failed ones included, in natural order; error rows; packaging of an existing file."""
+    docs = spark.createDataFrame([("10", "x"), ("2", "y"), ("1", "z")], "document_id string, raw_text string")
+    out = Pipeline(ner.Unavailable()).run(docs)
+    sources = docs.select(F.col("document_id").alias("note_id"), F.concat(F.lit("in/"), "document_id").alias("source_path"))
+    sinks.write_run(out, str(tmp_path / "p"), str(tmp_path / "e"), sources)
+    lines = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "p")).collect()]
+    assert sorted(x["note_id"] for x in lines) == ["1", "10", "2"] and all(x["entities"] == [] for x in lines)
+    bad = spark.read.json(str(tmp_path / "e")).collect()
+    assert {(r["note_id"], r["source_path"], r["error_type"], r["message"]) for r in bad} == {(i, f"in/{i}", "RuntimeError", "the model is not available") for i in ("1", "2", "10")}
+    assert sinks.package_predictions(spark, str(tmp_path / "p"), str(tmp_path / "o.zip")) == 3
+    with zipfile.ZipFile(tmp_path / "o.zip") as z:
+        assert z.namelist() == ["output/1.json", "output/2.json", "output/10.json"] and json.loads(z.read("output/2.json")) == {"note_id": "2", "entities": []}
+    (tmp_path / "q.jsonl").write_text('{"note_id":"2","entities":[]}\n\n{"note_id":"1","entities":[]}\n')
+    assert sinks.package_predictions(spark, str(tmp_path / "q.jsonl"), str(tmp_path / "r.zip")) == 2
+    (tmp_path / "q.jsonl").write_text('{"note_id":"2"}\n{"note_id":"2"}\n')
+    with pytest.raises(ValueError, match="repeated"):
+        sinks.package_predictions(spark, str(tmp_path / "q.jsonl"), str(tmp_path / "r.zip"))
+    with pytest.raises(ValueError):
+        sinks.package_predictions(spark, "a", "./a")
+
+
+def test_text_and_validation_block(spark):
+    e = spark.createDataFrame([("d", 0, "ab", SYMPTOM, 0, 1, "a"), ("d", 1, "ab", SYMPTOM, 0, 9, "z")], "document_id string, entity_index int, raw_text string, entity_type string, start int, end int, text string").withColumns({"assertions": F.array().cast("array<string>"), "candidates": F.array().cast("array<string>")})
+    checked = validation.validate_documents(validation.output_errors(e))
+    got = json.loads(validation.serialize(e, checked=checked, texts=e.select("document_id", "raw_text").distinct()).first()["output"])
+    assert got["text"] == "ab" and got["validation"] == {"valid": False, "errors": ["out_of_bounds"], "warnings": []} and len(got["entities"]) == 2
+    strict = validation.serialize(e, strict=True, checked=checked).first()
+    assert strict["output"] is None and strict["error"] == "out_of_bounds"
+    docs = spark.createDataFrame([("1", 'a "q" und'), ("2", None)], "document_id string, raw_text string")
+    out = {r["note_id"]: json.loads(r["output"]) for r in Pipeline(ner.Lexicon({"und": (SYMPTOM, 0.9)}), include_text=True).run(docs).collect()}
+    assert out["1"]["text"] == 'a "q" und' and out["1"]["entities"][0]["position"] == [6, 9] and out["2"]["entities"] == []
+
+
+def test_model_runs_once(spark):
+    """A model whose answers change from call to call gives one consistent note."""
+    runs = spark.sparkContext.accumulator(0)
+
+    class Counted:
+        def predict_entities(self, text, labels, **_):
+            runs.add(1)
+            return [{"start": 0, "end": 1, "label": SYMPTOM, "score": 0.9}]
+
+    docs = spark.createDataFrame([(str(i), "x y") for i in range(6)], "document_id string, raw_text string")
+    plan = Pipeline(Counted()).run(docs)
+    assert plan.count() == 6 and len(plan.collect()) == 6 and runs.value == 6
+    assert plan._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 0
+
+
+def test_overlap_runs_match_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(f"d{i % 5}", i, "A", s, s + rng.randint(1, 9), rng.choice([0.5, 0.7, 0.9])) for i in range(400) for s in [rng.randint(0, 300)]]
+    df = spark.createDataFrame(rows, "document_id string, first_ord int, entity_type string, start int, end int, confidence double")
+    got = sorted((r["document_id"], r["first_ord"]) for r in spans.resolve_overlaps(df).collect())
+    want = []
+    for d in sorted({r[0] for r in rows}):
+        taken = []
+        for r in sorted((r for r in rows if r[0] == d), key=lambda r: (-r[5], r[3] - r[4], r[1])):
+            if not any(r[3] < e and s < r[4] for s, e in taken):
+                taken.append((r[3], r[4]))
+                want.append((d, r[1]))
+    assert got == sorted(want)
+
+
+def test_build_samples(spark, tmp_path):
+    e = "array<struct<text:string,start:int,end:int,entity_type:string>>"
+    rows = [("good", "bệnh nhân sốt", [("sốt", 10, 13, SYMPTOM)]), ("bad", "đau đầu", [("sai", 0, 3, SYMPTOM)]), ("label", "a b", [("a", 0, 1, " ")]), ("none", None, []), ("cut", "a  b", [("a ", 0, 2, SYMPTOM)])]
+    docs = spark.createDataFrame(rows, f"document_id string, raw_text string, entities {e}")
+    samples, bad = export.build_samples(docs, str(tmp_path / "errors"))
+    assert [r["id"] for r in samples.collect()] == ["good#0"]
+    assert {r["document_id"]: r["code"] for r in spark.read.json(str(tmp_path / "errors")).collect()} == {"bad": "raw_text_mismatch", "label": "invalid_entity_label", "none": "invalid_document", "cut": "normalized_text_mismatch"}
+    with pytest.raises(export.InvalidDocument, match="bad: raw_text_mismatch"):
+        export.build_samples(docs, str(tmp_path / "errors"), on_error="raise")
+    with pytest.raises(ValueError):
+        export.build_samples(docs, on_error="stop")
+
+
+def test_seeded_split_takes_the_least_hashes(spark):
+    df = spark.range(3000)
+    hashed = sorted((r[0], r[1]) for r in df.select(F.xxhash64(F.lit(5), F.col("id")), "id").collect())
+    got = {r["id"] for r in export.seeded_split(df, 0.1, 5).where("split = 'eval'").collect()}
+    assert got == {i for _, i in hashed[:300]}
+
+
+def test_drug_names_longest_first():
+    names = ner.DrugNames(["aspirin", "Aspirin EC", "vitamin b-12", "vitamin b", ""])
+    line = "Aspirin EC 81mg, aspirins, VITAMIN B-12x vitamin B, aspirin."
+    assert [line[a:b] for a, b in names.finditer(line)] == ["Aspirin EC", "VITAMIN B", "vitamin B", "aspirin"]
+
+
+def test_adapters_and_answers():
+    from notara.operators import models
+
+    class Config:
+        url, model, key, timeout, max_tokens, temperature, repair_temperature, top_p = "http://127.0.0.1:9", "m", "", 1, 5, 0.1, 0.1, 0.9
+
+    assert models.first_object('x {"code": "A"} {"code": "B"}') == {"code": "A"} and models.first_object("{no}") is None and models.first_object("[1]") is None
+    with pytest.raises(OSError):
+        models.ChatClient(Config())("hi")
+    assert assertion.parse_verdict('{"isFamily": true, "confidence": 7}', ["isNegated"], 0.5) == (["isFamily"], 1.0) and assertion.parse_verdict("none", ["isNegated"], 0.5) == (["isNegated"], 0.5)
+
+
+def test_difflib_rerank_matches_python(spark):
+    from difflib import SequenceMatcher
+
+    rows = [(1, "đau dau", "ICD10 entity: đau dau\nContext: x", c, n, al, "d", i + 1) for i, (c, n, al) in enumerate([("A", "đau đầu", ["dau"]), ("B", "sốt", None), ("C", "ĐAU ĐẦU cấp", [])])]
+    df = spark.createDataFrame(rows, "query_id int, mention string, query string, code string, name string, aliases array<string>, description string, rank int")
+    got = {r["code"]: r["final_score"] for r in linking.lexical_rerank(df).collect()}
+    for _, m, q, c, n, al, d, _ in rows:
+        key = t.mention_key_py
+        ratio = max(SequenceMatcher(None, key(m), key(x)).ratio() for x in [n, *(al or [])])
+        a, b = set(key(q).split()), set(key(" ".join([n, *(al or []), d])).split())
+        assert abs(got[c] - (0.75 * ratio + 0.25 * len(a & b) / len(a | b))) < 1e-9
+
+
+def test_dense_blocks_match_numpy(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(60, 8))
+    v[7] = 0
+    df = spark.createDataFrame([(i, f"c{i:02d}", [float(x) for x in r]) for i, r in enumerate(v)], "query_id int, code string, vector array<double>")
+    monkeypatch.setattr(linking, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(linking, "ENTRY_BLOCK", 25)
+    got = {}
+    for r in linking.dense(df.select("query_id", "vector"), df.select("code", "vector"), 5).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["code"], r["score"])
+    u = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    for i in range(60):
+        order = sorted(range(60), key=lambda j: (-round(float(u[i] @ u[j]), 9), j))[:5]
+        assert [got[i][k + 1][0] for k in range(5)] == [f"c{j:02d}" for j in order]
