@@ -9,7 +9,6 @@ these back-pointers gives the ids.  Pieces repeat, so their ids are kept in a bo
 
 from __future__ import annotations
 
-import codecs
 import hashlib
 import json
 from array import array
@@ -26,8 +25,8 @@ from ._shared import PART, kept, lean, read, release, texts_of
 #: The pattern that cuts a text into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 _END = regex.compile(r"\P{White_Space}(?=\p{White_Space})")
-CACHE = 30_000  # pieces in each of two generations; a worker forgets them after a partition
-FITS = 100_000  # answers about pairs of tokens
+CACHE = 80_000  # pieces in each of two generations
+FITS = 1 << 19  # places for answers about pairs of tokens
 _NEVER = 1 << 60
 
 
@@ -74,9 +73,9 @@ class Encoder:
         self._split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self._pieces = regex.compile(PATTERN).findall
         self._edges: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-        self._fits: dict[int, bool] = {}
-        self._young: dict[str, tuple[str, int, bytes]] = {}
-        self._old: dict[str, tuple[str, int, bytes]] = {}
+        self._pairs, self._answers = array("q", [-1]) * FITS, bytearray(FITS)  # each pair has one place, its last user wins
+        self._young: dict[str, str] = {}
+        self._old: dict[str, str] = {}
 
     def _edge(self, token: int, side: int) -> tuple[list[int], list[int]]:
         """Tokens that stand at the token's right (2) or left (1) edge while it is built, and when each is merged on."""
@@ -91,26 +90,24 @@ class Encoder:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether the bytes of tokens a and b together are encoded as a, b."""
-        pair = a << 32 | b
-        got = self._fits.get(pair)
-        if got is None:
-            (left, left_ends), (right, right_ends) = self._edge(a, 2), self._edge(b, 1)
-            i = j = 0
-            while True:
-                across, one, other = self._rank.get(left[i] << 32 | right[j], _NEVER), left_ends[i], right_ends[j]
-                if across < one and across <= other:
-                    got = False
-                    break
-                if one == _NEVER == other:
-                    got = True
-                    break
-                if one <= other:
-                    i += 1
-                else:
-                    j += 1
-            if len(self._fits) >= FITS:
-                self._fits.clear()
-            self._fits[pair] = got
+        pair, place = a << 32 | b, (a * 40_503 + b * 30_011) % FITS
+        if self._pairs[place] == pair:
+            return self._answers[place]
+        (left, left_ends), (right, right_ends) = self._edge(a, 2), self._edge(b, 1)
+        i = j = 0
+        while True:
+            across, one, other = self._rank.get(left[i] << 32 | right[j], _NEVER), left_ends[i], right_ends[j]
+            if across < one and across <= other:
+                got = False
+                break
+            if one == _NEVER == other:
+                got = True
+                break
+            if one <= other:
+                i += 1
+            else:
+                j += 1
+        self._pairs[place], self._answers[place] = pair, got
         return got
 
     def _encode_bytes(self, text: str) -> list[int]:
@@ -131,22 +128,21 @@ class Encoder:
             at -= size[at]
         return out[::-1]
 
-    def _piece(self, piece: str) -> tuple[str, int, bytes]:
-        """Ids (as text), their number, and the decoded bytes of a piece."""
+    def _piece(self, piece: str) -> str:
+        """The piece's ids, as text.  They have been decoded and give the piece again."""
         got = self._old.get(piece)
         if got is None:
-            ids = self._encode_bytes(piece.encode("utf-8", "surrogatepass").decode("latin-1"))
-            got = (",".join(map(str, ids)), len(ids), b"".join([self.bytes[i] for i in ids]))
+            raw = piece.encode("utf-8", "surrogatepass")
+            ids = self._encode_bytes(raw.decode("latin-1"))
+            if b"".join([self.bytes[i] for i in ids]) != raw:
+                raise ValueError(f"the vocabulary can't write {piece[:50]!r}")
+            got = ",".join(map(str, ids))
         if len(piece) < 100:
             if len(self._young) >= CACHE:
                 self._old, self._young = self._young, {}
             self._young[piece] = got
         return got
 
-    def forget(self) -> None:
-        """Empty the cache of pieces: the worker's memory is for the next stage."""
-        self._young, self._old = {}, {}
-
     def runs(self, text: str) -> Iterator[tuple[str, int]]:
         """The text in runs of about PART characters, with the id of those that are an added token (else -1).
 
@@ -162,30 +158,25 @@ class Encoder:
                 lo = found.end()
             yield run[lo:], self.added[run] if k % 2 else -1
 
-    def parts(self, text: str) -> Iterator[list[tuple[str, int, bytes]]]:
-        """(ids as text, number, decoded bytes) of each piece of the text, in order, a list for each run."""
+    def parts(self, text: str) -> Iterator[tuple[str, str]]:
+        """(ids joined by commas, decoded text) of each run of the text, in order."""
         for run, added in self.runs(text):
             if added >= 0:
-                yield [(str(added), 1, run.encode())]
-                continue
-            pieces = self._pieces(run)
-            young = self._young.get
-            for i, piece in enumerate(pieces):
-                pieces[i] = young(piece) or self._piece(piece)
-            yield pieces
+                yield str(added), run
+            elif run:
+                # a piece's text is what its ids decode to (see _piece), and pieces cover the run
+                yield ",".join([self._young.get(piece) or self._piece(piece) for piece in self._pieces(run)]), run
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for some in self.parts(text) for ids, _, _ in some for i in ids.split(",")]
+        return [int(i) for ids, _ in self.parts(text) for i in ids.split(",")]
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, and SHA-256 of the ids joined by commas and of the decoded text."""
-        n, one, two, decoder = 0, hashlib.sha256(), hashlib.sha256(), codecs.getincrementaldecoder("utf-8")("replace")
-        for some in self.parts(text):
-            if some:
-                one.update(("," if n else "").encode() + ",".join([x[0] for x in some]).encode())
-                n += sum([x[1] for x in some])
-                two.update(decoder.decode(b"".join([x[2] for x in some])).encode())
-        two.update(decoder.decode(b"", True).encode())
+        n, one, two = 0, hashlib.sha256(), hashlib.sha256()
+        for ids, decoded in self.parts(text):
+            one.update(f",{ids}".encode() if n else ids.encode())
+            n += ids.count(",") + 1
+            two.update(decoded.encode("utf-8", "replace"))
         return n, one.hexdigest(), two.hexdigest()
 
     def decode(self, ids: list[int]) -> str:
@@ -209,7 +200,6 @@ def _encode(path: str):
                 part = batch.slice(lo, 500)
                 ids = [code.encode(t or "") for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
-        code.forget()
 
     return encode
 
@@ -233,7 +223,6 @@ def _digest(path: str):
             for lo in range(0, batch.num_rows, 500):
                 n, one, two = zip(*[code.digests(text.as_py() or "") for text in batch.column("text").slice(lo, 500)], strict=True)
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, 500), pa.array(n, pa.int64()), pa.array(one), pa.array(two)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        code.forget()
 
     return digest
 
