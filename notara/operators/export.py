@@ -72,6 +72,11 @@ def label_counts(samples: DataFrame) -> DataFrame:
     return samples.select(F.explode("ner").alias("e")).groupBy(F.col("e.label").alias("label")).agg(F.count("*").alias("n"))
 
 
+def dry_run_stats(samples: DataFrame) -> DataFrame:
+    """One row: samples, entities, and the most tokens of one of samples(tokenized_text, ner)."""
+    return samples.agg(F.count("*").alias("samples"), F.coalesce(F.sum(F.size("ner")), F.lit(0)).alias("entities"), F.coalesce(F.max(F.size("tokenized_text")), F.lit(0)).alias("most_tokens"))
+
+
 def document_samples(docs: DataFrame, size: int = 320, overlap: int = 64, types: tuple[str, ...] = ENTITY_TYPES) -> DataFrame:
     """(document_id, error, error_index, samples) of docs(document_id, raw_text, entities array<struct<text,start,end,entity_type>>).
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_icd_code, is_rxnorm_id, match_key
 from ..schemas import ASSERTION_TYPES, ASSERTIONS, CANDIDATE_TYPES, DIAGNOSIS, DRUG, ENTITY_TYPES, LAB_NAME, LAB_RESULT, SYMPTOM
-from . import markers
+from . import export, markers, validation
 
 # Laboratory tests (unit, normal range, decimals).
 LABS = {"WBC": ("10^9/L", 4.0, 10.0, 1), "HGB": ("g/L", 110, 165, 0), "PLT": ("10^9/L", 150, 400, 0), "Glucose máu": ("mmol/L", 3.9, 6.4, 1), "Creatinine máu": ("µmol/L", 44, 106, 0)}
@@ -335,3 +335,35 @@ def validate_cases(specs: DataFrame, notes: DataFrame) -> DataFrame:
         every = every.union(section_errors(specs, notes))
     listed = every.groupBy("case_id").agg(F.sort_array(F.collect_list(F.concat_ws(": ", "marker_id", "error"))).alias("errors"))
     return specs.select("case_id").join(listed, "case_id", "left").select("case_id", F.coalesce("errors", F.array().cast("array<string>")).alias("errors"))
+
+
+def aligned_entities(specs: DataFrame, notes: DataFrame) -> DataFrame:
+    """(case_id, entity_index, raw_text, text, entity_type, start, end, assertions, candidates) of marked notes, in order of place; the specs' own ids are dropped."""
+    stripped = notes.select("case_id", markers.strip_markers("marked_text").alias("_m"))
+    spans = stripped.select("case_id", F.col("_m.text").alias("raw_text"), F.explode("_m.spans").alias("p")).select("case_id", "raw_text", F.col("p.marker_id").alias("entity_id"), "p.start", "p.end")
+    rows = spans.join(case_entities(specs).drop("entity_index"), ["case_id", "entity_id"])
+    number = F.row_number().over(W.partitionBy("case_id").orderBy("start", "end", "entity_id")) - 1
+    return rows.select("case_id", number.alias("entity_index"), "raw_text", F.expr("substring(raw_text, start + 1, end - start)").alias("text"), "entity_type", "start", "end", "assertions", "candidates")
+
+
+def export_cases(specs: DataFrame, notes: DataFrame, known: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Accepted cases (case_id, text, entities, split), and the rejected ones (case_id, errors).
+
+    Cases without a note, with a fault of validate_cases(), or whose entities are not valid output
+    (overlaps, and codes outside `known`, included) are rejected.  Cases that share what they are about
+    are in one split.
+    """
+    noted = specs.join(notes.select("case_id"), "case_id", "left_semi")
+    lost = specs.join(notes.select("case_id"), "case_id", "left_anti").select("case_id", F.array(F.lit("no_note")).alias("errors"))
+    faults = validate_cases(noted, notes).where(F.size("errors") > 0)
+    entities = aligned_entities(noted, notes)
+    checked = validation.output_errors(entities, "case_id").select("case_id", F.explode("errors").alias("error"))
+    over = validation.overlap_with_earlier(entities, "case_id").where("overlaps").select("case_id", F.lit("overlap").alias("error"))
+    every = checked.union(over)
+    if known:
+        every = every.union(validation.candidate_errors(entities, known, "case_id").select("case_id", "error"))
+    rejected = lost.union(faults).union(every.groupBy("case_id").agg(F.sort_array(F.collect_list("error")).alias("errors"))).groupBy("case_id").agg(F.flatten(F.collect_list("errors")).alias("errors"))
+    one = F.struct("entity_index", "text", F.col("entity_type").alias("type"), F.array("start", "end").alias("position"), "assertions", "candidates")
+    good = entities.join(rejected.select("case_id"), "case_id", "left_anti").groupBy("case_id").agg(F.first("raw_text").alias("text"), F.sort_array(F.collect_list(one)).alias("entities"))
+    about = export.signature(F.transform("entities", lambda e: e["candidates"]), F.transform("entities", lambda e: e["text"]))
+    return good.select("case_id", "text", F.transform("entities", lambda e: e.dropFields("entity_index")).alias("entities"), export.split(about).alias("split")), rejected

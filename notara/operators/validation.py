@@ -60,6 +60,17 @@ def output_errors(entities: DataFrame, key: str = "document_id", types=ENTITY_TY
     return rows.withColumns({"errors": errors, "warnings": warnings}).drop("_again")
 
 
+def candidate_errors(entities: DataFrame, known: dict[str, DataFrame], key: str = "document_id") -> DataFrame:
+    """(key, entity_index, error) of candidates that are no code of their type's ontology; known: entity type -> rows with `code`."""
+    codes = None
+    for kind, rows in known.items():
+        own = rows.select(F.lit(kind).alias("entity_type"), F.col("code").cast("string").alias("code")).distinct()
+        codes = own if codes is None else codes.unionByName(own)
+    given = entities.where(F.col("entity_type").isin(*known)).select(key, "entity_index", "entity_type", F.explode("candidates").alias("code"))
+    bad = given.join(codes, ["entity_type", "code"], "left_anti") if known else given.limit(0)
+    return bad.select(key, "entity_index", F.concat(F.lit("unknown_candidate:"), "code").alias("error"))
+
+
 def validate_documents(checked: DataFrame, key: str = "document_id") -> DataFrame:
     """(key, valid, errors, warnings), messages in the order of the entities."""
     said = lambda c: F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("entity_index", c))), lambda x: x[c]))

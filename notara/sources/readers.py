@@ -47,6 +47,18 @@ def read_records(spark: SparkSession, path: str, schema=None) -> DataFrame:
     raise ValueError(f"{path}: .json, .jsonl or .txt expected")
 
 
+def load_documents(spark: SparkSession, path: str, document_id: str | None = None) -> DataFrame:
+    """Documents of a .txt, .json or .jsonl path by its suffix; document_id names the only document of a text file."""
+    if path.endswith(".txt"):
+        return read_text_notes(spark, path, document_id)
+    if document_id is not None:
+        raise ValueError("document_id is for a single text file")
+    if path.endswith(".jsonl"):
+        kinds = spark.read.json(path).drop("_corrupt_record").schema
+        return to_documents(json_lines(spark, path, kinds)[0])
+    return to_documents(read_records(spark, path).withColumn("line", F.monotonically_increasing_id() + 1))
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, line, value) of the lines that are not blank, numbered within their file (blank lines count).
 
@@ -61,7 +73,7 @@ def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = True)
     parsed = numbered_lines(spark, path).withColumn("r", F.from_json("value", schema))
     bad = F.col("r").isNull() | ~F.regexp_like("value", F.lit("^\\s*\\{.*\\}\\s*$"))
     if strict:
-        parsed = parsed.withColumn("r", F.when(bad, F.raise_error(F.concat(F.lit("bad line "), F.col("line").cast("string")))).otherwise(F.col("r")))
+        parsed = parsed.withColumn("r", F.when(bad & (F.trim("value") != ""), F.raise_error(F.concat(F.lit("bad line "), F.col("line").cast("string")))).otherwise(F.col("r")))
     return parsed.where(~bad).select("path", "line", "r.*"), parsed.where(bad).select("path", "line", "value")
 
 
@@ -100,9 +112,22 @@ def explode_entities(documents: DataFrame) -> DataFrame:
     return documents.select("document_id", "raw_text", F.posexplode("entities_raw").alias("entity_index", "e")).select("document_id", "raw_text", "entity_index", "e.text", F.col("e.type").alias("entity_type"), "e.position", "e.assertions", "e.candidates")
 
 
-def pair(contents: DataFrame, labels: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Contents with their labels, and (key, side) of the ids that only one side has."""
+def pair(contents: DataFrame, labels: DataFrame, key: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Contents with their labels, and (key, side) of the ids that only one side has.
+
+    strict: an id that is empty, repeated or on one side only is a ValueError that names the first ones.
+    """
+    if strict:
+        for side, rows in (("contents", contents), ("labels", labels)):
+            ids = rows.groupBy(key).agg(F.count("*").alias("n"))
+            bad = [str(r[0]) for r in ids.where(F.col(key).isNull() | (F.trim(F.col(key).cast("string")) == "") | (F.col("n") > 1)).orderBy(key).limit(10).collect()]
+            if bad:
+                raise ValueError(f"{side}: empty or repeated ids {bad}")
     missing = contents.join(labels, key, "left_anti").select(key, F.lit("labels").alias("missing_side")).union(labels.join(contents, key, "left_anti").select(key, F.lit("contents").alias("missing_side")))
+    if strict:
+        lost = {side: [r[0] for r in missing.where(F.col("missing_side") == side).orderBy(key).limit(10).collect()] for side in ("labels", "contents")}
+        if any(lost.values()):
+            raise ValueError(f"missing labels {lost['labels']}, missing contents {lost['contents']}")
     return contents.join(labels, key), missing
 
 

@@ -18,8 +18,12 @@ class Model:
     def parameters(self):
         return [self.P()]
 
-    def train_model(self, **kwargs):
-        self.kwargs = kwargs
+    def train_model(self, train_dataset, eval_dataset, **kwargs):
+        assert [x["tokenized_text"] for x in train_dataset][0] == train_dataset[0]["tokenized_text"] and len(train_dataset) == len(list(train_dataset))
+
+
+def make(name):
+    return Model()
 
 
 def samples(spark, end=0):
@@ -64,3 +68,17 @@ def test_command_line(spark, tmp_path, pool):
     pool.write.parquet(str(tmp_path / "pool"))
     assert cli.main(["generate", "--surfaces", str(tmp_path / "pool"), "--output", str(tmp_path / "n"), "--num-samples", "5"]) == 0
     assert spark.read.json(str(tmp_path / "n")).count() == 5
+    again = ["generate", "--surfaces", str(tmp_path / "pool"), "--output", str(tmp_path / "n"), "--errors", str(tmp_path / "ge"), "--resume", "--num-samples", "7"]
+    assert cli.main(again) == 0 and spark.read.json(str(tmp_path / "n")).select("case_id").distinct().count() == 7 == spark.read.json(str(tmp_path / "n")).count()
+    check = ["validate", "--specs", str(tmp_path / "n-specs"), "--notes", str(tmp_path / "n"), "--output", str(tmp_path / "ok"), "--rejected", str(tmp_path / "no")]
+    assert cli.main(check) == 0 and spark.read.json(str(tmp_path / "ok")).count() == 7
+    (tmp_path / "p.jsonl").write_text('{"note_id": "1", "entities": []}\n')
+    assert cli.main(["package", "--predictions", str(tmp_path / "p.jsonl"), "--output", str(tmp_path / "p.zip")]) == 0
+    (tmp_path / "c.jsonl").write_text("".join(json.dumps({"note_id": str(i), "text": "ho khan"}) + "\n" for i in range(6)))
+    pairs = ["--documents", str(tmp_path / "c.jsonl"), "--labels", str(tmp_path / "d.jsonl"), "--errors", str(tmp_path / "e2")]
+    assert cli.main(["train", "--model", "m", "--factory", "tests.test_training:make", "--output", str(tmp_path / "m"), *pairs]) == 0
+    assert json.loads((tmp_path / "m" / "manifest.json").read_text())["result"]["eval"] == 1
+    assert cli.main(["train", "--model", "m", "--dry-run", *pairs]) == 0
+    (tmp_path / "c.jsonl").write_text('{"note_id": "1", "text": "ho khan"}\n')
+    with pytest.raises(ValueError, match="missing contents"):
+        cli.main(["prepare", *pairs])
