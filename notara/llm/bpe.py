@@ -25,8 +25,8 @@ from ._shared import PART, kept, lean, read, release, texts_of
 #: The pattern that cuts a text into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 _END = regex.compile(r"\P{White_Space}(?=\p{White_Space})")
-CACHE = 80_000  # pieces in each of two generations
-FITS = 1 << 19  # places for answers about pairs of tokens
+CACHE = 100_000  # pieces in each of two generations
+FITS = 250_000  # answers about pairs of tokens
 _NEVER = 1 << 60
 
 
@@ -73,7 +73,7 @@ class Encoder:
         self._split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self._pieces = regex.compile(PATTERN).findall
         self._edges: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-        self._pairs, self._answers = array("q", [-1]) * FITS, bytearray(FITS)  # each pair has one place, its last user wins
+        self._answers: dict[int, bool] = {}
         self._young: dict[str, str] = {}
         self._old: dict[str, str] = {}
 
@@ -90,42 +90,48 @@ class Encoder:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether the bytes of tokens a and b together are encoded as a, b."""
-        pair, place = a << 32 | b, (a * 40_503 + b * 30_011) % FITS
-        if self._pairs[place] == pair:
-            return self._answers[place]
+        pair = a << 32 | b
+        got = self._answers.get(pair)
+        if got is None:
+            if len(self._answers) >= FITS:
+                self._answers.clear()
+            got = self._answers[pair] = self._fits(a, b)
+        return got
+
+    def _fits(self, a: int, b: int) -> bool:
         (left, left_ends), (right, right_ends) = self._edge(a, 2), self._edge(b, 1)
         i = j = 0
         while True:
             across, one, other = self._rank.get(left[i] << 32 | right[j], _NEVER), left_ends[i], right_ends[j]
             if across < one and across <= other:
-                got = False
-                break
+                return False
             if one == _NEVER == other:
-                got = True
-                break
+                return True
             if one <= other:
                 i += 1
             else:
                 j += 1
-        self._pairs[place], self._answers[place] = pair, got
-        return got
 
     def _encode_bytes(self, text: str) -> list[int]:
-        """Ids of one piece, whose bytes are given as code points."""
-        last, size = (array("i", [x]) * (len(text) + 1) for x in (-1, 0))
-        fits = self.fits
-        lengths = self._length
+        """Ids of one piece, whose bytes are given as code points; last[i] is the last token of what ends with byte i."""
+        last = [-1] * len(text) if len(text) < 10_000 else array("i", [-1]) * len(text)
+        length, known, fits = self._length, self._answers.get, self.fits
         for end, token in self._automaton.iter(text):
-            end += 1
             if last[end] < 0:
-                length = lengths[token]
-                before = end - length
-                if not before or (last[before] >= 0 and fits(last[before], token)):
-                    last[end], size[end] = token, length
-        at, out = len(text), []
-        while at:
-            out.append(last[at])
-            at -= size[at]
+                before = end - length[token]
+                if before < 0:
+                    last[end] = token
+                else:
+                    first = last[before]
+                    if first >= 0:
+                        fit = known(first << 32 | token)
+                        if fit if fit is not None else fits(first, token):
+                            last[end] = token
+        at, out = len(text) - 1, []
+        while at >= 0:
+            token = last[at]
+            out.append(token)
+            at -= length[token]
         return out[::-1]
 
     def _piece(self, piece: str) -> str:
