@@ -2,7 +2,7 @@
 
 Four smoothed statistics of a document form a vector.  For each language and source a minimum
 covariance determinant estimate (deterministic starts, concentration steps on the nearest three
-quarters of the rows) gives a centre and a covariance, and a document whose squared Mahalanobis
+quarters of the rows until the determinant settles) gives a centre and a covariance, and a document whose squared Mahalanobis
 distance passes a chi-square quantile is rejected.  A language and source with few rows is judged by
 the estimate of its whole language, and a language with few rows by that of the whole table.
 Everything of a group is a map-side sum or a percentile; no row of a group is collected.
@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import read, save, small
+from ._shared import drop, read, save, small
 
 X = ("x1", "x2", "x3", "x4")
 PAIRS = [(a, b) for i, a in enumerate(X) for b in X[: i + 1]]
@@ -24,6 +24,8 @@ LEAST_ROWS = 40  # smaller groups are judged by a wider one
 #: Added to each variance: statistics that are 0 in nearly all rows stay invertible, and a text with
 #: a few symbols or one repeated line is no outlier.
 RIDGE = {"x1": 0.02**2, "x2": 0.35**2, "x3": 0.35**2, "x4": 0.45**2}
+#: Steps stop when no log determinant changes by SETTLED; percentiles are right to one row in ACCURACY.
+MOST_STEPS, SETTLED, ACCURACY = 20, 1e-4, 10_000
 CUTOFF = 33.4  # the 0.999999 quantile of chi-square with 4 degrees of freedom
 _BLANKS = "\t\n\x0b\x0c\r"
 
@@ -119,29 +121,33 @@ def _distances(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d", sum((F.col(f"y_{a}") * F.col(f"y_{a}") for a in X), F.lit(0.0)))
 
 
-def estimates(rows: DataFrame, steps: int = 3, keys: list[str] = KEY) -> DataFrame:
+def _starts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Both starts of each group: medians with squared median deviations (0), and the classical mean and covariance (1)."""
+    middle = rows.groupBy(*keys).agg(*[F.percentile_approx(a, 0.5, ACCURACY).alias(f"m_{a}") for a in X])
+    spread = _with(rows, middle, keys).groupBy(*keys).agg(*[F.first(f"m_{a}").alias(f"m_{a}") for a in X], *[F.percentile_approx(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5, ACCURACY).alias(f"s_{a}") for a in X])
+    robust = spread.select(*keys, *[f"m_{a}" for a in X], *[(F.pow(1.4826 * F.col(f"s_{a}"), 2) + RIDGE[a] if a == b else F.lit(0.0)).alias(f"c_{a}_{b}") for a, b in PAIRS])
+    return robust.withColumn("start", F.lit(0)).unionByName(_estimate(rows, keys).withColumn("start", F.lit(1)))
+
+
+def estimates(rows: DataFrame, steps: int = MOST_STEPS, keys: list[str] = KEY) -> DataFrame:
     """Centre and covariance of each group (by default lang, source) by minimum covariance determinant over rows(x1..x4).
 
-    Starts: medians with squared median deviations, and the classical mean and covariance.  The
-    start whose last subset has the smaller determinant wins.
+    From both starts of a group, concentration steps go on until no group's determinant changes
+    (`steps` at most); the start whose last subset has the smaller determinant wins.
     """
-    ends = []
-    for start in range(2):
-        if start == 0:
-            middle = rows.groupBy(*keys).agg(*[F.percentile_approx(a, 0.5, 1000).alias(f"m_{a}") for a in X])
-            spread = _with(rows, middle, keys).groupBy(*keys).agg(*[F.first(f"m_{a}").alias(f"m_{a}") for a in X], *[F.percentile_approx(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5, 1000).alias(f"s_{a}") for a in X])
-            now = spread.select(*keys, *[f"m_{a}" for a in X], *[(F.pow(1.4826 * F.col(f"s_{a}"), 2) + RIDGE[a] if a == b else F.lit(0.0)).alias(f"c_{a}_{b}") for a, b in PAIRS])
-        else:
-            now = _estimate(rows, keys)
-        for _ in range(steps):
-            now = save(_factored(now), "estimates")
-            far = _distances(_with(rows, now, keys)).select(*keys, *X, "d")
-            cut = far.groupBy(*keys).agg(F.percentile_approx("d", SUBSET, 1000).alias("cut"))
-            now = _estimate(_with(far, cut, keys).where("d <= cut"), keys)
-        ends.append(save(_factored(now), "estimates"))
-    both = ends[0].unionByName(ends[1])
-    rest = [c for c in both.columns if c not in keys]
-    return both.groupBy(*keys).agg(F.min_by(F.struct(*rest), "det").alias("e")).select(*keys, "e.*")
+    both = [*keys, "start"]
+    now = save(_factored(_starts(rows, keys)), "estimates")
+    for _ in range(steps):
+        far = _distances(_with(rows, now, keys)).select(*both, *X, "d")  # a row for each start
+        cut = save(far.groupBy(*both).agg(F.percentile_approx("d", SUBSET, ACCURACY).alias("cut")), "cuts")
+        after = save(_factored(_estimate(_with(far, cut, both).where("d <= cut"), both)), "estimates")
+        moved = _with(after.select(*both, "det"), now.select(*both, F.col("det").alias("before")), both).agg(F.max(F.abs(F.col("det") - F.col("before")))).first()[0]
+        drop(now, cut)
+        now = after
+        if (moved or 0.0) < SETTLED:
+            break
+    rest = [c for c in now.columns if c not in both]
+    return now.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("det", "start")).alias("e")).select(*keys, "e.*")
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -150,8 +156,10 @@ def quality(docs: DataFrame) -> DataFrame:
     docs(doc_id, text, lang, source).  Null texts count as empty; null languages and sources are
     groups of their own.  A (lang, source) of fewer than LEAST_ROWS usable rows is judged by its
     language, and a language of fewer by the whole table.  Only where the whole table has fewer,
-    so that nothing can be estimated, the base rules stand alone and distance is null.  Repeated rows
-    are judged each for itself; an empty table gives an empty result.
+    so that nothing can be estimated, the base rules stand alone and distance is null.  Rows at equal
+    distance are on the same side of every cut.  A long text is counted in one row, its words as one
+    array.  Repeated rows are judged each for itself; columns of other names are ignored; an empty
+    table gives an empty result.
     """
     table = save(vector(text_counts(docs.select("doc_id", "text", "lang", "source")).drop("text")), "counts")
     sizes = table.groupBy(*KEY).agg(F.count_if(~F.col("base_failed")).alias("rows"))
