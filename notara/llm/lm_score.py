@@ -147,7 +147,7 @@ def _score(model, depth: int, bits: int, gram_bits: int):
                 keys, inverse = np.unique(h[rare], return_inverse=True)
                 words = np.diff(p.first)
                 body = {
-                    "doc_id": ids[p.lo : p.hi], "held_out": held[p.lo : p.hi], "n_tokens": words + 1, "code": code, "asker": place[asker], "gram_cut": np.searchsorted(open_, cut),
+                    "doc_id": ids[p.lo : p.hi], "held_out": held[p.lo : p.hi], "n_bytes": np.diff(cut), "n_tokens": words + 1, "code": code, "asker": place[asker], "gram_cut": np.searchsorted(open_, cut),
                     "log": np.diff(log[p.first]) + np.log10(ends + 1), "known": np.diff(common[p.first]) + (ends > 0), "words": len(keys), "inverse": inverse.astype(np.int32), "cut": np.searchsorted(rare, p.first),
                 }
                 yield P.rows(body, keys, bits, parts)
@@ -178,6 +178,7 @@ def _finish(tokens: int, distinct: int):
         return pa.table({
             "doc_id": pa.array(body["doc_id"], pa.int64()), "held_out": pa.array(body["held_out"]), "n_tokens": pa.array(body["n_tokens"]), "n_known": pa.array(body["known"] + np.diff(seen[body["cut"]])),
             "train_tokens": pa.array(np.full(len(body["doc_id"]), tokens)), "base_score": pa.array(body["log"] + np.diff(log[body["cut"]]) - body["n_tokens"] * base), "score": pa.array(code * np.log10(2.0)),
+            "n_bytes": pa.array(body["n_bytes"]), "bits_per_byte": pa.array(-code / body["n_bytes"]),
         })
 
     return finish
@@ -186,10 +187,12 @@ def _finish(tokens: int, distinct: int):
 def lm_scores(docs: DataFrame, train: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Scores of every row of docs(doc_id, text, held_out), learning from train(text).
 
-    Gives doc_id, held_out, n_tokens, n_known, train_tokens (long), base_score and score (log10 of
-    the text's probability; double) for every row.  Texts are lower-cased (A-Z); null is empty and
-    has one token, the end.  Repeated rows are scored each for itself.  Without training rows the
-    base knows no token and every byte has the probability 1/256.  Other columns are ignored.
+    Gives doc_id, held_out, n_tokens, n_known, train_tokens (long), base_score, score (log10 of the
+    text's probability; double), n_bytes (the end included) and bits_per_byte (the code length by it)
+    for every row.  Texts are lower-cased (A-Z); null is empty and has one token and one byte, the end.
+    A long text is scored whole, by itself.  Repeated rows are scored each for itself; there are no
+    ties.  Without training rows the base knows no token and every byte has the probability 1/256.
+    Other columns are ignored, whatever their names; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     counts = save(train.select("text").mapInArrow(lean(_count(depth)), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
@@ -212,7 +215,7 @@ def lm_scores(docs: DataFrame, train: DataFrame, depth: int = DEPTH) -> DataFram
     sent = P.send(docs.select("doc_id", "text", "held_out"), _score(model, depth, bits, gram_bits), "scored")
     known = counts.where((F.col("kind") == 1) & (F.col("n") <= floor)).select(P.shard_of("key", bits).alias("shard"), "key", "n")
     known = known.unionByName(gram.withColumn("shard", F.col("shard") + (1 << bits)))
-    return P.answer(sent, known, _reply, _finish(tokens, distinct), np.float64, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", other=(1 << bits, _gram_reply(depth, top)))
+    return P.answer(sent, known, _reply, _finish(tokens, distinct), np.float64, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double", other=(1 << bits, _gram_reply(depth, top)))
 
 
 def op9_lm_score(spark, sf_dir: str) -> DataFrame:
