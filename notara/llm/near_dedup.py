@@ -9,7 +9,8 @@
    estimated similarity is far below the threshold; the full sets confirm the rest.
 5. Confirmed links give connected components.
 
-No bucket emits all its pairs and none is cut: a bucket of m members of one group costs m pairs.
+None is cut.  A bucket of m members of one group costs m pairs; one of unlike members costs m * m /
+BLOCK rows of the block stage, which compares each pair once by its one-byte signature.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from .components import connected_components
 
 BANDS, ROWS = 16, 3  # a pair at similarity 0.75 shares no bucket with probability 0.00016
 WIDE = 1024
-BLOCK = 128
+BLOCK = 1024  # members of a bucket that meet as many others in one task
+HUB = 1024  # pairs of a hub in one task
 _U = np.uint64
 
 
@@ -77,7 +79,11 @@ def _links(texts: DataFrame, pairs: DataFrame, n_words: int, percent: int) -> Da
     spark = texts.sparkSession
     ids = save(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     some = save(texts.join(small(spark, ids), "doc_id", "left_semi"), "texts")
-    rows = pairs.join(some.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(some.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    # a hub of many pairs stands in several copies, so that no task has all of its pairs
+    hubs = save(pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("copies", F.ceil(F.col("n") / HUB).cast("int")), "hubs")
+    spread = attach(pairs, hubs, ["a"], "n", pairs.count()).withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int")).select("a", "b", "copy")
+    texts_a = hubs.join(some.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "text_a", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    rows = spread.join(some.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(texts_a, ["a", "copy"])
     return save(rows.select("a", "b", "text_a", "text_b").mapInArrow(lean(_confirm(n_words, percent)), "a long, b long"), "links")
 
 
@@ -127,7 +133,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 75) -> Dat
     """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text, ...).
 
     Words are lower-cased (A-Z).  Null or empty texts, and texts without a word, have an empty set
-    and no link.  Texts of fewer than n_words words are one shingle.  Rows that repeat a doc_id
+    and no link.  Long texts are compared whole.  A group's tie is broken by doc_id.  Texts of fewer than n_words words are one shingle.  Rows that repeat a doc_id
     are one document of the graph; a null doc_id is linked with nothing and kept (its component_id
     is null).  Other columns of docs are ignored; an empty table gives an empty result.
     """
