@@ -65,6 +65,16 @@ def fold(doc_id: str | Column, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % n, F.lit(0))
 
 
+def relax(spark: SparkSession) -> None:
+    """Ask the executors' JVMs to collect garbage, which makes them give heap back that they no longer need.
+
+    For a stage whose memory is in Python workers, after one whose memory was in the heap: an executor's
+    bound holds for both together.  A small job that costs each executor some tenths of a second.
+    """
+    n = max(1, spark.sparkContext.defaultParallelism)
+    spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')")).collect()
+
+
 # ---- workers --------------------------------------------------------------------------------------
 
 _kept: list[Callable] = []
