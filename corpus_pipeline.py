@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notara.llm._shared import drop, fold, read, save, scratch, small
+from notara.llm._shared import drop, fold, read, relax, save, scratch, small
 from notara.llm.bpe import encoding_digests
 from notara.llm.exact_dedup import drop_copies
 from notara.llm.language_id import fit, keep_known
@@ -27,6 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     doc_id is).  Long texts are judged whole; equal texts are judged alike, and each row stays or goes
     for itself.
     """
+    relax(spark)
     model = fit(docs.where(fold("doc_id", 4) != 2))
     return keep_known(docs, model)
 
@@ -46,6 +47,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts that are null, empty or without a word are linked with nothing and stay, as do rows whose
     doc_id is null.  Rows that share a doc_id stay or go together.  Long texts are compared whole.
     """
+    relax(spark)
     gone = save(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "near")
     return docs.join(small(spark, gone), "doc_id", "left_anti").select(*docs.columns)
 
@@ -62,6 +64,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every row; null and empty texts have no token, and repeated rows one result each."""
+    relax(spark)
     return encoding_digests(docs)
 
 
