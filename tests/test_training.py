@@ -66,7 +66,7 @@ def test_command_line(spark, tmp_path, pool):
     assert cli.main(["prepare", "--documents", str(tmp_path / "d.jsonl"), "--output", str(tmp_path / "s"), "--errors", str(tmp_path / "e"), "--ratio", "0.25"]) == 0
     assert spark.read.json(str(tmp_path / "s")).groupBy("split").count().count() == 2
     pool.write.parquet(str(tmp_path / "pool"))
-    assert cli.main(["generate", "--surfaces", str(tmp_path / "pool"), "--output", str(tmp_path / "n"), "--num-samples", "5"]) == 0
+    assert cli.main(["generate", "--surfaces", str(tmp_path / "pool"), "--output", str(tmp_path / "n"), "--errors", str(tmp_path / "ge"), "--num-samples", "5"]) == 0
     assert spark.read.json(str(tmp_path / "n")).count() == 5
     again = ["generate", "--surfaces", str(tmp_path / "pool"), "--output", str(tmp_path / "n"), "--errors", str(tmp_path / "ge"), "--resume", "--num-samples", "7"]
     assert cli.main(again) == 0 and spark.read.json(str(tmp_path / "n")).select("case_id").distinct().count() == 7 == spark.read.json(str(tmp_path / "n")).count()
