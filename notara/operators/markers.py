@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from ..functions.text import WORD, join_and
+from ..functions.text import WORD, has_surface, join_and
 from ..schemas import INT, STRING, struct
 
 MARKER = "\\[\\[([EN]\\d+)\\]\\](?s)(.*?)\\[\\[/\\1\\]\\]"
@@ -104,10 +104,18 @@ def expand_placeholders(draft: Column, surfaces: Column) -> Column:
 
 
 def placeholder_errors(drafts: DataFrame, expected: DataFrame) -> DataFrame:
-    """(case_id, marker_id, error) of drafts(case_id, draft): missing, repeated or unknown placeholders."""
+    """(case_id, marker_id, error) of drafts(case_id, draft): missing, repeated or unknown placeholders.
+
+    If expected has surface_text, also surfaces that are written out beside their placeholders.
+    """
     found = drafts.select("case_id", F.explode(F.regexp_extract_all("draft", F.lit(PLACEHOLDER), F.lit(1))).alias("marker_id")).groupBy("case_id", "marker_id").agg(F.count("*").alias("n"))
     both = expected.select("case_id", "marker_id", F.lit(True).alias("known")).join(drafts.select("case_id"), "case_id", "left_semi").join(found, ["case_id", "marker_id"], "full")
-    return both.select("case_id", "marker_id", F.when(F.col("known").isNull(), "unknown").when(F.col("n").isNull(), "missing").when(F.col("n") > 1, "repeated").alias("error")).where("error IS NOT NULL")
+    out = both.select("case_id", "marker_id", F.when(F.col("known").isNull(), "unknown").when(F.col("n").isNull(), "missing").when(F.col("n") > 1, "repeated").alias("error")).where("error IS NOT NULL")
+    if "surface_text" not in expected.columns:
+        return out
+    bare = drafts.select("case_id", F.regexp_replace("draft", PLACEHOLDER, " ").alias("_bare"))
+    leaked = expected.join(bare, "case_id").where(has_surface("_bare", "surface_text"))
+    return out.union(leaked.select("case_id", "marker_id", F.lit("leaked")))
 
 
 def draft_faults(draft: str = "draft", banned: tuple[str, ...] = BANNED) -> Column:

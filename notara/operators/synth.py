@@ -235,6 +235,8 @@ def draft_errors(draft: str, surfaces: dict[str, str]) -> list[str]:
     found = re.findall(r"<<([EN]\d+)>>", draft)
     out = [f"{k}: {found.count(k)}" for k in surfaces if found.count(k) != 1] + [f"{k}: unknown" for k in set(found) - set(surfaces)]
     low = draft.lower()
+    bare = " ".join(re.sub(r"<<[EN]\d+>>", " ", low).split())
+    out += [f"{k}: leaked" for k, v in surfaces.items() if re.search(rf"(?<!\w){re.escape(' '.join(v.lower().split()))}(?!\w)", bare)]
     return out + [f"banned: {b}" for b in (*markers.BANNED, "```", "[[", "]]") if b in low]
 
 

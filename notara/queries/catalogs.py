@@ -174,11 +174,11 @@ def _(read):
     return _long(marked(read).select("case_id", F.explode(markers.strip_markers("marked_text")["spans"]).alias("s")).select("case_id", "s.*"))
 
 
-@query("q2_placeholder_check", f"""WITH {_MARKED} SELECT case_id, 'E0' AS marker_id, 'repeated' AS error FROM nt WHERE case_id % 2 = 0 UNION ALL SELECT case_id, 'E1', 'missing' FROM nt WHERE case_id % 2 = 1""")
+@query("q2_placeholder_check", f"""WITH {_MARKED} SELECT case_id, 'E1' AS marker_id, 'leaked' AS error FROM nt WHERE case_id % 3 = 0 UNION ALL SELECT case_id, 'E0' AS marker_id, 'repeated' AS error FROM nt WHERE case_id % 2 = 0 UNION ALL SELECT case_id, 'E1', 'missing' FROM nt WHERE case_id % 2 = 1""")
 def _(read):
     m = marked(read)
-    drafts = m.select("case_id", F.when(F.col("case_id") % 2 == 0, "a <<E0>> <<E0>> <<E1>>").otherwise("<<E0>> b").alias("draft"))
-    return markers.placeholder_errors(drafts, m.select("case_id", F.explode(F.array(F.lit("E0"), F.lit("E1"))).alias("marker_id")))
+    drafts = m.select("case_id", F.when(F.col("case_id") % 2 == 0, F.lit("a <<E0>> <<E0>> <<E1>>")).otherwise(F.lit("<<E0>> b")).alias("_d"), F.when(F.col("case_id") % 3 == 0, " Q7q").otherwise("").alias("_l")).select("case_id", F.concat("_d", "_l").alias("draft"))
+    return markers.placeholder_errors(drafts, m.select("case_id", F.explode(F.create_map(F.lit("E0"), F.lit("p5p"), F.lit("E1"), F.lit("q7Q"))).alias("marker_id", "surface_text")))
 
 
 @query("q3_expand_placeholders", f"""WITH {_MARKED} SELECT case_id, 'x [[E0]]' || w[2] || '[[/E0]] y [[E1]]' || w[5] || '[[/E1]].' AS t FROM nt""")

@@ -173,6 +173,16 @@ def _(read):
     return synth.section_errors(_specs(read), rendered)
 
 
+@query("x5_aligned_entities", """
+SELECT p_partkey::VARCHAR AS case_id, 0::INTEGER AS entity_index, p_name AS text, 2::INTEGER AS start, (2 + length(p_name))::INTEGER AS "end" FROM part
+UNION ALL SELECT p_partkey::VARCHAR, 1, p_brand, (5 + length(p_name) + length(p_type))::INTEGER, (5 + length(p_name) + length(p_type) + length(p_brand))::INTEGER FROM part""")
+def _(read):
+    """Entities of marked notes in the stripped text, without the specs' ids and without the negatives."""
+    mark = lambda i, c: F.concat(F.lit(f"[[{i}]]"), F.col(c), F.lit(f"[[/{i}]]"))
+    marked = read("part").select(F.col("p_partkey").cast("string").alias("case_id"), F.concat(F.lit("x "), mark("E0", "p_name"), F.lit(" "), mark("N0", "p_type"), F.lit(": "), mark("E1", "p_brand")).alias("marked_text"))
+    return synth.aligned_entities(_specs(read), marked).select("case_id", F.col("entity_index").cast("int").alias("entity_index"), "text", "start", "end")
+
+
 @query("m3_build_samples", f"""WITH {HITS}, h AS (SELECT document_id, count(*) AS n FROM hits GROUP BY 1) SELECT d.doc_id::VARCHAR AS document_id, CASE WHEN h.n IS NULL THEN 'no_training_chunks' WHEN doc_id % 4 = 0 THEN 'raw_text_mismatch' WHEN doc_id % 4 = 1 THEN 'invalid_entity_label' WHEN doc_id % 4 = 2 THEN 'raw_span_out_of_bounds' ELSE 'duplicate_entity' END AS code, CASE WHEN doc_id % 4 < 3 AND h.n IS NOT NULL THEN 0 ELSE -1 END::INTEGER AS entity_index FROM documents d LEFT JOIN h ON h.document_id = d.doc_id::VARCHAR""")
 def _(read):
     """A build in which every document has a fault of its own kind, and is skipped and logged."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,13 @@ from pyspark.sql import functions as F
 from .readers import natural_order
 
 
+def warn(message: str, stream=None) -> None:
+    """Print a warning; characters that the stream can't write are escaped."""
+    stream = stream or sys.stderr
+    kind = getattr(stream, "encoding", None) or "utf-8"
+    print("warning: " + message.encode(kind, "backslashreplace").decode(kind), file=stream)
+
+
 def write_json(df: DataFrame, path: str, append: bool = False) -> None:
     """JSON lines; Spark's commit protocol makes the write atomic."""
     df.write.mode("append" if append else "overwrite").json(path)

@@ -343,3 +343,19 @@ def test_dense_blocks_match_numpy(spark, monkeypatch):
     for i in range(60):
         order = sorted(range(60), key=lambda j: (-round(float(u[i] @ u[j]), 9), j))[:5]
         assert [got[i][k + 1][0] for k in range(5)] == [f"c{j:02d}" for j in order]
+
+
+def test_warning_on_a_narrow_stream():
+    import io
+
+    raw = io.BytesIO()
+    out = io.TextIOWrapper(raw, encoding="ascii")
+    sinks.warn("sốt", out)
+    out.flush()
+    assert raw.getvalue() == b"warning: s\\u1ed1t\n"
+
+
+def test_draft_leaks():
+    from notara.operators import synth
+
+    assert synth.draft_errors("<<E0>> và đau  đầu", {"E0": "Đau đầu"}) == ["E0: leaked"] and synth.draft_errors("<<E0>> đau đầux", {"E0": "đau đầu"}) == []
