@@ -256,6 +256,7 @@ def test_lm_scores(docs, rows, nothing):
         for r in got[d]:
             assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held(d), len(tokens), sum(c[x] > 0 for x in tokens), total)
             assert math.isclose(r["base_score"], base, rel_tol=1e-9) and r["score"] < 0
+            assert r["n_bytes"] == len((t or "").encode()) + 1 and math.isclose(r["bits_per_byte"], -r["score"] / math.log10(2) / r["n_bytes"], rel_tol=1e-9)
         n += 1
     assert sum(map(len, got.values())) == n
     assert lm_score.lm_scores(df.limit(0), df).count() == 0
@@ -535,6 +536,99 @@ def test_toxicity_matches_brute_force(spark):
     assert got[500]["score"] == pytest.approx(share) and len(got) == len(rows)
 
 
+def test_language_id_matches_plain_kneser_ney(spark):
+    """Bits per letter and the language, by the textbook recursion over the same training words."""
+    rng = random.Random(31)
+    own = {"aa": ["der", "und", "Stra\u00dfe", "zeit", "zeitung"], "bb": ["los", "que", "ciudad", "noche"], "cc": ["\u6f22\u5b57", "\u6f22", "\u5b57\u6f22\u5b57"]}
+    rows = [(i, ", ".join(rng.choice(own[x]) for _ in range(12)), x, "s", 1) for i in range(60) for x in [("aa", "bb", "cc")[i % 3]]] + [(100, "der que zeit ciu", None, "s", 1), (101, "\u6f22 der", None, "s", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    used = {r[0] for r in df.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(4)) > 0).select("doc_id").collect()}
+    words = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    models, letters = {}, {" "}
+    for lang in own:
+        order = [collections.Counter() for _ in range(6)]
+        for d, t, x, *_ in rows:
+            for w in words(t) if x == lang and d in used else ():
+                s = f" {w} "
+                letters.update(s)
+                for k in range(2, 5):
+                    if len(s) >= k:
+                        order[k][s[:k]] += 1
+                for i in range(len(s) - 4):
+                    order[5][s[i : i + 5]] += 1
+        for k in (4, 3, 2, 1):
+            for g in {g[1:] for g in order[k + 1] if k == 1 or g[1] != " "}:
+                order[k][g] = len({h[0] for h in order[k + 1] if h[1:] == g})
+        models[lang] = order
+    table = {}
+    for lang, order in models.items():
+        for k in range(1, 6):
+            spread = collections.Counter(order[k].values())
+            discount = spread[1] / (spread[1] + 2 * spread[2]) if spread[1] and spread[2] else 0.5
+            by_context = collections.defaultdict(dict)
+            for g, n in order[k].items():
+                by_context[g[:-1]][g[-1]] = n
+            table[lang, k] = discount, by_context
+
+    def p(lang, gram):
+        out = 1 / (len(letters) + 1)
+        for k in range(1, len(gram) + 1):
+            discount, by_context = table[lang, k]
+            seen = by_context.get(gram[-k:-1])
+            if seen:
+                total = sum(seen.values())
+                out = (max(seen.get(gram[-1], 0) - discount, 0) + discount * len(seen) * out) / total
+        return out
+
+    got = by_id(language_id.predict(df, language_id.fit(df)))
+    for d, t, *_ in rows:
+        bits = {}
+        for lang in own:
+            cost = [-math.log2(p(lang, s[max(0, i - 4) : i + 1])) for w in words(t) for s in [f" {w} "] for i in range(1, len(s))]
+            bits[lang] = sum(cost) / len(cost)
+        best = min(sorted(bits), key=bits.get)
+        assert got[d]["lang_pred"] == best and abs(got[d]["bits"] - bits[best]) < 1e-4
+
+
+def test_robust_estimates_match_exhaustive_search(spark):
+    """The best subset of all by determinant: eleven of fourteen rows."""
+    import itertools
+
+    rng = np.random.default_rng(5)
+    x = np.vstack((rng.normal(size=(11, 4)), rng.normal(size=(3, 4)) + 40))
+    df = spark.createDataFrame([("en", "a", *map(float, r)) for r in x], "lang string, source string, x1 double, x2 double, x3 double, x4 double")
+    r = quality.estimates(df).first()
+    best = min((list(c) for c in itertools.combinations(range(14), 11)), key=lambda c: np.linalg.det(np.cov(x[c].T, bias=True)))
+    assert best == list(range(11)) and np.allclose([r[f"m_{a}"] for a in quality.X], x[best].mean(axis=0))
+    want = np.cov(x[best].T, bias=True) * quality._consistency() + np.diag([quality.RIDGE[a] for a in quality.X])
+    assert all(math.isclose(r[f"c_{a}_{b}"], want[quality.X.index(a), quality.X.index(b)], rel_tol=1e-9, abs_tol=1e-12) for a, b in quality.PAIRS)
+
+
+def test_near_duplicates_recall_and_hot_buckets(spark):
+    """Documents that share half of their shingles crowd the buckets; close pairs among them are all found."""
+    rng = random.Random(77)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    common = [rng.choice(vocabulary) for _ in range(60)]
+    texts, pairs = [], 0
+    for i in range(1500):
+        own = common + [rng.choice(vocabulary) for _ in range(60)]
+        texts.append(own)
+        if i % 6 == 0:  # a copy with the last words changed
+            near = own[: 120 - rng.randrange(1, 25)]
+            texts.append(near + [rng.choice(vocabulary) for _ in range(120 - len(near))])
+    sets = [frozenset(" ".join(w[i : i + 5]) for i in range(len(w) - 4)) for w in texts]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")).collect()}
+    by_gram = collections.defaultdict(list)
+    for i, s in enumerate(sets):
+        for g in s:
+            by_gram[g].append(i)
+    shared = collections.Counter((a, b) for own in by_gram.values() if len(own) < 50 for k, a in enumerate(own) for b in own[k + 1 :])
+    links = [(a, b) for a, b in shared if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    pairs = len(links)
+    assert pairs > 100 and sum(got[a] == got[b] for a, b in links) == pairs
+    assert sum(c != d for d, c in got.items()) == pairs  # and nothing else is joined
+
+
 # ---- names, repeats, long texts -------------------------------------------------------------------
 
 INNER = ("rank", "n", "bits", "target", "source_size", "name", "nr", "tie", "id", "key", "block", "before", "cum", "doc", "page", "h", "_sha", "_n", "at", "w", "borders", "section", "score", "lang_pred", "x1", "d", "level", "rows")

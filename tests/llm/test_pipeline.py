@@ -1,30 +1,85 @@
-"""The corpus pipeline and the queries' SQL."""
+"""The corpus pipeline, stage by stage, and the queries' SQL."""
 
 import os
+import random
+import re
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from notara.llm import _shared, queries
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(__file__)))
 SF = "/root/testdata/sf0.001"
-pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
 
 
+def saved(stage, spark, docs):
+    return _shared.save(stage(spark, docs, SF), "stage")
+
+
+@needs_tables
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     n = [docs.count()]
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = _shared.save(stage(spark, docs, SF), "stage")
-        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        docs = saved(stage, spark, docs)
+        assert docs.columns == COLUMNS
         n.append(docs.count())
     assert n[0] >= n[1] >= n[2] >= n[3] and n[4] > n[3]
     out = corpus_pipeline.run(spark, SF)
     assert out.count() == n[4] and out.where("n_tokens < 1").count() == 0
 
 
+@needs_tables
+def test_exact_stage_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = {}
+    for r in sorted(docs.collect(), key=lambda r: r["doc_id"]):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", r["text"] or ""), r)
+    got = saved(corpus_pipeline.exact_copies, spark, docs).collect()
+    assert sorted(got) == sorted(first.values())
+
+
+PROSE = "the house stood at the end of a long and quiet road where nobody had lived for many years until one winter evening a light was seen behind the window of the upper floor"
+ODD = [
+    (1, PROSE, "en", "a", 1), (2, PROSE, "en", "b", 1), (1, PROSE, "en", "a", 1), (None, PROSE + " again", "en", None, 1), (3, None, None, None, None), (4, "", "en", "a", 0), (5, " \n", "en", "a", 2),
+    (6, " ".join([PROSE] * 3000), "en", "a", 1), (7, PROSE.replace("winter", "summer"), "en", "b", 1), (8, "12 34 !", "en", "c", 1), (9, PROSE, None, "a", 1),
+]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_odd_rows(spark, name):
+    """Nulls, empty and long texts, repeated rows, clashing names and empty tables."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    filler = [(100 + i, " ".join(random.Random(i).sample(PROSE.split(), len(PROSE.split()))), "en", "a", 1) for i in range(60)]
+    docs = spark.createDataFrame(ODD + filler, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    for c in ("h", "page", "key", "size", "n", "row", "target", "kept", "tie", "rejected"):
+        docs = docs.withColumn(c, F.lit("x"))
+    out = saved(stage, spark, docs)
+    got = out.collect()
+    if name == "bpe":
+        assert len(got) == len(ODD) + 60 and {r["n_tokens"] for r in got if r["doc_id"] in (3, 4)} == {0}
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        return
+    assert out.columns == docs.columns and saved(stage, spark, docs.limit(0)).count() == 0
+    own = [r["doc_id"] for r in got if r["doc_id"] is None or r["doc_id"] < 100]
+    if name == "language":
+        assert sorted(own, key=str) == sorted([1, 2, 1, None, 6, 7, 9], key=str)  # no letter: 3, 4, 5, 8
+    elif name == "exact_dedup":
+        assert sorted(own, key=str) == sorted([1, None, 3, 5, 6, 7, 8], key=str)  # 3 stands for the empty 4
+    elif name == "near_dedup":
+        assert {1, None, 3, 4, 5, 8} <= set(own) and not {2, 9} & set(own)  # 1's copies go
+    else:
+        words = docs.select(F.coalesce(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).alias("n")).agg(F.sum("n")).first()[0]
+        taken = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in got)
+        assert taken <= 1.5 * words and not {3, 4, 5} & set(own) and all(own.count(d) <= 2 for d in own if d != 1)
+
+
+@needs_tables
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_same_rows(spark, name):
     import duckdb
@@ -32,5 +87,5 @@ def test_same_rows(spark, name):
 
     con = duckdb.connect()
     for t in TABLES:
-        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    assert rows(queries.QUERIES[name](spark, SF).toPandas()) == rows(con.sql(queries.ORACLES[name]).df())
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    assert rows(queries.QUERIES[name](spark, SF).toPandas()) == rows(con.execute(queries.ORACLES[name]).df())
