@@ -277,9 +277,14 @@ def has_surface(text: str | Column, surface: str | Column) -> Column:
     return F.regexp_like(squeeze(col(text)), quoted)
 
 
+def last_part(c: Column, ends: str) -> Column:
+    """What stands after the last line feed or character of `ends`; linear in the text, unlike an expression anchored at the end."""
+    return F.right(c, F.length(F.substring_index(F.translate(c, ends, "\n" * len(ends)), "\n", -1)))
+
+
 def scope_prefix(text: str | Column, start: str | Column, contrasts: tuple[str, ...]) -> Column:
     """The part of the clause before `start`: after the last of newline . ; : and the last contrast word."""
-    before = F.regexp_extract(F.lower(F.substring(col(text), F.lit(1), col(start))), "[^\\n.;:]*$", 0)
+    before = last_part(F.lower(F.substring(col(text), F.lit(1), col(start))), ".;:")
     return F.regexp_replace(before, "^(?s).*(?:" + "|".join(map(re.escape, contrasts)) + ")", "") if contrasts else before
 
 
@@ -291,7 +296,7 @@ def local_window(text: str | Column, start: str | Column, end: str | Column, bef
 def sentence_context(text: str | Column, start: str | Column, end: str | Column) -> Column:
     """The sentence around a span, trimmed."""
     t, s, e = col(text), col(start), col(end)
-    left = F.regexp_extract(F.substring(t, F.lit(1), s), "[^.!?;\\n]*$", 0)
+    left = last_part(F.substring(t, F.lit(1), s), ".!?;")
     right = F.regexp_extract(F.substring(t, e + 1, F.length(t)), "^[^.!?;\\n]*", 0)
     return F.regexp_replace(F.concat(left, F.substring(t, s + 1, e - s), right), "(?U)^\\s+|\\s+$", "")
 

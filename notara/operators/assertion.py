@@ -89,22 +89,28 @@ def apply_cues(found: DataFrame, entities: DataFrame, key: str = "document_id")
     return joined.withColumn("confidence", F.round(F.col("cue_confidence") * F.greatest(F.lit(LEAST_FACTOR), 1.0 - gap / DECAY), 4))
 
 
-def assertions(entities: DataFrame, evidence: DataFrame, key: str = "document_id", types: tuple[str, ...] = ASSERTION_TYPES) -> DataFrame:
-    """entities with assertions (sorted labels), assertion_confidence (least of the labels' greatest; 1 if none), needs_verification, evidence."""
+def _shown(evidence: DataFrame, key: str) -> DataFrame:
+    """The evidence of each entity as an array, in the order of the cues."""
+    return evidence.groupBy(key, "entity_index").agg(F.transform(F.sort_array(F.collect_list(F.struct("cue_ord", "label", "cue", "cue_start", "cue_end", "scope_start", "scope_end", "confidence"))), lambda x: x.dropFields("cue_ord")).alias("evidence"))
+
+
+def assertions(entities: DataFrame, evidence: DataFrame, key: str = "document_id", types: tuple[str, ...] = ASSERTION_TYPES, show: bool = True) -> DataFrame:
+    """entities with assertions (sorted labels), assertion_confidence (least of the labels' greatest; 1 if none), needs_verification, and (show) evidence."""
     label = evidence.groupBy(key, "entity_index", "label").agg(F.max("confidence").alias("c"))
     per = label.groupBy(key, "entity_index").agg(F.sort_array(F.collect_set("label")).alias("_labels"), F.min("c").alias("_conf"))
-    shown = evidence.groupBy(key, "entity_index").agg(F.transform(F.sort_array(F.collect_list(F.struct("cue_ord", "label", "cue", "cue_start", "cue_end", "scope_start", "scope_end", "confidence"))), lambda x: x.dropFields("cue_ord")).alias("evidence"))
+    if show:
+        per = per.join(_shown(evidence, key), [key, "entity_index"])
     ok = F.col("entity_type").isin(*types)
-    out = entities.join(per.join(shown, [key, "entity_index"]), [key, "entity_index"], "left")
+    out = entities.join(per, [key, "entity_index"], "left")
     labels = F.when(ok & F.col("_labels").isNotNull(), F.col("_labels")).otherwise(F.array().cast("array<string>"))
     conf = F.when(ok & F.col("_conf").isNotNull(), F.col("_conf")).otherwise(1.0)
     return out.withColumns({"assertions": labels, "assertion_confidence": conf, "needs_verification": (F.size(labels) > 0) & (conf < VERIFY_BELOW), "assertion_source": F.lit("rule_scope")}).drop("_labels", "_conf")
 
 
-def detect(docs: DataFrame, entities: DataFrame, rules=RULES, boundary: str = BOUNDARY, key: str = "document_id") -> DataFrame:
+def detect(docs: DataFrame, entities: DataFrame, rules=RULES, boundary: str = BOUNDARY, key: str = "document_id", show: bool = True) -> DataFrame:
     """assertions() of entities(key, entity_index, entity_type, start, end) in docs(key, raw_text)."""
     usable = entities.where(F.col("entity_type").isin(*ASSERTION_TYPES))
-    return assertions(entities, apply_cues(cues(docs, rules, boundary, key), usable, key), key)
+    return assertions(entities, apply_cues(cues(docs, rules, boundary, key), usable, key), key, show=show)
 
 
 def verify(rows: DataFrame, verifier, schema: str | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql.functions import pandas_udf
 
 from ..functions.text import confidence, mention_key, mention_key_py, tokens
 from ..schemas import DOUBLE, STRING
+from ..tables import save
 from .models import answer
 
 # Retrieval, fusion and decision parameters.
@@ -246,17 +247,20 @@ def link(mentions: DataFrame, ontology: DataFrame, name: str, key: str = "query_
     the fusion of what BM25 and the given retrievers (see dense_retriever) find.  An ambiguous decision
     goes to chooser(query, codes) if there is one.  Mentions without candidates are `not_found`.
     """
-    hits = exact(mentions.select(key, "mention"), alias_index(ontology))
+    hits = save(exact(mentions.select(key, "mention"), alias_index(ontology)).select(key, "code"), "exact")
     per = hits.groupBy(key).agg(F.count("*").alias("n"), F.min("code").alias("only"))
-    one = per.where("n = 1").select(key, F.col("only").alias("selected_code"), F.lit(1.0).alias("confidence"), F.lit("exact_alias").alias("method"), F.lit(False).alias("needs_review"), F.array("only").alias("candidates"))
-    rest = mentions.join(per.where("n = 1").select(key), key, "left_anti").withColumn("query", query_text(name))
-    many = hits.join(per.where("n > 1").select(key), key, "left_semi").withColumn("rank", F.row_number().over(W.partitionBy(key).orderBy("code"))).select(key, "code", "rank")
-    searched = rest.join(per.select(key), key, "left_anti").select(key, "query")
+    named = save(mentions.select(key, "mention", "context").join(per, key, "left"), "mentions")
+    one = named.where("n = 1").select(key, F.col("only").alias("selected_code"), F.lit(1.0).alias("confidence"), F.lit("exact_alias").alias("method"), F.lit(False).alias("needs_review"), F.array("only").alias("candidates"))
+    rest = named.where("n IS NULL OR n > 1").withColumn("query", query_text(name))
+    if rest.isEmpty():
+        return one
+    many = hits.join(named.where("n > 1").select(key), key, "left_semi").withColumn("rank", F.row_number().over(W.partitionBy(key).orderBy("code"))).select(key, "code", "rank")
+    searched = rest.where("n IS NULL").select(key, "query")
     found = [bm25(searched, postings(ontology), RETRIEVE, key).withColumn("source", F.lit("bm25"))]
     found += [r(searched, key).withColumn("source", F.lit("dense" if len(retrievers) == 1 else f"dense{i}")) for i, r in enumerate(retrievers)]
     fused = fuse(*found, key=key).select(key, "code", "rank")
     candidates = many.unionByName(fused).join(rest.select(key, "mention", "query"), key).join(_small(ontology), "code")
-    decided = decide(reranker(candidates, key), key, margin, least)
+    decided = save(decide(reranker(candidates, key), key, margin, least), "decided")
     if chooser is not None:
         decided = disambiguate(decided, chooser, rest.select(key, "query"), key)
     none = rest.select(key).join(decided.select(key), key, "left_anti").select(key, F.lit(None).cast("string").alias("selected_code"), F.lit(0.0).alias("confidence"), F.lit("not_found").alias("method"), F.lit(False).alias("needs_review"), F.array().cast("array<string>").alias("candidates"))

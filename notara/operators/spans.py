@@ -43,9 +43,19 @@ def keep_confident(spans: DataFrame, least: float = 0.3) -> DataFrame:
 
 
 def to_raw_offsets(spans: DataFrame, texts: DataFrame, key: str = "document_id") -> DataFrame:
-    """Spans in raw offsets with the raw text in them; texts(key, raw_text, map).  Bad spans go."""
-    joined = spans.join(texts.select(key, "raw_text", "map"), key).withColumn("_raw", span_to_raw("map", "start", "end")).where("_raw IS NOT NULL")
-    return joined.select(key, *[c for c in spans.columns if c not in (key, "start", "end", "text")], F.col("start").alias("normalized_start"), F.col("end").alias("normalized_end"), F.col("_raw.start").alias("start"), F.col("_raw.end").alias("end"), F.expr("substring(raw_text, _raw.start + 1, _raw.end - _raw.start)").alias("text"))
+    """Spans in raw offsets with the raw text in them; texts(key, raw_text, map).  Bad spans go.
+
+    A document's spans meet its text and map in one row, so neither is copied for each span.
+    """
+    rest = [c for c in spans.columns if c not in (key, "start", "end", "text")]
+    per = spans.groupBy(key).agg(F.collect_list(F.struct(*rest, "start", "end")).alias("_spans")).join(texts.select(key, "raw_text", "map"), key)
+    placed = F.transform("_spans", lambda x: F.struct(x.alias("x"), span_to_raw("map", x["start"], x["end"]).alias("raw")))
+    good = per.select(key, "raw_text", F.filter(placed, lambda y: y["raw"].isNotNull()).alias("_good"))
+    said = F.transform("_good", lambda y: F.struct(
+        *[y["x"][c].alias(c) for c in rest], y["x"]["start"].alias("normalized_start"), y["x"]["end"].alias("normalized_end"), y["raw"]["start"].alias("start"), y["raw"]["end"].alias("end"),
+        F.substring(F.col("raw_text"), y["raw"]["start"] + 1, y["raw"]["end"] - y["raw"]["start"]).alias("text"),
+    ))
+    return good.select(key, said.alias("_said")).select(key, F.explode("_said").alias("s")).select(key, "s.*")
 
 
 def postprocess(predictions: DataFrame, texts: DataFrame | None = None, least: float = 0.3, key: str = "document_id") -> DataFrame:

@@ -39,13 +39,16 @@ def overlap_with_earlier(entities: DataFrame, key: str = "document_id") -> DataF
     return entities.withColumn("overlaps", F.coalesce(F.max("end").over(w) > F.col("start"), F.lit(False)))
 
 
-def output_errors(entities: DataFrame, key: str = "document_id", types=ENTITY_TYPES, labels=ASSERTIONS, linkable=CANDIDATE_TYPES) -> DataFrame:
+def output_errors(entities: DataFrame, key: str = "document_id", types=ENTITY_TYPES, labels=ASSERTIONS, linkable=CANDIDATE_TYPES, texts: DataFrame | None = None) -> DataFrame:
     """entities(raw_text, text, entity_type, start, end, assertions, candidates, entity_index) with errors and warnings (arrays).
 
-    A span out of bounds ends an entity's checks after type and duplicate.
+    A span out of bounds ends an entity's checks after type and duplicate.  raw_text comes from
+    texts(key, raw_text) if they are given: it is then neither sorted nor kept with the entities.
     """
     same = W.partitionBy(key, "start", "end", "entity_type").orderBy("entity_index")
     rows = entities.withColumn("_again", F.row_number().over(same) > 1)
+    if texts is not None:
+        rows = rows.join(texts.select(key, "raw_text"), key)
     out = ~((F.col("start") >= 0) & (F.col("start") < F.col("end")) & (F.col("end") <= F.length("raw_text")))
     unknown = F.sort_array(F.array_except("assertions", F.array(*map(F.lit, labels))))
     some = lambda *c: F.filter(F.array(*c), lambda x: x.isNotNull())
@@ -57,7 +60,7 @@ def output_errors(entities: DataFrame, key: str = "document_id", types=ENTITY_TY
         F.when(~out & (F.size(unknown) > 0), F.concat(F.lit("unknown_assertions:"), F.array_join(unknown, ","))),
     )
     warnings = some(F.when(~out & ~F.col("entity_type").isin(*linkable) & (F.size("candidates") > 0), "candidates_dropped"))
-    return rows.withColumns({"errors": errors, "warnings": warnings}).drop("_again")
+    return rows.withColumns({"errors": errors, "warnings": warnings}).drop("_again", *(() if texts is None else ("raw_text",)))
 
 
 def candidate_errors(entities: DataFrame, known: dict[str, DataFrame], key: str = "document_id") -> DataFrame:

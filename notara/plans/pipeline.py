@@ -61,7 +61,7 @@ class Pipeline:
         """
         texts = save(ner.normalize_documents(docs), "notes")
         found, failed = self._entities(texts)
-        asserted = assertion.detect(texts, found, self.rules, self.boundary)
+        asserted = assertion.detect(texts, found, self.rules, self.boundary, show=False)
         if self.verifier is not None:
             asserted = assertion.verify(asserted.join(texts.select("document_id", "raw_text"), "document_id"), self.verifier).drop("raw_text")
         full = asserted.drop("evidence", "assertion_confidence", "needs_verification", "assertion_source")
@@ -74,7 +74,7 @@ class Pipeline:
                 own = context.where(F.col("entity_type") == kind).select("query_id", F.col("text").alias("mention"), "context")
                 links[kind] = linking.link(own, entries, name, **self.linkers.get(kind, {})).select("query_id.*", "candidates")
             full = linking.route(full, links, ["document_id", "entity_index"])
-        checked = validation.output_errors(full.join(texts.select("document_id", "raw_text"), "document_id"), types=tuple(self.labels))
+        checked = validation.output_errors(full, types=tuple(self.labels), texts=texts)
         return validation.note_outputs(texts.select("document_id", "raw_text"), checked, failed, self.strict, self.include_text)
 
 
