@@ -21,7 +21,7 @@ from ._ctw import Tree, Values, climb, grams, leaves
 from ._shared import fold, lean, read, save
 from ._text import bytes_of, pieces
 
-DEPTH = 3
+DEPTH = 4  # bytes; a shard holds the grams of two context bytes, so each byte more makes the largest shards grow
 FREQUENT_GRAMS = 1 << 20
 FREQUENT = 500_000
 _U = np.uint64

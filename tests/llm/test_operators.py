@@ -273,17 +273,19 @@ def test_lm_rare_words_go_through_shards(docs, monkeypatch):
 
 
 def test_lm_contexts_keep_their_length(spark, monkeypatch):
-    """Context-tree weighting over three bytes, gram by gram, however few grams may be broadcast."""
+    """Context-tree weighting over the operator's depth, gram by gram, however few grams may be broadcast."""
+    deep = lm_score.DEPTH
+    assert deep >= 3
     rng = random.Random(8)
     train, other = [prose(rng, 40).lower() for _ in range(12)], [prose(rng, 30).lower() + " zq\u4e2d", "", "qqq"]
     counts = collections.defaultdict(lambda: [0, 0])
     contexts = collections.defaultdict(set)
 
     def walk(text):
-        data = b"\0\0\0" + text.encode() + b"\0"
-        for i in range(3, len(data)):
+        data = b"\0" * deep + text.encode() + b"\0"
+        for i in range(deep, len(data)):
             for k in range(8):
-                yield [(data[i - d : i], (1 << k) | (data[i] >> (8 - k))) for d in range(4)], (data[i] >> (7 - k)) & 1
+                yield [(data[i - d : i], (1 << k) | (data[i] >> (8 - k))) for d in range(deep + 1)], (data[i] >> (7 - k)) & 1
 
     for t in train:
         for path, bit in walk(t):
@@ -295,7 +297,7 @@ def test_lm_contexts_keep_their_length(spark, monkeypatch):
     weighted, share = {}, {}
     for node in sorted(counts, key=lambda x: -len(x[0])):
         own = kt(*counts[node])
-        if len(node[0]) == 3:
+        if len(node[0]) == deep:
             weighted[node], share[node] = own, 1.0
         else:
             longer = sum(weighted[x] for x in contexts[node])
