@@ -302,6 +302,7 @@ def fit(train: DataFrame, sample: int = SAMPLE):
     centre, var = open_
     for r in spread.collect():
         centre[models.languages.index(r["lang_pred"])], var[models.languages.index(r["lang_pred"])] = r["m"], r["v"]
+    first.destroy()
     return spark.sparkContext.broadcast((models, (centre, var)))
 
 
