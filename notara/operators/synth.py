@@ -130,8 +130,11 @@ def make_case(case_id: str, seed: str, pools: dict[str, list[dict]], negatives:
 def generate_cases(spark: SparkSession, n: int, seed: int, surfaces: DataFrame, negatives: list[str] = (), first: int = 0) -> DataFrame:
     """n case specs from surfaces(text, entity_type, candidates); reruns agree, whatever the partitions.
 
-    Every case draws from the whole pool, so it goes to the workers; it is a catalog of at most MOST_POOL surfaces.
+    Every case draws from the whole pool, so it goes to the workers; it is a catalog of at most MOST_POOL
+    surfaces.  Surfaces of linkable types that are marked as unusable for linking are left out.
     """
+    if "usable_for_linking" in surfaces.columns:
+        surfaces = surfaces.where(~F.col("entity_type").isin(*CANDIDATE_TYPES) | F.coalesce("usable_for_linking", F.lit(True)))
     rows = surfaces.select("text", "entity_type", "candidates", match_key("text").alias("key")).limit(MOST_POOL + 1).collect()
     if len(rows) > MOST_POOL:
         raise ValueError(f"more than {MOST_POOL} surfaces: draw a pool first")
