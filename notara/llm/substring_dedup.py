@@ -9,6 +9,8 @@ than the window's.
    pages of all partitions are merged, and each merged page keeps one bit a cell: counted twice or more.
 2. With those bits each text finds the windows that are estimated repeated.  Texts without any are
    done.  The others' windows go to their hash's shard (see _parcels), which counts them exactly.
+   The bits are broadcast while a sketch row has at most MOST_CELLS cells; those of a larger sketch stay
+   in shards of whole pages, and the texts' cells are looked up there.
 3. Each parcel of texts gets its answers back and removes the covered words.
 """
 
@@ -22,15 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _parcels as P
-from ._shared import lean, read, texts_of
+from ._shared import lean, read, save, texts_of
 from ._text import SPACES, Words, bytes_of, inside, pieces, rolled
 
 WINDOW, GRAM = 35, 16
 ROWS, PAGE = 2, 1 << 16
-#: Cells of a sketch row: about 4 for each key, 2 ** 29 at most, so the merged bits that are broadcast
-#: are 128 MB at most.  A fuller sketch estimates more windows repeated and loses none.
+#: A sketch row has about 4 cells for each key.  The merged bits of 2 ** 29 cells, the most that are broadcast,
+#: are 128 MB for both rows.
 MOST_CELLS = 1 << 29
 HELD = 2_000_000
+_STEPS = [np.uint64(0x9E3779B97F4A7C15)]  # odd, one for each sketch row after the first
 _U = np.uint64
 
 
@@ -59,7 +62,10 @@ def windows(words: Words, hashes: np.ndarray, window: int, gram: int) -> tuple[n
 
 
 def cells(keys: np.ndarray, row: int, width: int) -> np.ndarray:
-    return ((keys >> _U(31 * row)) & _U(width - 1)).astype(np.int64)
+    """The keys' cells in a sketch row: their last bits, or the first ones of a multiple."""
+    if not row:
+        return (keys & _U(width - 1)).astype(np.int64)
+    return ((keys * _STEPS[row - 1]) >> _U(65 - width.bit_length())).astype(np.int64)
 
 
 def _sketch(width: int, window: int, gram: int):
@@ -104,9 +110,14 @@ def _merge(key, table):
     return pa.table({"row": pa.array([key[0].as_py()], pa.int32()), "page": pa.array([key[1].as_py()], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
 
 
+def merged_pages(texts: DataFrame, width: int, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """(row, page, bits): of each page of each sketch row the packed bits of the cells that are counted at least twice."""
+    return texts.mapInArrow(lean(_sketch(width, window, gram)), "row int, page int, cells binary, twice binary").groupBy("row", "page").applyInArrow(_merge, "row int, page int, bits binary")
+
+
 def repeated_cells(texts: DataFrame, width: int, window: int = WINDOW, gram: int = GRAM) -> list[np.ndarray]:
-    """Of each sketch row the packed bits of the cells that are counted at least twice."""
-    merged = texts.mapInArrow(lean(_sketch(width, window, gram)), "row int, page int, cells binary, twice binary").groupBy("row", "page").applyInArrow(_merge, "row int, page int, bits binary")
+    """The merged bits of each sketch row as one array."""
+    merged = merged_pages(texts, width, window, gram)
     bits = [np.zeros(max(1, width // 8), np.uint8) for _ in range(ROWS)]
     for r in merged.toLocalIterator():
         bits[r["row"]][r["page"] * PAGE // 8 : (r["page"] + 1) * PAGE // 8] = np.frombuffer(r["bits"], np.uint8)
@@ -132,6 +143,27 @@ def _digests(p: Words, keep: np.ndarray) -> list[str]:
     return [hashlib.sha256(view[a : max(a, b - 1)]).hexdigest() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
 
+def _parcel(ids: list, p: Words, h: np.ndarray, place: np.ndarray, lengths: np.ndarray, window: int, shard_bits: int) -> pa.RecordBatch:
+    """The parcel of texts whose windows at `place` may be repeated."""
+    whole = rolled(h, window)[place] if len(place) else np.empty(0, _U)
+    keys = np.unique(whole)
+    # the texts themselves go along only where a window may be removed
+    doc = np.searchsorted(p.first, place, "right") - 1
+    needed = np.zeros(len(p.first) - 1, bool)
+    needed[doc] = True
+    count = np.diff(p.first)
+    done = np.array(_digests(p, np.ones(len(h), bool)), dtype=object)
+    starts = np.diff(place, prepend=-2) != 1
+    run = np.flatnonzero(starts)
+    body = {
+        "doc_id": ids, "n_words": count, "digest": done[~needed].tolist(), "needed": needed,
+        "text": p.data[np.repeat(needed, lengths)].tobytes(), "lengths": lengths[needed], "keys": keys[:0],
+        # runs of places, counted in the words of the needed texts only
+        "run": (np.concatenate(([0], np.cumsum(np.where(needed, count, 0))))[doc[run]] + place[run] - p.first[doc[run]]), "length": np.diff(np.append(run, len(place))),
+    }
+    return P.rows(body, keys, shard_bits)
+
+
 def _candidates(bits, width: int, window: int, gram: int, shard_bits: int):
     def scan(batches):
         rows = bits.value
@@ -144,30 +176,85 @@ def _candidates(bits, width: int, window: int, gram: int, shard_bits: int):
                 for r in range(ROWS):
                     cell = cells(key, r, width)
                     maybe &= (rows[r][cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
-                place = place[maybe]
-                whole = rolled(h, window)[place] if len(place) else np.empty(0, _U)
-                keys = np.unique(whole)
-                # the texts themselves go along only where a window may be removed
-                doc = np.searchsorted(p.first, place, "right") - 1
-                needed = np.zeros(p.hi - p.lo, bool)
-                needed[doc] = True
-                count = np.diff(p.first)
-                done = np.array(_digests(p, np.ones(len(h), bool)), dtype=object)
                 at = bytes_of(batch.column("text").slice(p.lo, p.hi - p.lo))[1]
-                lengths = np.diff(at)
-                starts = np.diff(place, prepend=-2) != 1
-                run = np.flatnonzero(starts)
-                body = {
-                    "doc_id": ids[p.lo : p.hi], "n_words": count, "digest": done[~needed].tolist(), "needed": needed,
-                    "text": p.data[np.repeat(needed, lengths)].tobytes(), "lengths": lengths[needed], "keys": keys[:0],
-                    # runs of places, counted in the words of the needed texts only
-                    "run": (np.concatenate(([0], np.cumsum(np.where(needed, count, 0))))[doc[run]] + place[run] - p.first[doc[run]]), "length": np.diff(np.append(run, len(place))),
-                }
-                yield P.rows(body, keys, shard_bits)
+                yield _parcel(ids[p.lo : p.hi], p, h, place[maybe], np.diff(at), window, shard_bits)
+
+    return scan
+
+
+# ---- a sketch in shards ---------------------------------------------------------------------------
+
+
+def _lookups(key: np.ndarray, width: int) -> np.ndarray:
+    """The cells of the keys in all rows as 64-bit numbers whose leading bits are row and cell: row by row."""
+    free = _U(64 - (ROWS * width).bit_length() + 1)
+    return np.concatenate([(cells(key, r, width) + r * width).astype(_U) << free for r in range(ROWS)])
+
+
+def _ask(width: int, window: int, gram: int, cell_bits: int):
+    def scan(batches):
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            for p in pieces(batch.column("text")):
+                _, key, _ = windows(p, p.hashes(), window, gram)
+                at = bytes_of(batch.column("text").slice(p.lo, p.hi - p.lo))[1]
+                yield P.rows({"doc_id": ids[p.lo : p.hi], "text": p.data.tobytes(), "lengths": np.diff(at)}, np.unique(_lookups(key, width)), cell_bits)
 
     return scan
 
 
+def _look_up(width: int):
+    def look_up(keys, table):
+        free = _U(64 - (ROWS * width).bit_length() + 1)
+        pages = {(r, n): np.frombuffer(b.as_py(), np.uint8) for r, n, b in zip(table.column("row").to_pylist(), table.column("page").to_pylist(), table.column("bits"), strict=True)}
+        out = []
+        for k in keys:
+            row, cell = np.divmod((k >> free).astype(np.int64), width)
+            page, low = np.divmod(cell, PAGE)
+            hit = np.zeros(len(k), bool)
+            first = np.flatnonzero((np.diff(page, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))  # keys are sorted
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(k)], strict=True):
+                bits = pages.get((int(row[a]), int(page[a])))
+                if bits is not None:
+                    hit[a:b] = (bits[low[a:b] >> 3] >> (low[a:b] & 7).astype(np.uint8)) & 1 == 1
+            out.append(hit)
+        return out
+
+    return look_up
+
+
+def _texts(body: dict) -> pa.LargeStringArray:
+    offsets = np.concatenate(([0], np.cumsum(body["lengths"])))
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(body["text"]))
+
+
+def _told(width: int, window: int, gram: int, shard_bits: int):
+    """The parcels of the exact pass, from a parcel of texts and the answers about its cells."""
+
+    def told(body, hit):
+        (p,) = pieces(_texts(body), 1 << 62)
+        h = p.hashes()
+        place, key, _ = windows(p, h, window, gram)
+        asked = _lookups(key, width)
+        found = hit[np.searchsorted(np.unique(asked), asked)] if len(asked) else np.empty(0, bool)
+        maybe = found.reshape(ROWS, -1).all(axis=0)
+        return pa.Table.from_batches([_parcel(body["doc_id"], p, h, place[maybe], body["lengths"], window, shard_bits)])
+
+    return told
+
+
+def _sharded(texts: DataFrame, width: int, window: int, gram: int, shard_bits: int) -> DataFrame:
+    cell_bits = max(3, (ROWS * width // (256 * PAGE)).bit_length())  # 256 pages of 8 KB in a shard
+    pages = save(merged_pages(texts.select("text"), width, window, gram), "pages")
+    per = ROWS * width >> cell_bits  # cells of a shard
+    table = pages.withColumn("shard", F.floor((F.col("row").cast("long") * width + F.col("page").cast("long") * PAGE) / per).cast("int")) if per >= PAGE else None
+    if table is None:  # a page spans shards
+        spans = PAGE // per
+        table = pages.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(spans - 1)))).withColumn("shard", (F.floor((F.col("row").cast("long") * width + F.col("page").cast("long") * PAGE) / per) + F.col("shard")).cast("int"))
+    asked = P.send(texts, _ask(width, window, gram, cell_bits), "asked")
+    return save(P.answer(asked, table, _look_up(width), _told(width, window, gram, shard_bits), bool, P.SCHEMA), "passages")
+
+
 def _pack(keys: np.ndarray, whole: np.ndarray) -> np.ndarray:
     """Whether each key occurs at two places of its own parcel."""
     return np.bincount(np.searchsorted(keys, whole), minlength=len(keys)) > 1
@@ -187,9 +274,7 @@ def _finish(window: int):
         digest = np.empty(len(needed), dtype=object)
         digest[~needed] = body["digest"]
         if needed.any():
-            offsets = np.concatenate(([0], np.cumsum(body["lengths"])))
-            text = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(body["text"]))
-            (p,) = pieces(text, 1 << 62)
+            (p,) = pieces(_texts(body), 1 << 62)
             place = np.repeat(body["run"] - np.concatenate(([0], np.cumsum(body["length"])[:-1])), body["length"]) + np.arange(body["length"].sum())
             whole = rolled(p.hashes(), window)[place]
             keys = np.unique(whole)
@@ -219,11 +304,14 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     texts = texts_of(docs)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     width = PAGE
-    while width < MOST_CELLS and width < size / 15:
+    while width < size / 15 and width < 1 << 60:
         width *= 2
-    bits = spark.sparkContext.broadcast(repeated_cells(texts.select("text"), width, window, gram))
     shard_bits = P.shard_bits(size // 25)
-    sent = P.send(texts, _candidates(bits, width, window, gram, shard_bits), "passages")
+    if width > MOST_CELLS:
+        sent = _sharded(texts, width, window, gram, shard_bits)
+    else:
+        bits = spark.sparkContext.broadcast(repeated_cells(texts.select("text"), width, window, gram))
+        sent = P.send(texts, _candidates(bits, width, window, gram, shard_bits), "passages")
     return P.answer(sent, None, _reply, _finish(window), bool, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
