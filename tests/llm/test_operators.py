@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from notara.llm import _ctw, _minhash, _text, bpe, exact_dedup, language_id, lm_score, mixing, near_dedup, quality, substring_dedup, token_counts, toxicity
+from notara.llm import _ctw, _minhash, _parcels, _text, bpe, exact_dedup, language_id, lm_score, mixing, near_dedup, quality, substring_dedup, token_counts, toxicity
 from notara.llm.components import connected_components
 
 W = re.compile(r"[^\x20\x09-\x0D]+")
@@ -158,6 +158,22 @@ def test_repeated_passages(docs, rows, nothing):
     assert any(n for _, _, n, _ in want) and substring_dedup.repeated_passages(nothing).count() == 0
 
 
+def test_sketch_in_shards(docs, monkeypatch):
+    """A sketch that is too large to broadcast is looked up in shards, with the same result; pages may span shards or share one."""
+    want = sorted(tuple(r) for r in substring_dedup.repeated_passages(docs.where("doc_id IS NOT NULL")).collect())
+    monkeypatch.setattr(substring_dedup, "MOST_CELLS", 1)
+    assert sorted(tuple(r) for r in substring_dedup.repeated_passages(docs.where("doc_id IS NOT NULL")).collect()) == want
+    width = 1 << 20
+    sent = substring_dedup._sharded(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), width, 35, 16, 3)
+    again = _parcels.answer(sent, None, substring_dedup._reply, substring_dedup._finish(35), bool, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    assert sorted(tuple(r) for r in again.collect()) == want
+    key = np.random.default_rng(1).integers(0, 1 << 62, 500).astype(np.uint64)
+    asked = substring_dedup._lookups(key, width)
+    assert (np.diff(np.sort(asked) >> np.uint64(43)) >= 0).all() and (asked >> np.uint64(43) < 2 * width).all()
+    cell = [substring_dedup.cells(key, r, width) for r in range(2)]
+    assert ((asked >> np.uint64(43)).astype(np.int64) == np.concatenate((cell[0], cell[1] + width))).all() and max(map(max, cell)) < width
+
+
 def test_sketch_never_underestimates():
     import pyarrow as pa
 
