@@ -35,7 +35,7 @@ from ._text import pieces, prefix_hashes
 EXAMPLES = {1: 4_000, 0: 4_000}
 BEGINNING = 5  # letters
 SMOOTH = 5.0  # examples' worth of the common share that every term's odds start from
-NEIGHBOURS, BLOCK, LONG, QUERIES = 15, 64, 1_024, 64
+NEIGHBOURS, BLOCK, LONG, QUERIES = 15, 64, 2_048, 128
 NEAR = 0.02  # added to the distance of a neighbour
 THRESHOLD = 0.7
 SEEN = 20_000  # scores of texts that repeat, in a worker
