@@ -279,7 +279,7 @@ def has_surface(text: str | Column, surface: str | Column) -> Column:
 
 def last_part(c: Column, ends: str) -> Column:
     """What stands after the last line feed or character of `ends`; linear in the text, unlike an expression anchored at the end."""
-    return F.right(c, F.length(F.substring_index(F.translate(c, ends, "\n" * len(ends)), "\n", -1)))
+    return F.reverse(F.regexp_extract(F.reverse(c), f"^[^{ends}\\n]*", 0))
 
 
 def scope_prefix(text: str | Column, start: str | Column, contrasts: tuple[str, ...]) -> Column:

@@ -249,11 +249,13 @@ def link(mentions: DataFrame, ontology: DataFrame, name: str, key: str = "query_
     """
     hits = save(exact(mentions.select(key, "mention"), alias_index(ontology)).select(key, "code"), "exact")
     per = hits.groupBy(key).agg(F.count("*").alias("n"), F.min("code").alias("only"))
-    named = save(mentions.select(key, "mention", "context").join(per, key, "left"), "mentions")
+    named = save(mentions.select(key, "mention").join(per, key, "left"), "mentions")
     one = named.where("n = 1").select(key, F.col("only").alias("selected_code"), F.lit(1.0).alias("confidence"), F.lit("exact_alias").alias("method"), F.lit(False).alias("needs_review"), F.array("only").alias("candidates"))
-    rest = named.where("n IS NULL OR n > 1").withColumn("query", query_text(name))
+    rest = named.where("n IS NULL OR n > 1")
     if rest.isEmpty():
         return one
+    # only these need their context
+    rest = save(rest.join(mentions.select(key, "context"), key).withColumn("query", query_text(name)).drop("context"), "queries")
     many = hits.join(named.where("n > 1").select(key), key, "left_semi").withColumn("rank", F.row_number().over(W.partitionBy(key).orderBy("code"))).select(key, "code", "rank")
     searched = rest.where("n IS NULL").select(key, "query")
     found = [bm25(searched, postings(ontology), RETRIEVE, key).withColumn("source", F.lit("bm25"))]
