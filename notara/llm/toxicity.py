@@ -8,8 +8,9 @@ example has.  Nothing is chosen or left out by a threshold.
 
 The examples' unit vectors stand in an inverted index whose long lists are cut into blocks of examples,
 with the greatest weight of each term in each block.  A query takes the blocks of the greatest upper
-bounds first and leaves out those whose bound is below its k-th neighbour, so neighbours are exact
-(single precision finds them with a margin, double precision decides).
+bounds first and leaves out those whose bound is below a lower bound of its k-th neighbour (no weight is
+negative, so what the short lists alone give is one), so neighbours are exact (single precision finds
+them with a margin, double precision decides).
 Votes weighted by distance, made into probabilities by isotonic regression over leave-one-out votes
 of the examples, are the scores; the neighbours are the evidence.
 
@@ -162,7 +163,7 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Inverted index of unit vectors in blocks of BLOCK examples.
+    """Inverted index of unit vectors without negative weights in blocks of BLOCK examples.
 
     The lists of the LONG most frequent terms are stored dense, block by block, with the greatest weight of
     each term in each block; the others are short and stored as rows and weights.
@@ -215,26 +216,29 @@ class BlockMaxIndex:
         lists, n = self._lists(), len(vectors)
         blocks = len(lists["most"])
         width = blocks * BLOCK
-        size = np.array([len(at) for at, _ in vectors])
-        owner, at = np.repeat(np.arange(n), size), np.concatenate([at for at, _ in vectors])
-        weight = np.concatenate([w for _, w in vectors])
-        column = lists["column"][at]
-        dense = column >= 0
         query = np.zeros((n, len(self.long)), np.float32)
-        query[owner[dense], column[dense]] = weight[dense]
-        # the short lists, read whole
-        at, owner, weight = at[~dense], owner[~dense], weight[~dense]
-        start = lists["start"][at]
-        length = lists["start"][at + 1] - start
-        spot = _ranges(start, length)
-        sums = np.bincount(np.repeat(owner * width, length) + lists["rows"][spot], np.repeat(weight, length) * lists["weights"][spot], n * width).reshape(n, width).astype(np.float32)
+        short = np.empty((n, width))
+        dense = []
+        for i, (at, weight) in enumerate(vectors):
+            column = lists["column"][at]
+            own = column >= 0
+            dense.append((column[own], weight[own]))
+            query[i, column[own]] = weight[own]
+            # the short lists, read whole
+            at, weight = at[~own], weight[~own]
+            start = lists["start"][at]
+            length = lists["start"][at + 1] - start
+            spot = _ranges(start, length)
+            short[i] = np.bincount(lists["rows"][spot], np.repeat(weight, length) * lists["weights"][spot], width)
+        sums = short.astype(np.float32)
         # the long ones by blocks, those of the greatest bounds first
         bound = sums.reshape(n, blocks, BLOCK).max(axis=2) + query @ lists["most"].T + 1e-5
         done = np.zeros((n, blocks), bool)
         first = np.argpartition(-bound, min(4, blocks) - 1, axis=1)[:, : min(4, blocks)]
         done[np.arange(n)[:, None], first] = True
         self._add(query, sums, done, lists["table"])
-        known = np.where(np.repeat(done, BLOCK, axis=1), sums, -1.0)
+        # no weight is negative, so in the other blocks the short lists' part is a lower bound
+        known = sums.copy()
         if leave is not None:
             place = np.empty(self.size, np.int64)
             place[self.order] = np.arange(self.size)
@@ -246,7 +250,7 @@ class BlockMaxIndex:
         sums[:, self.size :] = -1.0
         if leave is not None:
             sums[np.arange(n), place[leave]] = -1.0
-        return [self._exact(own, *vectors[i], k) for i, own in enumerate(sums)]
+        return [self._exact(sums[i], short[i], *dense[i], k) for i in range(n)]
 
     @staticmethod
     def _add(query, sums, wanted, table):
@@ -254,18 +258,17 @@ class BlockMaxIndex:
             q = np.flatnonzero(wanted[:, b])
             sums[q, b * BLOCK : (b + 1) * BLOCK] += query[q] @ table[b * BLOCK : (b + 1) * BLOCK].T
 
-    def _exact(self, sums, at, weight, k):
-        """The k nearest by cosines in double precision, from all rows that single precision can't tell from the k-th."""
-        if not len(at):
-            return np.empty(0, np.int64), np.empty(0)
+    def _exact(self, sums, short, column, weight, k):
+        """The k nearest by cosines in double precision, from all rows that single precision can't tell from the k-th.
+
+        short: the short lists' part of the cosines; column, weight: the query's terms in the long lists.
+        """
         least = -np.partition(-sums, k - 1)[k - 1] if len(sums) >= k else -1.0
         row = np.flatnonzero(sums >= max(least - 2e-5, -0.5))
-        value = self._lists().setdefault("query", np.zeros(self.terms))
-        value[at] = weight
-        length = self.cut[row + 1] - self.cut[row]
-        spot = _ranges(self.cut[row], length)
-        cosine = np.bincount(np.repeat(np.arange(len(row)), length), value[self.term[spot]] * self.weight[spot], len(row))
-        value[at] = 0.0
+        cosine, table = short[row], self._lists()["table"]
+        for lo in range(0, len(row), 256):
+            # summed in one order for every row, so that copies tie
+            cosine[lo : lo + 256] += (table[row[lo : lo + 256, None], column] * weight).sum(axis=1)
         some = np.flatnonzero(cosine > 1e-12)
         found, cosine = self.order[row[some]], np.round(cosine[some], 12)
         best = np.lexsort((found, -cosine))[:k]

@@ -502,6 +502,25 @@ def test_block_max_neighbours_are_exact(monkeypatch):
                 assert near.tolist() == want.tolist() and np.allclose(sims, cosine[want])
 
 
+def test_block_max_leaves_out_blocks_by_the_short_lists(monkeypatch):
+    """Fifteen neighbours in as many blocks: what the short lists give them leaves out the other blocks."""
+    monkeypatch.setattr(toxicity, "LONG", 1)
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    # term 0 is everyone's, term 1 that of the first in each of 15 blocks; the others stand in blocks of 16 alike
+    vectors = []
+    for i in range(640):
+        near = i % 32 == 0 and i < 480
+        w = np.array([0.1, 0.4, 1.0] if near else [0.1, 1.0])
+        vectors.append((np.array([0, 1, 2 + i // 16] if near else [0, 2 + i // 16]), (w / np.sqrt(w @ w)).astype(np.float32).astype(float)))
+    cut = np.concatenate(([0], np.cumsum([len(at) for at, _ in vectors])))
+    index = toxicity.BlockMaxIndex(np.concatenate([at for at, _ in vectors]), np.concatenate([w for _, w in vectors]), cut, 42)
+    seen, add = [], toxicity.BlockMaxIndex._add
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "_add", staticmethod(lambda query, sums, wanted, table: (seen.append(int(wanted.sum())), add(query, sums, wanted, table))))
+    ((near, sims),) = index.nearest([(np.array([0, 1]), np.array([0.6, 0.8]))], 15)
+    assert near.tolist() == list(range(0, 480, 32)) and np.allclose(sims, (0.06 + 0.32) / np.sqrt(1.17))
+    assert sum(seen) == 15
+
+
 def test_toxicity_matches_brute_force(spark):
     """Terms, weights, neighbours, vote, calibration and score, recomputed in plain Python."""
     rng = random.Random(21)
