@@ -10,12 +10,10 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..tables import drop, save, scratch  # noqa: F401
+from ..tables import bound_batches, drop, save, scratch  # noqa: F401
 
 #: Broadcast at most this many keys of a table whose size has been counted.
 BROADCAST_KEYS = 1_000_000
-#: Rows and bytes of an Arrow batch where the session has Spark's defaults of 10,000 and 64 MB: a worker holds a batch of whole texts.
-BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 #: Characters of a long text that are worked on at a time, where the work can be cut.
 PART = 1 << 17
 
@@ -37,14 +35,6 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total
     return rows.join(F.broadcast(large), keys).unionByName(rest)
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Smaller Arrow batches for the rest of the session, unless it sets its own."""
-    for key, default, value in (("maxRecordsPerBatch", "10000", BATCH_ROWS), ("maxBytesPerBatch", "67108864", BATCH_BYTES)):
-        key = f"spark.sql.execution.arrow.{key}"
-        if spark.conf.get(key, default).lower() in (default, "64mb", "64m", f"{default}b"):
-            spark.conf.set(key, str(value))
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
