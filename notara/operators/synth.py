@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_icd_code, is_rxnorm_id, match_key
 from ..schemas import ASSERTION_TYPES, ASSERTIONS, CANDIDATE_TYPES, DIAGNOSIS, DRUG, ENTITY_TYPES, LAB_NAME, LAB_RESULT, SYMPTOM
+from ..tables import save
 from . import export, markers, validation
 
 # Laboratory tests (unit, normal range, decimals).
@@ -130,24 +132,86 @@ def make_case(case_id: str, seed: str, pools: dict[str, list[dict]], negatives:
 def generate_cases(spark: SparkSession, n: int, seed: int, surfaces: DataFrame, negatives: list[str] = (), first: int = 0) -> DataFrame:
     """n case specs from surfaces(text, entity_type, candidates); reruns agree, whatever the partitions.
 
-    Every case draws from the whole pool, so it goes to the workers; it is a catalog of at most MOST_POOL
-    surfaces.  Surfaces of linkable types that are marked as unusable for linking are left out.
+    Every case draws from the whole pool.  A pool of at most MOST_POOL surfaces goes to the workers; of a
+    larger one only its sizes do, and cases are made in rounds: a surface that a case draws by its number
+    and does not have yet is looked up for the next round, and taken for unused until then.  Surfaces of
+    linkable types that are marked as unusable for linking are left out.
     """
     if "usable_for_linking" in surfaces.columns:
         surfaces = surfaces.where(~F.col("entity_type").isin(*CANDIDATE_TYPES) | F.coalesce("usable_for_linking", F.lit(True)))
-    rows = surfaces.select("text", "entity_type", "candidates", match_key("text").alias("key")).limit(MOST_POOL + 1).collect()
-    if len(rows) > MOST_POOL:
-        raise ValueError(f"more than {MOST_POOL} surfaces: draw a pool first")
+    pool = surfaces.select("text", "entity_type", F.coalesce("candidates", F.array().cast("array<string>")).alias("candidates"), match_key("text").alias("key"))
+    ids = spark.range(first, first + n)
+    if pool.limit(MOST_POOL + 1).count() > MOST_POOL:
+        return _in_rounds(ids, seed, save(_numbered(pool), "pool"), sorted(negatives))
     pools: dict[str, list[dict]] = {}
-    for r in sorted(rows, key=lambda r: (r["entity_type"], r["text"], r["candidates"] or [])):
-        pools.setdefault(r["entity_type"], []).append({"text": r["text"], "key": r["key"], "candidates": list(r["candidates"] or [])})
+    for r in sorted(pool.collect(), key=lambda r: (r["entity_type"], r["text"], r["candidates"])):
+        pools.setdefault(r["entity_type"], []).append({"text": r["text"], "key": r["key"], "candidates": list(r["candidates"])})
     shared = spark.sparkContext.broadcast((pools, sorted(negatives)))
 
     def make(batches):
         for pdf in batches:
             yield pd.DataFrame([make_case(f"case_{i:06d}", f"{seed}:{i}", *shared.value) for i in pdf["id"]], columns=["case_id", "profile", "noise", "sections"])
 
-    return spark.range(first, first + n).mapInPandas(make, SPEC)
+    return ids.mapInPandas(make, SPEC)
+
+
+def _numbered(pool: DataFrame) -> DataFrame:
+    """pool with number: the place of a surface among those of its type, by text and candidates.  Sorted over all executors."""
+    ordered = save(pool.orderBy("entity_type", "text", "candidates").withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_at", 33)  # rows of a partition are numbered from the partition's number << 33
+    counts = sorted(ordered.groupBy(part.alias("p"), "entity_type").agg(F.count("*").alias("k"), F.min("_at").alias("lo")).collect(), key=lambda r: (r["entity_type"], r["p"]))
+    before: dict[str, int] = {}
+    shifts = []
+    for r in counts:
+        shifts.append((r["p"], r["entity_type"], before.get(r["entity_type"], 0) - r["lo"]))
+        before[r["entity_type"]] = before.get(r["entity_type"], 0) + r["k"]
+    shift = pool.sparkSession.createDataFrame(shifts, "_p long, entity_type string, _shift long")
+    return ordered.withColumn("_p", part).join(F.broadcast(shift), ["_p", "entity_type"]).select("entity_type", (F.col("_at") + F.col("_shift")).alias("number"), "text", "key", "candidates")
+
+
+class _Pool:
+    """A pool of which a case has the surfaces that it asked for before; what it lacks is noted, and stands for one that is not used yet."""
+
+    def __init__(self, kind: str, size: int, known: dict[tuple[str, int], dict], lacks: set[tuple[str, int]]):
+        self.kind, self.size, self.known, self.lacks = kind, size, known, lacks
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, i: int) -> dict:
+        found = self.known.get((self.kind, i))
+        if found is None:
+            self.lacks.add((self.kind, i))
+            return {"text": "", "key": (self.kind, i), "candidates": []}
+        return found
+
+
+def _in_rounds(ids: DataFrame, seed: int, pool: DataFrame, negatives: list[str]) -> DataFrame:
+    """Cases of ids(id) from pool(entity_type, number, text, key, candidates); a case is done in the round in which it lacks nothing."""
+    spark = ids.sparkSession
+    sizes = {r[0]: r[1] for r in pool.groupBy("entity_type").count().collect()}
+    surface = "struct<entity_type:string,number:bigint,text:string,key:string,candidates:array<string>>"
+
+    def make(batches):
+        for pdf in batches:
+            out = []
+            for i, own in zip(pdf["id"], pdf["known"], strict=True):
+                known = {(x["entity_type"], x["number"]): {"text": x["text"], "key": x["key"], "candidates": list(x["candidates"])} for x in own}
+                lacks: set[tuple[str, int]] = set()
+                case = make_case(f"case_{i:06d}", f"{seed}:{i}", {k: _Pool(k, size, known, lacks) for k, size in sizes.items()}, negatives)
+                out.append((i, None if lacks else case, [{"entity_type": k, "number": x} for k, x in sorted({*known, *lacks})] if lacks else []))
+            yield pd.DataFrame(out, columns=["id", "made", "wants"])
+
+    done, rows = [], ids.select("id", F.array().cast(f"array<{surface}>").alias("known"))
+    while True:
+        made = save(rows.mapInPandas(make, f"id long, made struct<{SPEC.replace(' string', ':string').replace(' array', ':array')}>, wants array<struct<entity_type:string,number:bigint>>"), "cases")
+        done.append(made.where("made IS NOT NULL").select("made.*"))
+        left = made.where("made IS NULL")
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        wanted = left.select("id", F.explode("wants").alias("w")).select("id", "w.*")
+        # what is wanted is small beside the pool, and streams past it
+        rows = pool.join(wanted, ["entity_type", "number"]).groupBy("id").agg(F.collect_list(F.struct("entity_type", "number", "text", "key", "candidates")).alias("known"))
 
 
 # ---- specs as tables ----------------------------------------------------------------------------

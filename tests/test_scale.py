@@ -49,3 +49,26 @@ def test_composed_keeps_nulls(spark):
 
     rows = spark.createDataFrame([("é",), (None,), ("Å",)], "raw string")
     assert [r[0] for r in rows.select(composed("raw")).collect()] == ["é", None, "Å"]
+
+
+def test_large_pools_give_the_same_cases(spark, monkeypatch):
+    from notara.operators import synth
+
+    kinds = ("THUỐC", "CHẨN_ĐOÁN", "TRIỆU_CHỨNG")
+    rows = [(f"s {i % 40}", kinds[i % 3], [str(i % 7)] if i % 5 else None) for i in range(150)]
+    pool = spark.createDataFrame(rows, "text string, entity_type string, candidates array<string>")
+    cases = lambda: sorted(map(repr, synth.generate_cases(spark, 40, 7, pool, ["biopsy"]).collect()))
+    whole = cases()
+    monkeypatch.setattr(synth, "MOST_POOL", 10)
+    assert cases() == whole
+
+
+def test_codes_of_a_key_are_counted_before_the_join(spark):
+    from notara.operators import linking
+
+    mentions = spark.createDataFrame([(1, "Aspirin !"), (2, "none"), (3, "ASPIRIN"), (3, "x")], "query_id long, mention string")
+    index = spark.createDataFrame([("aspirin", "9"), ("aspirin", "10"), ("x", "2")], "alias_key string, code string")
+    out = linking.exact_counts(mentions, index)
+    assert sorted(map(tuple, out.collect())) == [(1, 2, "10"), (3, 3, "10")]
+    p = plan(out)
+    assert p.rindex("Aggregate [alias_key") > p.index("Join")  # below it
