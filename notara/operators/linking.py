@@ -51,6 +51,16 @@ def exact(mentions: DataFrame, index: DataFrame, text: str = "mention") -> DataF
     return mentions.withColumn("alias_key", mention_key(text)).join(_small(index), "alias_key")
 
 
+def exact_counts(mentions: DataFrame, index: DataFrame, key: str = "query_id", text: str = "mention") -> DataFrame:
+    """(key, n, first_code) of the mentions that have exact codes: how many there are, and the least.
+
+    The index is summed up by key first, so a key of many codes is one row of the join and not one for
+    each mention and code.
+    """
+    per = index.groupBy("alias_key").agg(F.count("*").alias("n"), F.min("code").alias("first_code"))
+    return mentions.select(key, mention_key(text).alias("alias_key")).join(_small(per), "alias_key").groupBy(key).agg(F.sum("n").alias("n"), F.min("first_code").alias("first_code"))
+
+
 # ---- BM25 ---------------------------------------------------------------------------------------
 
 
@@ -84,7 +94,8 @@ def ranked(rows: DataFrame, key: str, order: list, top: int) -> DataFrame:
 # ---- dense vectors ------------------------------------------------------------------------------
 
 
-QUERY_BLOCK, ENTRY_BLOCK = 4_096, 16_384
+#: Queries and entries of a block pair, and the queries of a block whose scores are held at a time.
+QUERY_BLOCK, ENTRY_BLOCK, SLICE = 4_096, 16_384, 64
 
 
 def dense(queries: DataFrame, entries: DataFrame, top: int = RETRIEVE) -> DataFrame:
@@ -106,11 +117,11 @@ def dense(queries: DataFrame, entries: DataFrame, top: int = RETRIEVE) -> DataFr
 
 def _units(vectors) -> np.ndarray:
     """The vectors divided by their lengths, as rows."""
-    width = max((len(v) for v in vectors if v.as_py() is not None), default=0)
+    width = max((len(v.values) for v in vectors if v.is_valid), default=0)
     out = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
-        if v.as_py() is not None:
-            out[i, : len(v)] = v.values.to_numpy(zero_copy_only=False)
+        if v.is_valid:
+            out[i, : len(v.values)] = v.values.to_numpy(zero_copy_only=False)
     size = np.sqrt((out * out).sum(axis=1, keepdims=True))
     return out / np.where(size > 0, size, 1.0)
 
@@ -125,8 +136,8 @@ def _multiply(top: int):
         b = b[order]
         k = min(top, len(order))
         row, code, score = [], [], []
-        for lo in range(0, len(a), 256):
-            cosine = a[lo : lo + 256] @ b.T
+        for lo in range(0, len(a), SLICE):
+            cosine = a[lo : lo + SLICE] @ b.T
             best = np.argsort(-np.round(cosine, 9), axis=1, kind="stable")[:, :k]
             row.append(np.repeat(np.arange(lo, lo + len(best)), k))
             code.append(order[best].ravel())
