@@ -72,3 +72,38 @@ def test_codes_of_a_key_are_counted_before_the_join(spark):
     assert sorted(map(tuple, out.collect())) == [(1, 2, "10"), (3, 3, "10")]
     p = plan(out)
     assert p.rindex("Aggregate [alias_key") > p.index("Join")  # below it
+
+
+def test_first_of_tied_notes_wins(spark):
+    specs = spark.createDataFrame([(1,), (2,)], "case_id long")
+    rows = spark.createDataFrame([(1, 7, 2, 5), (1, 8, 2, 4), (1, 9, 1, 0)], "case_id long, note long, ordinal int, place int")
+    good, bad = export.join_specs(specs, rows, ties=("place",))
+    assert [tuple(r) for r in good.collect()] == [(1, 8)] and [r[0] for r in bad.collect()] == [2]
+
+
+def test_tied_lines_go_by_their_place_in_the_table(spark, tmp_path):
+    n = 3_000
+    lines = spark.range(n).select((F.col("id") % 7).alias("l_orderkey"), ((F.col("id") * 7919) % n).alias("l_partkey"), F.lit(1).alias("l_linenumber"))
+    at = written(spark, tmp_path, lineitem=lines, orders=spark.range(7).select(F.col("id").alias("o_orderkey")))
+    first = {k: k * 7919 % n for k in range(7)}
+    got = {r["case_id"]: r["note"] for r in queries.QUERIES["x1_spec_left_join"](spark, at).collect()}
+    assert got == first
+
+
+def test_an_empty_key_is_one_token_as_in_sql(spark, tmp_path):
+    texts = spark.createDataFrame([(1, "..."), (2, ""), (3, "a b"), (4, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n"] for r in queries.QUERIES["f5_token_count"](spark, written(spark, tmp_path, documents=texts)).collect()}
+    assert got == {1: 1, 2: 1, 3: 2, 4: None}
+
+
+def test_null_keys_match_nothing(spark):
+    rows = spark.createDataFrame([("a", 0, 1, "T"), (None, 0, 1, "T")], "document_id string, start int, end int, entity_type string")
+    out = metrics.exact_scores(rows, rows)
+    assert tuple(out.select("tp", "fp", "fn").first()) == (1, 1, 1)
+    assert "Join" not in plan(out)
+
+
+@needs_tables
+def test_entities_are_numbered_before_they_meet_their_text(spark):
+    p = plan(queries.QUERIES["v1_output_validation"](spark, SF))
+    assert p.index("Join") < p.index("Window")  # the window is below the join
