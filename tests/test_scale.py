@@ -107,3 +107,19 @@ def test_null_keys_match_nothing(spark):
 def test_entities_are_numbered_before_they_meet_their_text(spark):
     p = plan(queries.QUERIES["v1_output_validation"](spark, SF))
     assert p.index("Join") < p.index("Window")  # the window is below the join
+
+
+def test_overlaps_match_as_the_definition_says():
+    import random
+
+    rng = random.Random(3)
+    for _ in range(500):
+        g, p = (sorted({(s, s + rng.randint(1, 9)) for s in (rng.randint(0, 30) for _ in range(rng.randint(0, 12)))}) for _ in range(2))
+        free = list(p)
+        for s, e in g:
+            hit = next((y for y in free if y[0] < e and s < y[1]), None)
+            if hit:
+                free.remove(hit)
+        assert metrics.matched(g, p) == len(p) - len(free)
+    many = [(i, i + 1) for i in range(0, 200_000, 2)]
+    assert metrics.matched(many, many) == len(many)
