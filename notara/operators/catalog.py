@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import WORD, clean_text, match_key
+from ..functions.text import WORD, clean_text, match_key, slices
 from ..schemas import DIAGNOSIS, DRUG, SYMPTOM
 
 # Label mapping, word lists, patterns and surface tables.
@@ -47,9 +47,11 @@ def last_wins(rows: DataFrame, key: list[str], order: str) -> DataFrame:
 
 def mentions(rows: DataFrame) -> DataFrame:
     """(id, label, text, entity_type, valid) of rows(id, text, label array<struct<start,end,type>>), one for each span."""
-    out = rows.select("id", "text", F.posexplode("label").alias("index", "span"))
-    valid = (F.col("span.start") >= 0) & (F.col("span.start") < F.col("span.end")) & (F.col("span.end") <= F.length("text"))
-    surface = F.when(valid, clean_text(F.expr("substring(text, span.start + 1, span.end - span.start)")))
+    spans = F.transform("label", lambda x: F.struct(x["start"].cast("int").alias("start"), x["end"].cast("int").alias("end")))
+    every = F.arrays_zip(F.col("label").alias("span"), slices("text", spans).alias("said"))
+    out = rows.select("id", F.length("text").alias("_length"), F.posexplode(every).alias("index", "x")).select("id", "_length", "index", "x.*")
+    valid = (F.col("span.start") >= 0) & (F.col("span.start") < F.col("span.end")) & (F.col("span.end") <= F.col("_length"))
+    surface = F.when(valid, clean_text("said"))
     return out.select("id", "index", F.col("span.type").alias("label"), surface.alias("surface"), case(F.col("span.type"), LABELS).alias("entity_type"), valid.alias("valid"))
 
 

@@ -123,3 +123,12 @@ def test_overlaps_match_as_the_definition_says():
         assert metrics.matched(g, p) == len(p) - len(free)
     many = [(i, i + 1) for i in range(0, 200_000, 2)]
     assert metrics.matched(many, many) == len(many)
+
+
+def test_mentions_are_cut_by_place(spark):
+    from notara.operators import catalog
+
+    rows = spark.createDataFrame([("a", "ăb cd", [(0, 2, "DISEASE"), (3, 9, "SYMPTOM"), (3, 5, "x")]), ("b", None, [(0, 1, "x")]), ("c", "x", None)], "id string, text string, label array<struct<start:int,end:int,type:string>>")
+    out = catalog.mentions(rows)
+    assert [(r["id"], r["index"], r["surface"]) for r in out.orderBy("id", "index").collect()] == [("a", 0, "ăb"), ("a", 1, None), ("a", 2, "cd"), ("b", 0, None)]
+    assert "substring" not in plan(out)
